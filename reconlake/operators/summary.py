@@ -28,18 +28,51 @@ GROUP BY business_date, mismatch_type, severity
 """
 
 
-def summarize(detail: DataFrame) -> DataFrame:
-    return detail.groupBy(*GROUP).agg(
+# Same query with monetary rounding (see ``summarize(money_scale=4)``).
+SQL_MONEY = """
+SELECT business_date, mismatch_type, severity, record_count, total_revenue_impact,
+       total_revenue_impact / priced AS avg_revenue_impact, unique_customers_affected
+FROM (
+  SELECT business_date,
+         mismatch_type,
+         severity,
+         count(*) AS record_count,
+         round(sum(revenue_impact), 4) AS total_revenue_impact,
+         count(revenue_impact) AS priced,
+         count(DISTINCT msisdn_normalized) AS unique_customers_affected
+  FROM reconciliation_detail
+  GROUP BY business_date, mismatch_type, severity
+)
+"""
+
+
+def summarize(detail: DataFrame, money_scale: int | None = None) -> DataFrame:
+    """Daily summary. With ``money_scale`` the total is rounded to that many
+    decimals and the average is that total over the non-NULL count: amounts
+    carry at most that many decimals, so the rounded total is exact and the
+    result no longer depends on summation order (partitioning, engine)."""
+    if money_scale is None:
+        return detail.groupBy(*GROUP).agg(
+            F.count(F.lit(1)).alias("record_count"),
+            F.sum("revenue_impact").alias("total_revenue_impact"),
+            F.avg("revenue_impact").alias("avg_revenue_impact"),
+            F.countDistinct("msisdn_normalized").alias("unique_customers_affected"),
+        )
+    agg = detail.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("record_count"),
-        F.sum("revenue_impact").alias("total_revenue_impact"),
-        F.avg("revenue_impact").alias("avg_revenue_impact"),
+        F.round(F.sum("revenue_impact"), money_scale).alias("total_revenue_impact"),
+        F.count("revenue_impact").alias("__priced"),
         F.countDistinct("msisdn_normalized").alias("unique_customers_affected"),
     )
+    return agg.select(*GROUP, "record_count", "total_revenue_impact",
+                      (F.col("total_revenue_impact") / F.col("__priced")).alias("avg_revenue_impact"),
+                      "unique_customers_affected")
 
 
-def summarize_sql(spark: SparkSession, detail: DataFrame, view: str = "reconciliation_detail") -> DataFrame:
+def summarize_sql(spark: SparkSession, detail: DataFrame, view: str = "reconciliation_detail",
+                  money: bool = False) -> DataFrame:
     detail.createOrReplaceTempView(view)
-    return spark.sql(SQL.replace("reconciliation_detail", view))
+    return spark.sql((SQL_MONEY if money else SQL).replace("reconciliation_detail", view))
 
 
 def changed_dates(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,7 +83,7 @@ def changed_dates(before: DataFrame, after: DataFrame, keys: list[str]) -> DataF
     return ch.select("business_date").where(F.col("business_date").isNotNull()).distinct()
 
 
-def refresh(summary: DataFrame, detail: DataFrame, dates: DataFrame) -> DataFrame:
+def refresh(summary: DataFrame, detail: DataFrame, dates: DataFrame, money_scale: int | None = None) -> DataFrame:
     """Summary after recomputing only ``dates`` from ``detail``.
 
     Exact (distinct counts included) because the group key contains the date:
@@ -59,5 +92,5 @@ def refresh(summary: DataFrame, detail: DataFrame, dates: DataFrame) -> DataFram
     date set, planned as a broadcast by size). Written with
     ``partitionOverwriteMode=dynamic`` this rewrites only those partitions."""
     keep = summary.join(dates, "business_date", "left_anti")
-    fresh = summarize(detail.join(dates, "business_date", "left_semi"))
+    fresh = summarize(detail.join(dates, "business_date", "left_semi"), money_scale)
     return keep.unionByName(fresh)
