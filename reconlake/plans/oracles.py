@@ -185,3 +185,30 @@ SELECT call_id, 'update_postimage', expected_charge + 1.0, 'CORRECTED' FROM cdr_
 ORACLES["reconciliation_summary_sql"] = ORACLES["reconciliation_summary"]
 # incremental refresh must equal the full recompute of the new version
 ORACLES["summary_incremental"] = ORACLES["reconciliation_summary"]
+
+# --- streaming and layout keys (batch read of what the stream / writer produced) ---
+
+
+def _without(cols: str, name: str) -> str:
+    """Column list text without one plain column."""
+    return ", ".join(c.strip() for c in cols.replace("\n", " ").split(",") if c.strip() != name)
+
+
+_DETAIL = (*_GOLD, GOLD_CAL, f"detailed AS ({DETAIL_SELECT})", CLASSIFY.format(derive=DERIVE_COLS, src="detailed"))
+
+ORACLES.update({
+    "bronze_cdr_stream": _q(f"SELECT {_without(CDR_BRONZE_COLS, 'bronze_source_file')} FROM cdr_bronze", RAW, BRONZE),
+    "bronze_edr_stream": _q(f"SELECT {_without(EDR_BRONZE_COLS, 'bronze_source_file')} FROM edr_bronze", RAW, BRONZE),
+    "bronze_lineage": _q("SELECT call_id, partition_date, partition_date IS NOT NULL AS path_has_date, "
+                         "true AS is_parquet FROM cdr_bronze", RAW, BRONZE),
+    "dedup_cdr_stream": _q(f"SELECT {_without(CDR_SILVER_COLS, 'bronze_source_file')} FROM cdr_clean", *_ALL),
+    "dedup_edr_stream": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
+    "dedup_edr_bounded": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
+    "reconcile_stream": ORACLES["reconciliation_detail"],
+    "scd1_stream": ORACLES["scd1_cdr"],
+    "layout_clustered": _q("SELECT call_id, msisdn, service_type FROM cdr_clean", *_ALL),
+    "layout_compacted": _q("SELECT business_date, call_id, session_id, mismatch_type FROM scored", *_DETAIL),
+    "partition_pruned_read": _q("SELECT business_date, count(*) AS record_count FROM scored WHERE business_date IN "
+                                "(DATE '2024-01-03', DATE '2024-01-10', DATE '2024-01-17') GROUP BY business_date",
+                                *_DETAIL),
+})
