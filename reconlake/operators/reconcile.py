@@ -128,25 +128,43 @@ def presence(edr: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
 def match(cdr: DataFrame, edr: DataFrame, minutes: int = WINDOW_MINUTES, strategy: str = "split") -> DataFrame:
     """Full outer interval match of usage and charge rows -> 23 detail columns."""
     types = _types(cdr, edr)
-    c, e = cdr.alias("cdr"), edr.alias("edr")
     if strategy == "fullouter":
+        c, e = cdr.alias("cdr"), edr.alias("edr")
         j = c.join(e, condition(c, e, minutes), "full_outer")
         return j.select(*_project(c, e, types))
     if strategy != "split":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    # Rows with a NULL key or time can never match: they go straight to the
+    # outer parts. The keyed halves are then the same subtree in every branch,
+    # so the optimizer's inferred not-null filters agree and the exchanges on
+    # the join keys are reused instead of recomputed.
+    ck, cn = _split_keyed(cdr, ["call_id", "msisdn_normalized", "timestamp_parsed"])
+    ek, en = _split_keyed(edr, ["cdr_call_id", "msisdn_normalized", "timestamp_parsed"])
+    c, e = ck.alias("cdr"), ek.alias("edr")
+
     pairs = c.join(e, condition(c, e, minutes), "inner").select(*_project(c, e, types))
     edr_only = e.join(c, condition(c, e, minutes), "left_anti").select(*_project(None, e, types))
 
     w_us = int(minutes) * 60 * 1_000_000
-    p = presence(edr, minutes).alias("p")
+    p = presence(ek, minutes).alias("p")
     ts = c["timestamp_parsed"]
     bucket = F.floor(F.unix_micros(ts) / F.lit(w_us))
     found = ((p["p_call_id"] == c["call_id"]) & (p["p_msisdn"] == c["msisdn_normalized"])
              & (((p["p_bucket"] == bucket) & (p["p_max"] >= ts))
                 | ((p["p_bucket"] == bucket + 1) & (p["p_min"] <= ts + _window(minutes)))))
     cdr_only = c.join(p, found, "left_anti").select(*_project(c, None, types))
-    return pairs.unionByName(cdr_only).unionByName(edr_only)
+    cn_, en_ = cn.alias("cdr"), en.alias("edr")
+    return (pairs.unionByName(cdr_only).unionByName(edr_only)
+                 .unionByName(cn_.select(*_project(cn_, None, types)))
+                 .unionByName(en_.select(*_project(None, en_, types))))
+
+
+def _split_keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    return df.where(keyed), df.where(~keyed)
 
 
 def calendar_join(rec: DataFrame, cal: DataFrame, days: int | None = None) -> DataFrame:
