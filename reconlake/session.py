@@ -35,6 +35,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     if master:
         b = b.master(master)
     b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.ui.enabled", "false")
           .config("spark.driver.memory", os.environ.get("RECONLAKE_DRIVER_MEMORY", "8g"))
           .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)))
