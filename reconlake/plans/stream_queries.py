@@ -17,7 +17,7 @@ from reconlake.plans import pipeline as pl
 from reconlake.plans.queries import _cdr_versions, _out
 from reconlake.session import ensure_session, scratch_path
 from reconlake.sources import fixtures, ingest, landing
-from reconlake.streaming import runner
+from reconlake.streaming import runner, upsert
 
 SENTINEL_TS = "2099-01-01 00:00:00"
 
@@ -122,8 +122,10 @@ def reconcile_stream(spark, sf):
     def run():
         cdr = spark.readStream.schema(c_schema).parquet(c_dir)
         edr = spark.readStream.schema(e_schema).parquet(e_dir)
-        cdr, _ = runner.quarantine(cdr)
-        edr, _ = runner.quarantine(edr)
+        cdr, cdr_bad = runner.quarantine(cdr)
+        edr, edr_bad = runner.quarantine(edr)
+        runner.sink(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint")
+        runner.sink(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint")
         gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark), cal_days)
         runner.sink(gold, out, ckpt)
 
@@ -140,24 +142,25 @@ def reconcile_stream(spark, sf):
 
 
 def scd1_stream(spark, sf):
-    """Two deliveries through the streaming upsert (foreachBatch, bucketed
-    snapshot); the snapshot must equal the batch SCD1 of both."""
+    """Two deliveries through the streaming upsert (foreachBatch deltas of a
+    merge-on-read table), with a compaction between them; the snapshot (base +
+    delta) must equal the batch SCD1 of both."""
     spark = ensure_session(spark)
     v1, v2 = _cdr_versions(spark, sf)
     src = scratch_path(spark, "scd_source")
     target = scratch_path(spark, "scd_target")
-    ckpt, stage = f"{target}.__checkpoint", f"{target}.__staging"
+    ckpt = f"{target}.__checkpoint"
     v1.write.mode("overwrite").parquet(src)
     schema = _read(spark, src).schema
 
     def run():
-        stream = spark.readStream.schema(schema).parquet(src)
-        runner.upsert_stream(stream, target, ckpt, stage, pl.CDR_KEYS, pl.SEQUENCE, buckets=16)
+        upsert.upsert_stream(spark.readStream.schema(schema).parquet(src), target, ckpt)
 
     run()
+    upsert.compact(spark, target, pl.CDR_KEYS, pl.SEQUENCE)
     v2.write.mode("append").parquet(src)
     run()
-    snap = runner.read_snapshot(spark, target)
+    snap = upsert.read_snapshot(spark, target, pl.CDR_KEYS, pl.SEQUENCE)
     return _out(snap.select("call_id", "expected_charge", "expected_charge_decimal", "status", "timestamp_parsed"))
 
 

@@ -14,8 +14,8 @@ Flows:
   both inputs, stream-static calendar join, classification -> gold detail.
   Rows with a NULL event time would never leave the join state, so they are
   diverted to a quarantine sink before the join.
-* ``upsert``: SCD1 upsert of a staging stream into a bucketed snapshot via
-  ``foreachBatch``.
+* upsert: ``streaming/upsert.py`` (``foreachBatch`` into a merge-on-read
+  keyed table).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from reconlake.functions import classify, clean
-from reconlake.operators import expectations, reconcile, scd
+from reconlake.operators import expectations, reconcile
 from reconlake.sources import ingest
 
 WATERMARK = "1 hour"
@@ -105,50 +105,4 @@ def reconcile_stream(cdr: DataFrame, edr: DataFrame, cal: DataFrame, cal_days: i
     return classify.derive(rec)
 
 
-# --- upsert -------------------------------------------------------------------------
-
-BUCKET = "__bucket"
-
-
-def upsert_batch(batch: DataFrame, target: str, staging: str, keys: list[str], sequence_by: str,
-                 buckets: int, except_cols: tuple[str, ...] = ()) -> None:
-    """Merge one micro-batch into the bucketed SCD1 snapshot at ``target``.
-
-    Only the buckets the batch touches are read (semi-join on the partition
-    column -> dynamic partition pruning), merged with ``scd.apply_scd1``,
-    written to ``staging`` first and then swapped into ``target`` with dynamic
-    partition overwrite, so no job overwrites a path it is reading. Replaying
-    a batch gives the same snapshot (the merge is idempotent)."""
-    spark = batch.sparkSession
-    b = batch.drop(*[c for c in except_cols if c in batch.columns]) \
-             .withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    touched = b.select(BUCKET).distinct()
-    try:
-        cur = spark.read.parquet(target)
-        merged_in = cur.join(F.broadcast(touched), BUCKET, "left_semi").unionByName(b, allowMissingColumns=True)
-    except Exception as err:  # first batch: no target yet
-        if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err) \
-                and "UNABLE_TO_INFER_SCHEMA" not in str(err):
-            raise
-        merged_in = b
-    merged = scd.apply_scd1(merged_in, keys, sequence_by)
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target))
-
-
-def upsert_stream(stream: DataFrame, target: str, checkpoint: str, staging_root: str, keys: list[str],
-                  sequence_by: str, buckets: int = 64, except_cols: tuple[str, ...] = ()) -> StreamingQuery:
-    def each(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, target, f"{staging_root}/batch={batch_id}", keys, sequence_by, buckets, except_cols)
-
-    q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return q
-
-
-def read_snapshot(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BUCKET)
+# --- upsert: see streaming/upsert.py (merge-on-read keyed table) ------------------
