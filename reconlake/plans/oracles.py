@@ -206,6 +206,7 @@ ORACLES.update({
     "dedup_edr_bounded": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
     "reconcile_stream": ORACLES["reconciliation_detail"],
     "scd1_stream": ORACLES["scd1_cdr"],
+    "medallion_summary": ORACLES["reconciliation_summary"],
     "layout_clustered": _q("SELECT call_id, msisdn, service_type FROM cdr_clean", *_ALL),
     "layout_compacted": _q("SELECT business_date, call_id, session_id, mismatch_type FROM scored", *_DETAIL),
     "partition_pruned_read": _q("SELECT business_date, count(*) AS record_count FROM scored WHERE business_date IN "

@@ -164,6 +164,17 @@ def scd1_stream(spark, sf):
     return _out(snap.select("call_id", "expected_charge", "expected_charge_decimal", "status", "timestamp_parsed"))
 
 
+def medallion_summary(spark, sf):
+    """The whole dataset list refreshed end to end over the capture files:
+    bronze and silver streams, upsert targets, calendar, gold detail and the
+    summary view (money-rounded); returns the summary table as written."""
+    from reconlake.plans import datasets
+    land = Landing(spark, sf)
+    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, money_scale=4)
+    cat = datasets.refresh(land.spark, specs, scratch_path(land.spark, "medallion"))
+    return cat.read("gold.reconciliation_summary")
+
+
 # --- layout ---------------------------------------------------------------------------
 
 def layout_clustered(spark, sf):
@@ -209,6 +220,7 @@ STREAM_QUERIES = {
     "dedup_edr_bounded": dedup_edr_bounded,
     "reconcile_stream": reconcile_stream,
     "scd1_stream": scd1_stream,
+    "medallion_summary": medallion_summary,
     "layout_clustered": layout_clustered,
     "layout_compacted": layout_compacted,
     "partition_pruned_read": partition_pruned_read,

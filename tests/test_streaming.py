@@ -107,3 +107,15 @@ def test_stream_equals_batch_detail(spark):
     assert sorted(batch.columns) == cols
     assert digest(cols, [tuple(r) for r in stream.select(*cols).collect()]) == \
         digest(cols, [tuple(r) for r in batch.select(*cols).collect()])
+
+
+def test_dataset_properties_are_kept(spark):
+    from reconlake.functions import calendar_dim
+    from reconlake.plans import datasets
+    spec = datasets.Dataset("silver.calendar", datasets.VIEW,
+                            lambda cat: calendar_dim.build(cat.spark, "2024-01-01", "2024-01-31"),
+                            "Calendar dimension", {"layer": "silver"})
+    cat = datasets.refresh(spark, [spec], scratch_path(spark, "t_datasets"))
+    meta = cat.describe("silver.calendar")
+    assert meta["comment"] == "Calendar dimension" and meta["properties"] == {"layer": "silver"}
+    assert cat.read("silver.calendar").count() == 31
