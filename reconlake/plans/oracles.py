@@ -123,7 +123,7 @@ FROM cdr_raw""", RAW),
     "expect_fail_guard": _q("SELECT call_id, msisdn, service_type FROM cdr_dedup "
                             "WHERE NOT coalesce(timestamp_parsed > current_timestamp, false)", *_ALL),
     "expectation_metrics": _q("""
-SELECT rule, action, passed, failed FROM (
+SELECT rule, action, CAST(passed AS BIGINT) AS passed, CAST(failed AS BIGINT) AS failed FROM (
   SELECT 'valid_call_id' AS rule, 'drop' AS action,
          count_if(coalesce(call_id IS NOT NULL AND length(call_id) > 10, false)) AS passed,
          count_if(NOT coalesce(call_id IS NOT NULL AND length(call_id) > 10, false)) AS failed FROM cdr_dedup
