@@ -9,12 +9,12 @@ Match condition (inclusive both ends, one-sided window)::
 Batch plan (``strategy="split"``, default). A single full outer sort-merge join
 cannot split a hot key: every row of a key that holds a third of the data
 would meet in one task, and AQE's skew handling does not apply to full outer
-joins. The result is therefore assembled from three parts that each can
-be split:
+joins. The result is therefore assembled from two joins that each can be
+split, plus the rows that cannot match (NULL key or time):
 
-* matched pairs: inner join (AQE splits a skewed side, replicates the other);
-* charges without usage: charge LEFT ANTI usage (the skewed side is the left,
-  streamed side, which AQE splits);
+* matched pairs and charges without usage: charge LEFT OUTER usage (the
+  charge side, where a hot reference lives, is the streamed side, which AQE
+  splits while replicating the usage partition);
 * usage without charge: usage LEFT ANTI a *pre-aggregated* charge presence
   table, min/max charge time per (key, window bucket). A charge lies in
   [t, t + w] iff bucket(t) holds one at or after t, or bucket(t) + 1 holds one
@@ -22,8 +22,8 @@ be split:
   window of time, whatever the number of charges per key. Partial aggregation
   shrinks it before its shuffle.
 
-The first two joins and the usage side of the third hash-partition on the same
-keys, so Spark reuses those exchanges: each side is shuffled once.
+Both joins hash-partition the usage side on the same keys, so Spark reuses
+that exchange: each side is shuffled once, plus the small presence table.
 
 ``strategy="fullouter"`` is the one-join form (used by the stream, where
 Spark's symmetric hash join keeps state, and as a cross-check in tests).
@@ -143,8 +143,10 @@ def match(cdr: DataFrame, edr: DataFrame, minutes: int = WINDOW_MINUTES, strateg
     ek, en = _split_keyed(edr, ["cdr_call_id", "msisdn_normalized", "timestamp_parsed"])
     c, e = ck.alias("cdr"), ek.alias("edr")
 
-    pairs = c.join(e, condition(c, e, minutes), "inner").select(*_project(c, e, types))
-    edr_only = e.join(c, condition(c, e, minutes), "left_anti").select(*_project(None, e, types))
+    # pairs + charges without usage: charge LEFT OUTER usage; the charge side
+    # is streamed, so AQE can split a hot charge key (the usage partition is
+    # replicated to the splits)
+    pairs_and_edr_only = e.join(c, condition(c, e, minutes), "left_outer").select(*_project(c, e, types))
 
     w_us = int(minutes) * 60 * 1_000_000
     p = presence(ek, minutes).alias("p")
@@ -155,7 +157,7 @@ def match(cdr: DataFrame, edr: DataFrame, minutes: int = WINDOW_MINUTES, strateg
                 | ((p["p_bucket"] == bucket + 1) & (p["p_min"] <= ts + _window(minutes)))))
     cdr_only = c.join(p, found, "left_anti").select(*_project(c, None, types))
     cn_, en_ = cn.alias("cdr"), en.alias("edr")
-    return (pairs.unionByName(cdr_only).unionByName(edr_only)
+    return (pairs_and_edr_only.unionByName(cdr_only)
                  .unionByName(cn_.select(*_project(cn_, None, types)))
                  .unionByName(en_.select(*_project(None, en_, types))))
 
