@@ -120,11 +120,20 @@ def apply_hints(df: DataFrame, hints_ddl: str = CDR_HINTS) -> DataFrame:
     return df.select(*_hinted_cols(df, hints_ddl))
 
 
-def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS) -> DataFrame:
+def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS, expected: StructType | None = None) -> DataFrame:
     """Cast hinted columns and keep the raw text of values that did not cast in
-    ``_rescued_data`` (JSON object, NULL when nothing was rescued)."""
+    ``_rescued_data`` (JSON object, NULL when nothing was rescued). With
+    ``expected``, columns outside that schema are unexpected: their non-NULL
+    values move into ``_rescued_data`` too and the columns are dropped."""
     hints = hint_schema(hints_ddl)
     failed = []
+    if expected is not None:
+        known = set(expected.fieldNames()) | set(hints.fieldNames())
+        extra = [c for c in df.columns if c not in known]
+        failed += [F.col(c).cast("string").alias(c) for c in extra]
+        df_cast = df.drop(*extra)
+    else:
+        df_cast = df
     for f in hints.fields:
         if f.name not in df.columns or df.schema[f.name].dataType == f.dataType:
             continue
@@ -132,10 +141,10 @@ def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS) -> DataFrame:
         bad = raw.isNotNull() & raw.try_cast(f.dataType).isNull()
         failed.append(F.when(bad, raw.cast("string")).alias(f.name))
     if not failed:
-        return apply_hints(df, hints_ddl).withColumn("_rescued_data", F.lit(None).cast("string"))
+        return apply_hints(df_cast, hints_ddl).withColumn("_rescued_data", F.lit(None).cast("string"))
     # an all-NULL struct encodes as '{}': nothing rescued -> NULL
     blob = F.nullif(F.to_json(F.struct(*failed)), F.lit("{}"))
-    return df.select(*_hinted_cols(df, hints_ddl), blob.alias("_rescued_data"))
+    return df.select(*_hinted_cols(df_cast, hints_ddl), blob.alias("_rescued_data"))
 
 
 def evolve_schema(old: StructType, new: StructType) -> StructType:

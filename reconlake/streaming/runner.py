@@ -65,10 +65,21 @@ def bronze_edr_stream(spark: SparkSession, table: str, schema: StructType, max_f
 
 # --- silver -------------------------------------------------------------------------
 
-def silver_cdr_stream(bronze: DataFrame) -> DataFrame:
-    """Enrich, stream dedup on (call_id, msisdn, service_type) without
-    watermark (the reference's unbounded state), finish, expectations."""
-    rows = clean.enrich_cdr(bronze).dropDuplicates(["call_id", "msisdn", "service_type"])
+CDR_DEDUP_WATERMARK = "1 day"
+
+
+def silver_cdr_stream(bronze: DataFrame, bounded: bool = False) -> DataFrame:
+    """Enrich, stream dedup on (call_id, msisdn, service_type), finish,
+    expectations. Default: no watermark, state kept for every key (the
+    reference). ``bounded=True``: duplicates are only removed within a 1 day
+    event-time watermark and their state is then dropped, so state stays
+    proportional to one day of traffic."""
+    rows = clean.enrich_cdr(bronze)
+    keys = ["call_id", "msisdn", "service_type"]
+    if bounded:
+        rows = rows.withWatermark("timestamp_parsed", CDR_DEDUP_WATERMARK).dropDuplicatesWithinWatermark(keys)
+    else:
+        rows = rows.dropDuplicates(keys)
     rows = clean.finish_cdr(rows)
     return expectations.apply(expectations.observe(rows, expectations.CDR_RULES, "cdr_expectations"),
                               expectations.CDR_RULES)

@@ -107,3 +107,13 @@ def test_refresh_equals_recompute(spark, money):
     inc = summary.refresh(summary.summarize(v1, money), v2, dates, money)
     full = summary.summarize(v2, money)
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_rescue_unexpected_columns(spark):
+    from pyspark.sql.types import StructType
+    expected = StructType.fromDDL("call_id string, volume double")
+    df = spark.createDataFrame([("A", "1.5", "x1"), ("B", "2", None)], "call_id string, volume string, surprise string")
+    rows = {r.call_id: r for r in ingest.rescue(df, expected=expected).collect()}
+    assert "surprise" not in rows["A"].asDict()
+    assert json.loads(rows["A"]._rescued_data) == {"surprise": "x1"}
+    assert rows["B"]._rescued_data is None and rows["B"].volume == 2.0
