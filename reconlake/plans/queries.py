@@ -337,7 +337,7 @@ def reconciliation_summary_sql(spark, sf):
 
 def _detail_versions(spark, sf):
     """Version 1 = detail as if charges after 2024-01-20 had not arrived yet;
-    version 2 = the full detail. Keyed by (call_id, session_id)."""
+    version 2 = the full detail."""
     p = _pipe(spark, sf)
     late = F.col("timestamp_parsed") >= F.lit("2024-01-20 00:00:00").cast("timestamp")
     v1 = pl.detail(p.cdr(), p.edr().where(~late | F.col("timestamp_parsed").isNull()), p.calendar(),
@@ -348,9 +348,7 @@ def _detail_versions(spark, sf):
 
 def summary_incremental(spark, sf):
     v1, v2 = _detail_versions(spark, sf)
-    keys = ["call_id", "session_id"]
-    cols = keys + ["business_date", "mismatch_type", "severity", "revenue_impact", "msisdn_normalized"]
-    dates = summary.changed_dates(v1.select(*cols), v2.select(*cols), keys)
+    dates = summary.changed_dates(v1, v2)
     return summary.refresh(summary.summarize(v1, MONEY), v2, dates, MONEY)
 
 

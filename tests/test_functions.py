@@ -117,3 +117,13 @@ def test_rescue_unexpected_columns(spark):
     assert "surprise" not in rows["A"].asDict()
     assert json.loads(rows["A"]._rescued_data) == {"surprise": "x1"}
     assert rows["B"]._rescued_data is None and rows["B"].volume == 2.0
+
+
+def test_changed_dates_only_flags_changed_days(spark):
+    ddl = "business_date date, call_id string, revenue_impact double"
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    v1 = spark.createDataFrame([(d1, "a", 1.0), (d2, "b", 2.0), (d2, "c", 3.0)], ddl)
+    v2 = spark.createDataFrame([(d1, "a", 1.0), (d2, "c", 3.0), (d2, "b", 2.5), (d3, "d", 4.0)], ddl)
+    got = sorted(r.business_date for r in summary.changed_dates(v1, v2).collect())
+    assert got == [d2, d3]
+    assert summary.changed_dates(v1, v1).count() == 0
