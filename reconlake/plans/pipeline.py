@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reconlake.functions import calendar_dim, classify, clean
 from reconlake.operators import dedup, expectations, reconcile, scd, summary
-from reconlake.session import ensure_session, scratch_path
+from reconlake.session import _checkpoint_root, ensure_session, scratch_path
 from reconlake.sources import fixtures, ingest
 
 # Dedup and upsert keys of both flows.
@@ -85,10 +85,13 @@ class Pipeline:
     sf_dir: str
     calendar_range: tuple[str, str] = GOLD_CALENDAR
     strategy: str = "split"
+    materialize: bool = False
     _memo: dict = field(default_factory=dict)
 
     def __post_init__(self):
         ensure_session(self.spark)
+        if self.materialize:
+            _checkpoint_dir(self.spark)
 
     def _get(self, name, fn):
         if name not in self._memo:
@@ -107,11 +110,17 @@ class Pipeline:
     def edr_staging(self):
         return self._get("edr_staging", lambda: silver_edr_staging(self.bronze_edr()))
 
+    def _silver(self, df: DataFrame) -> DataFrame:
+        """With ``materialize``, a reliable checkpoint (files under the shared
+        checkpoint folder) so several gold frames reuse one silver computation
+        and a lost executor does not replay the bronze-to-silver chain."""
+        return df.checkpoint(eager=True) if self.materialize else df
+
     def cdr(self):
-        return self._get("cdr", lambda: silver_cdr(self.cdr_staging()))
+        return self._get("cdr", lambda: self._silver(silver_cdr(self.cdr_staging())))
 
     def edr(self):
-        return self._get("edr", lambda: silver_edr(self.edr_staging()))
+        return self._get("edr", lambda: self._silver(silver_edr(self.edr_staging())))
 
     def calendar(self):
         return self._get("calendar", lambda: calendar(self.spark, *self.calendar_range))
@@ -132,6 +141,11 @@ class Pipeline:
         return summary.summarize(self.detail())
 
 
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``DataFrame.checkpoint`` has the shared folder to write to."""
+    return _checkpoint_root(spark)
+
+
 def materialize(df: DataFrame, spark: SparkSession, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a stage to the shared scratch location and read it back (cuts
     lineage; a lost executor recomputes from the written files, not the chain)."""

@@ -337,8 +337,9 @@ def reconciliation_summary_sql(spark, sf):
 
 def _detail_versions(spark, sf):
     """Version 1 = detail as if charges after 2024-01-20 had not arrived yet;
-    version 2 = the full detail."""
-    p = _pipe(spark, sf)
+    version 2 = the full detail. Both derive from the same silver snapshots,
+    so those are checkpointed once."""
+    p = pl.Pipeline(ensure_session(spark), sf, materialize=True)
     late = F.col("timestamp_parsed") >= F.lit("2024-01-20 00:00:00").cast("timestamp")
     v1 = pl.detail(p.cdr(), p.edr().where(~late | F.col("timestamp_parsed").isNull()), p.calendar(),
                    reconcile.calendar_days(*p.calendar_range), with_timestamp=False)

@@ -58,13 +58,12 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
     Only when nothing is configured (local tests) do we create one, once per
     session, and register it so later calls and ``checkpoint()`` agree."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="reconlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)      # so DataFrame.checkpoint() writes there too
     return root.rstrip("/")
 
 
