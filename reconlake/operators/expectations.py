@@ -47,21 +47,23 @@ def _passes(rule: Rule):
 
 
 def apply(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Filter by the drop rules and guard the fail rules; warn rules pass rows.
+    """Guard the fail rules, then filter by the drop rules; warn rules pass rows.
 
-    The fail guard is a filter that is always true unless the rule is false,
+    The fail guard sees every row of the result, including rows a drop rule
+    removes: a future-dated record aborts the run even if it is also invalid
+    otherwise. It is a filter that is always true unless the rule is false,
     in which case ``raise_error`` aborts the job (batch or micro-batch)."""
     out = df
+    for r in rules:
+        if r.action == FAIL:
+            msg = f"expectation '{r.name}' failed: {r.sql}"
+            out = out.filter(F.when(~F.expr(r.sql), F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
     drops = [r for r in rules if r.action == DROP]
     if drops:
         cond = _passes(drops[0])
         for r in drops[1:]:
             cond = cond & _passes(r)
         out = out.filter(cond)
-    for r in rules:
-        if r.action == FAIL:
-            msg = f"expectation '{r.name}' failed: {r.sql}"
-            out = out.filter(F.when(~F.expr(r.sql), F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
     return out
 
 

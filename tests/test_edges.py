@@ -165,3 +165,9 @@ def test_calendar_attributes(spark):
     assert cal["2026-01-01"].date_key == 20260101
     spine = calendar_dim.spine(spark, "2026-01-01", "2026-02-20")
     assert spine.count() == 51
+
+
+def test_fail_rule_sees_rows_a_drop_rule_removes(spark):
+    cdr, _ = frames(spark, [cdr_row(msisdn="123", ts="2999-01-01T00:00:00.000000")], [edr_row()])
+    with pytest.raises(Exception, match="no_future_dates"):
+        expectations.apply(cdr, expectations.CDR_RULES).collect()
