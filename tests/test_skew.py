@@ -14,26 +14,26 @@ from reconlake.plans import pipeline as pl
 
 
 def hot_frames(spark):
+    """Real silver rows, plus copies of real charge rows re-pointed at one call
+    reference (about half as many as the real charges, so a third of all),
+    spread over one day, and a few usage rows with that reference."""
     p = pl.Pipeline(spark, SF_SMALL)
     cdr, edr = p.cdr(), p.edr()
-    n = edr.count()
-    # a bogus reference repeated on ~half as many rows as the real charges
-    hot = (spark.range(n // 2)
-           .select(F.concat(F.lit("SESSION-HOT-"), F.col("id").cast("string")).alias("session_id"),
-                   (F.lit(dt.datetime(2024, 1, 3)).cast("timestamp")
-                    + F.make_dt_interval(secs=(F.col("id") * 37 % 86400).cast("decimal(18,6)")))
-                   .alias("timestamp_parsed")))
-    template = edr.limit(1).drop("session_id", "timestamp_parsed")
-    hot_edr = hot.crossJoin(template).withColumns({
-        "cdr_call_id": F.lit("CALL-HOT"), "msisdn_normalized": F.lit("+35899990000")})
-    hot_cdr = (spark.range(5).select(
-        F.lit("CALL-HOT").alias("call_id"),
-        (F.lit(dt.datetime(2024, 1, 3)).cast("timestamp")
-         + F.make_dt_interval(hours=(F.col("id") * 4).cast("int"))).alias("timestamp_parsed"))
-        .crossJoin(cdr.limit(1).drop("call_id", "timestamp_parsed"))
-        .withColumn("msisdn_normalized", F.lit("+35899990000")))
-    return (cdr.unionByName(hot_cdr.select(*cdr.columns)),
-            edr.unionByName(hot_edr.select(*edr.columns)))
+    day = F.lit(dt.datetime(2024, 1, 3)).cast("timestamp")
+    secs = (F.abs(F.xxhash64("session_id")) % 86400).cast("decimal(18,6)")
+    hot_edr = edr.limit(edr.count() // 2).withColumns({
+        "session_id": F.concat(F.lit("SESSION-HOT-"), F.col("session_id")),
+        "cdr_call_id": F.lit("CALL-HOT"),
+        "msisdn_normalized": F.lit("+35899990000"),
+        "timestamp_parsed": day + F.make_dt_interval(secs=secs),
+    })
+    hours = (F.abs(F.xxhash64("call_id")) % 24).cast("int")
+    hot_cdr = cdr.limit(5).withColumns({
+        "call_id": F.lit("CALL-HOT"),
+        "msisdn_normalized": F.lit("+35899990000"),
+        "timestamp_parsed": day + F.make_dt_interval(hours=hours),
+    })
+    return cdr.unionByName(hot_cdr), edr.unionByName(hot_edr)
 
 
 def rows(df):

@@ -131,3 +131,23 @@ def test_bounded_cdr_dedup_matches_on_fixture(spark):
     ka = sorted(r.call_id for r in spark.read.parquet(a).select("call_id").collect())
     kb = sorted(r.call_id for r in spark.read.parquet(b).select("call_id").collect())
     assert ka == kb and len(ka) > 0
+
+
+def test_expectation_listener_totals(spark):
+    import time
+    from reconlake.streaming.metrics import ExpectationListener
+    listener = ExpectationListener()
+    spark.streams.addListener(listener)
+    try:
+        land = sq.Landing(spark, SF_SMALL)
+        out = scratch_path(spark, "t_listener")
+        runner.sink(runner.silver_cdr_stream(land.bronze_cdr()), out, f"{out}.__checkpoint")
+        for _ in range(50):                      # listener events arrive asynchronously
+            if listener.snapshot().get("cdr_expectations"):
+                break
+            time.sleep(0.1)
+        totals = listener.snapshot()["cdr_expectations"]
+        assert totals["valid_call_id_passed"] > 0
+        assert totals["good_data_quality_failed"] > 0
+    finally:
+        spark.streams.removeListener(listener)
