@@ -15,7 +15,7 @@ split, plus the rows that cannot match (NULL key or time):
 * matched pairs and charges without usage: charge LEFT OUTER usage (the
   charge side, where a hot reference lives, is the streamed side, which AQE
   splits while replicating the usage partition);
-* usage without charge: usage LEFT ANTI a *pre-aggregated* charge presence
+* usage without charge: usage anti-joined (LEFT OUTER + no match) with a *pre-aggregated* charge presence
   table, min/max charge time per (key, window bucket). A charge lies in
   [t, t + w] iff bucket(t) holds one at or after t, or bucket(t) + 1 holds one
   at or before t + w, so the presence table has at most one row per key and
@@ -94,12 +94,15 @@ def _side(df: DataFrame | None, mapping: list[tuple[str, str]], decimals: dict[s
     return out
 
 
-def _project(c: DataFrame | None, e: DataFrame | None, types: dict[str, str]) -> list[Column]:
+def _project(c: DataFrame | None, e: DataFrame | None, types: dict[str, str],
+             date_fallback: Column | None = None) -> list[Column]:
     cols = _side(c, CDR_OUT, {"volume_decimal": "usage_volume", "expected_charge_decimal": "expected_charge"})
     cols.update(_side(e, EDR_OUT, {"charge_amount_decimal": "actual_charge"}))
     for name in ("business_date", "msisdn_normalized"):
         present = [df[name] for df in (c, e) if df is not None]
         cols[name] = F.coalesce(*present) if len(present) > 1 else present[0]
+    if date_fallback is not None:
+        cols["business_date"] = F.coalesce(cols["business_date"], date_fallback)
     return [cols[n].cast(types[n]).alias(n) if n in types else cols[n].alias(n) for n in DETAIL_ORDER]
 
 
@@ -155,7 +158,14 @@ def match(cdr: DataFrame, edr: DataFrame, minutes: int = WINDOW_MINUTES, strateg
     found = ((p["p_call_id"] == c["call_id"]) & (p["p_msisdn"] == c["msisdn_normalized"])
              & (((p["p_bucket"] == bucket) & (p["p_max"] >= ts))
                 | ((p["p_bucket"] == bucket + 1) & (p["p_min"] <= ts + _window(minutes)))))
-    cdr_only = c.join(p, found, "left_anti").select(*_project(c, None, types))
+    # usage without charge: LEFT OUTER + "no presence row", an exact anti join.
+    # The date is written as coalesce(usage date, presence date); the presence
+    # side is NULL in every kept row, so the value is the usage date. Being an
+    # expression of both join sides keeps the calendar's inferred not-null
+    # filter above this join instead of in this branch's usage subtree, which
+    # must stay identical to the other join's so its exchange is reused.
+    unmatched = c.join(p, found, "left_outer").where(p["p_call_id"].isNull())
+    cdr_only = unmatched.select(*_project(c, None, types, F.to_date(p["p_min"])))
     cn_, en_ = cn.alias("cdr"), en.alias("edr")
     return (pairs_and_edr_only.unionByName(cdr_only)
                  .unionByName(cn_.select(*_project(cn_, None, types)))

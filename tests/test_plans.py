@@ -69,3 +69,17 @@ def test_events_filter_is_pushed(spark):
     from reconlake.sources import fixtures
     df = fixtures.read_table(spark, SF_SMALL, "events").where(F.col("event_id") > 10).select("event_id")
     assert "PushedFilters: [IsNotNull(event_id), GreaterThan(event_id,10)]" in plan_text(df)
+
+
+def test_usage_shuffled_once_for_the_match(spark):
+    """Downstream filters (the calendar join) must not make the two joins'
+    usage subtrees differ: one exchange on the join keys, reused."""
+    import re
+    for df in (pl.Pipeline(spark, SF_SMALL).summary(), pl.Pipeline(spark, SF_SMALL).detail()):
+        text = static_plan(spark, df)
+        # a ReusedExchange line repeats the original's text: count distinct ones
+        usage = set(re.findall(r"Exchange hashpartitioning\(call_id#\d+, msisdn_normalized#\d+", text))
+        charge = set(re.findall(r"Exchange hashpartitioning\(cdr_call_id#\d+, msisdn_normalized#\d+,", text))
+        assert len(usage) == 1, usage
+        assert len(charge) == 1, charge
+        assert "ReusedExchange" in text
