@@ -78,8 +78,8 @@ def test_usage_shuffled_once_for_the_match(spark):
     for df in (pl.Pipeline(spark, SF_SMALL).summary(), pl.Pipeline(spark, SF_SMALL).detail()):
         text = static_plan(spark, df)
         # a ReusedExchange line repeats the original's text: count distinct ones
-        usage = set(re.findall(r"Exchange hashpartitioning\(call_id#\d+, msisdn_normalized#\d+", text))
-        charge = set(re.findall(r"Exchange hashpartitioning\(cdr_call_id#\d+, msisdn_normalized#\d+,", text))
+        usage = set(re.findall(r"Exchange hashpartitioning\(call_id#\d+, msisdn_normalized#\d+, \d+\)", text))
+        charge = set(re.findall(r"Exchange hashpartitioning\(cdr_call_id#\d+, msisdn_normalized#\d+, \d+\)", text))
         assert len(usage) == 1, usage
         assert len(charge) == 1, charge
         assert "ReusedExchange" in text
