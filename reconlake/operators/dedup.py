@@ -33,18 +33,27 @@ def ordering(df: DataFrame, order_cols: list[str], descending: bool = False) ->
     return F.struct(*parts)
 
 
+def _unpack(best: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
+    """Key columns come from the grouping itself, the rest from the kept row:
+    the output stays hash-partitioned on the key attributes, so a following
+    aggregate or join on the same key needs no second shuffle."""
+    return best.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in cols])
+
+
 def first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the earliest by ``order_cols`` (NULLs last)."""
     cols = df.columns
+    rest = [c for c in cols if c not in keys]
     best = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordering(df, order_cols)).alias(_ROW)))
-    return best.select(*[F.col(f"{_ROW}.{c}").alias(c) for c in cols])
+              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering(df, order_cols)).alias(_ROW)))
+    return _unpack(best, cols, keys)
 
 
 def latest(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the latest by ``order_cols`` (NULLs lose)."""
     cols = df.columns
+    rest = [c for c in cols if c not in keys]
     best = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
+              .agg(F.max_by(F.struct(*[F.col(c) for c in rest]),
                             ordering(df, order_cols, descending=True)).alias(_ROW)))
-    return best.select(*[F.col(f"{_ROW}.{c}").alias(c) for c in cols])
+    return _unpack(best, cols, keys)
