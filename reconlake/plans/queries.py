@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.functions import calendar_dim, classify, clean, rating
+from reconlake.functions import calendar_dim, clean, rating
 from reconlake.operators import dedup, expectations, reconcile, scd, summary
 from reconlake.plans import pipeline as pl
 from reconlake.session import ensure_session

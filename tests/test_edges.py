@@ -3,7 +3,6 @@ upsert, expectations and the calendar join. Every matching case runs both
 join strategies, which must agree."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import cdr_row, edr_row, frames
 from reconlake.functions import calendar_dim, classify

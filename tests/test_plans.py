@@ -1,6 +1,5 @@
 """Physical-plan properties of the headline queries."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
