@@ -57,7 +57,9 @@ class Catalog:
         spec = self.specs.get(name)
         if spec is not None and spec.kind == SCD1:
             return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by)
-        return self.spark.read.parquet(self.path(name))
+        # merge the footers' schemas: a column added by schema evolution exists
+        # only in the newer files
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
 
     def read_stream(self, name: str) -> DataFrame:
         return self.spark.readStream.schema(self.read(name).schema).parquet(self.path(name))
@@ -81,10 +83,12 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
         if ds.kind == STREAMING:
             runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
         elif ds.kind == SCD1:
+            upsert.declare(spark, path, df.schema)
             upsert.upsert_stream(df, path, f"{path}._checkpoint")
         elif ds.kind == VIEW:
             if ds.partition_cols:
-                layout.write_partitioned(df, path, ds.partition_cols[0])
+                # full recompute: replace every partition (a vanished date must go too)
+                layout.write_partitioned(df, path, ds.partition_cols[0], dynamic=False)
             else:
                 df.write.mode("overwrite").parquet(path)
         else:

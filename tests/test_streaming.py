@@ -151,3 +151,14 @@ def test_expectation_listener_totals(spark):
         assert totals["good_data_quality_failed"] > 0
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_declared_target_reads_empty(spark):
+    target = scratch_path(spark, "t_declare")
+    ddl = "call_id string, silver_processing_time timestamp, timestamp_parsed timestamp, v int"
+    schema = spark.createDataFrame([], ddl).schema
+    upsert.declare(spark, target, schema)
+    snap = upsert.read_snapshot(spark, target, ["call_id"], "silver_processing_time")
+    assert snap.count() == 0 and set(snap.columns) == {"call_id", "silver_processing_time", "timestamp_parsed", "v"}
+    upsert.declare(spark, target, schema)        # idempotent
+    assert upsert.manifest(spark, target)[0] == 0
