@@ -77,8 +77,11 @@ def bronze_edr_stream(spark, sf):
 
 
 def _staging(land: Landing, bounded: bool = False) -> tuple[str, str]:
-    c = _run(land.spark, runner.silver_cdr_stream(land.bronze_cdr()), "cdr_staging")
-    e = _run(land.spark, runner.silver_edr_stream(land.bronze_edr(), bounded), "edr_staging")
+    """Both staging streams, run side by side."""
+    c, e = scratch_path(land.spark, "cdr_staging"), scratch_path(land.spark, "edr_staging")
+    qc = runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c, f"{c}.__checkpoint")
+    qe = runner.start(runner.silver_edr_stream(land.bronze_edr(), bounded), e, f"{e}.__checkpoint")
+    runner.wait(qc, qe)
     return c, e
 
 
@@ -124,10 +127,10 @@ def reconcile_stream(spark, sf):
         edr = spark.readStream.schema(e_schema).parquet(e_dir)
         cdr, cdr_bad = runner.quarantine(cdr)
         edr, edr_bad = runner.quarantine(edr)
-        runner.sink(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint")
-        runner.sink(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint")
         gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark), cal_days)
-        runner.sink(gold, out, ckpt)
+        runner.wait(runner.start(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint"),
+                    runner.start(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint"),
+                    runner.start(gold, out, ckpt))
 
     run()
     sentinel_c = _sentinel(_read(spark, c_dir), call_id="CALL-SENTINEL", msisdn_normalized="+0",

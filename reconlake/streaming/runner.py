@@ -33,19 +33,32 @@ WATERMARK = "1 hour"
 EDR_DEDUP_WATERMARK = "1 day"
 
 
-def sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
-         query_name: str | None = None) -> StreamingQuery:
-    """Append to a Parquet table with ``availableNow`` and wait for the end."""
+def start(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
+          query_name: str | None = None) -> StreamingQuery:
+    """Start an append to a Parquet table with ``availableNow``."""
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if query_name:
         w = w.queryName(query_name)
-    q = w.start(path)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    return w.start(path)
+
+
+def wait(*queries: StreamingQuery) -> None:
+    """Wait for ``availableNow`` queries started together; re-raise a failure."""
+    for q in queries:
+        q.awaitTermination()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
+
+
+def sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
+         query_name: str | None = None) -> StreamingQuery:
+    """Append to a Parquet table with ``availableNow`` and wait for the end."""
+    q = start(df, path, checkpoint, partition_by, query_name)
+    wait(q)
     return q
 
 
