@@ -83,3 +83,23 @@ def test_aqe_splits_the_hot_partition(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_replay_storm_collapses_before_the_shuffle(spark):
+    """One usage record replayed thousands of times (most of the input): the
+    dedup keeps one row, and the plan aggregates partially before its exchange,
+    so no task receives the replayed rows whole."""
+    from reconlake.operators import dedup
+    p = pl.Pipeline(spark, SF_SMALL)
+    rows = p.bronze_cdr()
+    storm = rows.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("__n")).drop("__n")
+    both = rows.unionByName(storm)
+    out = dedup.first(both, pl.CDR_DEDUP_KEYS, ["timestamp"])
+    assert out.count() == rows.dropDuplicates(pl.CDR_DEDUP_KEYS).count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    below = text.split("Exchange hashpartitioning(call_id", 1)[1]
+    assert "SortAggregate" in below          # partial aggregate under the exchange
