@@ -60,9 +60,12 @@ def apply(df: DataFrame, rules: list[Rule]) -> DataFrame:
             out = out.filter(F.when(~F.expr(r.sql), F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
     drops = [r for r in rules if r.action == DROP]
     if drops:
-        cond = _passes(drops[0])
+        # a filter drops rows whose condition is NULL, so the bare rule already
+        # treats NULL as failed; left unwrapped, its IS NOT NULL parts become
+        # constraints the optimizer can use (and need not re-add elsewhere)
+        cond = F.expr(drops[0].sql)
         for r in drops[1:]:
-            cond = cond & _passes(r)
+            cond = cond & F.expr(r.sql)
         out = out.filter(cond)
     return out
 

@@ -82,3 +82,7 @@ def test_usage_shuffled_once_for_the_match(spark):
         assert len(usage) == 1, usage
         assert len(charge) == 1, charge
         assert "ReusedExchange" in text
+        # one scan and one dedup shuffle per record type, whatever the branch
+        dedup = set(re.findall(r"Exchange hashpartitioning\(call_id#\d+, msisdn#\d+, service_type#\d+", text))
+        assert len(dedup) == 1, dedup
+        assert text.count("FileScan") == 2
