@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -22,15 +21,14 @@ EDR_DDL = ("session_id string, msisdn string, cdr_call_id string, timestamp stri
 def spark():
     from pyspark.sql import SparkSession
 
-    from reconlake.session import ensure_session
-    ckpt = tempfile.mkdtemp(prefix="reconlake-test-")
+    from reconlake.session import _checkpoint_root, ensure_session
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_session(s)
+    _checkpoint_root(s)      # the configured spark.checkpoint.dir, or a new folder if none is set
     yield s
 
 
