@@ -22,6 +22,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from reconlake.functions import calendar_dim, classify
 from reconlake.operators import layout, reconcile, summary
@@ -53,16 +54,30 @@ class Catalog:
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def schema(self, name: str) -> StructType | None:
+        """The schema stored by the last refresh (``_table.json``), if any."""
+        path = f"{self.path(name)}._table.json"
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return None
+        return StructType.fromJson(self.describe(name)["schema"])
+
     def read(self, name: str) -> DataFrame:
         spec = self.specs.get(name)
         if spec is not None and spec.kind == SCD1:
             return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by)
-        # merge the footers' schemas: a column added by schema evolution exists
-        # only in the newer files
+        # Read with the stored schema: files written before a column was added
+        # read it as NULL, and no footer has to be opened. Without one (a table
+        # not written by ``refresh``), merge the footers' schemas.
+        stored = self.schema(name)
+        if stored is not None:
+            return self.spark.read.schema(stored).parquet(self.path(name))
         return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
 
     def read_stream(self, name: str) -> DataFrame:
-        return self.spark.readStream.schema(self.read(name).schema).parquet(self.path(name))
+        schema = self.schema(name) or self.read(name).schema
+        return self.spark.readStream.schema(schema).parquet(self.path(name))
 
     def describe(self, name: str) -> dict:
         return json.loads(self.spark.read.text(f"{self.path(name)}._table.json", wholetext=True).first()[0])
