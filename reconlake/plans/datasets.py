@@ -66,7 +66,8 @@ class Catalog:
     def read(self, name: str) -> DataFrame:
         spec = self.specs.get(name)
         if spec is not None and spec.kind == SCD1:
-            return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by)
+            return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by,
+                                        schema=self.schema(name))
         # Read with the stored schema: files written before a column was added
         # read it as NULL, and no footer has to be opened. Without one (a table
         # not written by ``refresh``), merge the footers' schemas.
