@@ -8,8 +8,12 @@ carries the table's comment, properties and partition columns (kept in a
   and its own checkpoint, so each refresh processes only new input;
 * ``scd1``: a keyed target declared apart from its flow (created empty with
   its schema), fed by the staging stream through the merge-on-read upsert;
-* ``materialized_view``: recomputed in batch and overwritten (partitioned
-  views with dynamic partition overwrite).
+* ``materialized_view``: recomputed in batch and overwritten;
+* ``incremental_view``: a view partitioned by one column whose changed
+  partitions are known (``changed``); only those are recomputed
+  (``recompute``) and swapped in with dynamic partition overwrite, after
+  being staged, so no job overwrites what it reads. The first refresh builds
+  it whole.
 
 There is no dependency resolution: the list is ordered by hand, as a
 declarative pipeline's graph would order it.
@@ -20,16 +24,19 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reconlake.functions import calendar_dim, classify
 from reconlake.operators import layout, reconcile, summary
 from reconlake.plans import pipeline as pl
+from reconlake.session import scratch_path
 from reconlake.streaming import runner, upsert
 
-STREAMING, SCD1, VIEW = "streaming_table", "scd1", "materialized_view"
+STREAMING, SCD1, VIEW, INCREMENTAL = "streaming_table", "scd1", "materialized_view", "incremental_view"
 
 
 @dataclass
@@ -42,6 +49,8 @@ class Dataset:
     partition_cols: list[str] = field(default_factory=list)
     keys: list[str] = field(default_factory=list)          # scd1 only
     sequence_by: str = pl.SEQUENCE                          # scd1 only
+    changed: Callable[["Catalog"], DataFrame] | None = None              # incremental only
+    recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
 
 class Catalog:
@@ -50,6 +59,8 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str, specs: dict[str, Dataset] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.specs = specs or {}
+        # start of this refresh (UTC, the clock micro-batch timestamps come from)
+        self.run_started = datetime.now(timezone.utc).replace(tzinfo=None)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -107,6 +118,17 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
                 layout.write_partitioned(df, path, ds.partition_cols[0], dynamic=False)
             else:
                 df.write.mode("overwrite").parquet(path)
+        elif ds.kind == INCREMENTAL:
+            by = ds.partition_cols[0]
+            if cat.schema(ds.name) is None:
+                layout.write_partitioned(df, path, by, dynamic=False)
+            else:
+                fresh = ds.recompute(cat, ds.changed(cat))
+                stage = scratch_path(spark, "incremental-stage")
+                layout.write_partitioned(fresh, stage, by, dynamic=False)
+                # known schema: an empty refresh stages no file to infer one from
+                staged = spark.read.schema(fresh.schema).parquet(stage)
+                layout.write_partitioned(staged, path, by, dynamic=True)
         else:
             raise ValueError(f"unknown dataset kind {ds.kind!r}")
         _write_meta(cat, ds, df)
@@ -114,23 +136,49 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
 
 
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
-              calendar_range: tuple[str, str] = pl.GOLD_CALENDAR, money_scale: int | None = None) -> list[Dataset]:
+              calendar_range: tuple[str, str] = pl.GOLD_CALENDAR, money_scale: int | None = None,
+              gold: str = "stream") -> list[Dataset]:
     """The reference's datasets: bronze, silver staging, silver upsert targets,
-    calendar, gold detail and gold summary. Gold reads the upsert snapshots
-    (batch), so an update after a first reconciliation is reflected on the
-    next refresh; the streaming gold variant is ``runner.reconcile_stream``."""
+    calendar, gold detail and gold summary.
+
+    ``gold="stream"`` (default, as in the reference): the detail is a
+    streaming table fed by the stream-stream full outer join over the staging
+    logs (rows without event time go to quarantine tables), so each refresh
+    matches only new rows; rows are final once both watermarks pass them. The
+    summary is an incremental view: only business dates that received detail
+    rows in this refresh are recomputed (found by the detail's processing
+    timestamp, which Parquet min/max statistics prune by file).
+
+    ``gold="batch"``: the detail is recomputed from the upsert snapshots at each
+    refresh (reflects updates to already reconciled rows) and the summary with
+    it."""
     days = reconcile.calendar_days(*calendar_range)
+    money = money_scale is not None
 
-    def gold_detail(cat: Catalog) -> DataFrame:
+    def detail_batch(cat: Catalog) -> DataFrame:
         rec = reconcile.match(cat.read("silver.cdr_events_silver"), cat.read("silver.edr_events_silver"))
         rec = reconcile.calendar_join(rec, cat.read("silver.calendar"), days)
         return classify.derive(rec)
 
-    def gold_summary(cat: Catalog) -> DataFrame:
+    def detail_stream(cat: Catalog) -> DataFrame:
+        cdr, _ = runner.quarantine(cat.read_stream("silver.cdr_staging"))
+        edr, _ = runner.quarantine(cat.read_stream("silver.edr_staging"))
+        return runner.reconcile_stream(cdr, edr, cat.read("silver.calendar"), days)
+
+    def summary_full(cat: Catalog) -> DataFrame:
         return summary.summarize_sql(cat.spark, cat.read("gold.reconciliation_detail"), "reconciliation_detail",
-                                     money=money_scale is not None)
+                                     money=money)
+
+    def summary_dates(cat: Catalog) -> DataFrame:
+        stamp = F.lit(cat.run_started).cast("timestamp")
+        return (cat.read("gold.reconciliation_detail").where(F.col("reconciliation_timestamp") >= stamp)
+                   .select("business_date").distinct())
+
+    def summary_dates_rows(cat: Catalog, dates: DataFrame) -> DataFrame:
+        detail = cat.read("gold.reconciliation_detail").join(dates, "business_date", "left_semi")
+        return summary.summarize_sql(cat.spark, detail, "reconciliation_detail", money=money)
 
-    return [
+    specs = [
         Dataset("bronze.cdr_events", STREAMING,
                 lambda cat: runner.bronze_cdr_stream(cat.spark, landing_cdr, cdr_schema),
                 "Raw usage records from the capture files, partitioned by date folder",
@@ -153,8 +201,28 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
                 ["business_date"], keys=pl.EDR_KEYS),
         Dataset("silver.calendar", VIEW, lambda cat: calendar_dim.build(cat.spark, *calendar_range),
                 "Calendar dimension with date attributes and holidays", {"layer": "silver"}),
-        Dataset("gold.reconciliation_detail", VIEW, gold_detail, "Reconciliation detail events",
-                {"quality": "gold", "layer": "gold"}, ["business_date"]),
-        Dataset("gold.reconciliation_summary", VIEW, gold_summary, "Daily reconciliation summary",
-                {"quality": "gold", "layer": "gold"}),
     ]
+    if gold == "stream":
+        specs += [
+            Dataset("gold.quarantine_cdr", STREAMING,
+                    lambda cat: runner.quarantine(cat.read_stream("silver.cdr_staging"))[1],
+                    "Usage records without event time (kept out of the join state)"),
+            Dataset("gold.quarantine_edr", STREAMING,
+                    lambda cat: runner.quarantine(cat.read_stream("silver.edr_staging"))[1],
+                    "Charge records without event time (kept out of the join state)"),
+            Dataset("gold.reconciliation_detail", STREAMING, detail_stream, "Reconciliation detail events",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"]),
+            Dataset("gold.reconciliation_summary", INCREMENTAL, summary_full, "Daily reconciliation summary",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"],
+                    changed=summary_dates, recompute=summary_dates_rows),
+        ]
+    elif gold == "batch":
+        specs += [
+            Dataset("gold.reconciliation_detail", VIEW, detail_batch, "Reconciliation detail events",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"]),
+            Dataset("gold.reconciliation_summary", VIEW, summary_full, "Daily reconciliation summary",
+                    {"quality": "gold", "layer": "gold"}),
+        ]
+    else:
+        raise ValueError(f"unknown gold mode {gold!r}")
+    return specs

@@ -62,14 +62,14 @@ def cdr_schema(spark: SparkSession, cdr_landing: str, root: str) -> StructType:
 
 
 def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
-        calendar_range: tuple[str, str] | None = None) -> datasets.Catalog:
+        calendar_range: tuple[str, str] | None = None, gold: str = "stream") -> datasets.Catalog:
     ensure_session(spark)
     root = root.rstrip("/")
     start = calendar_range[0] if calendar_range else spark.conf.get("start_date")
     end = calendar_range[1] if calendar_range else spark.conf.get("end_date")
     c_schema = cdr_schema(spark, cdr_landing, root)
     e_schema = spark.read.option("mergeSchema", "true").parquet(edr_table).schema
-    specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end))
+    specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold)
     return datasets.refresh(spark, specs, root)
 
 
@@ -81,10 +81,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--master")
+    ap.add_argument("--gold", choices=["stream", "batch"], default="stream",
+                    help="stream: incremental detail by the stream-stream join (rows final once the "
+                         "watermark passes); batch: detail recomputed from the upsert snapshots")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     rng = (a.start, a.end) if a.start and a.end else None
-    cat = run(spark, a.cdr_landing, a.edr_table, a.root, rng)
+    cat = run(spark, a.cdr_landing, a.edr_table, a.root, rng, a.gold)
     cat.read("gold.reconciliation_summary").orderBy("business_date", "mismatch_type", "severity").show(50, False)
 
 

@@ -19,9 +19,6 @@ from reconlake.session import ensure_session, scratch_path
 from reconlake.sources import fixtures, ingest, landing
 from reconlake.streaming import runner, upsert
 
-SENTINEL_TS = "2099-01-01 00:00:00"
-
-
 class Landing:
     """Capture files for one testdata directory, written once per instance."""
 
@@ -76,15 +73,6 @@ def bronze_edr_stream(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
-def _staging(land: Landing, bounded: bool = False) -> tuple[str, str]:
-    """Both staging streams, run side by side."""
-    c, e = scratch_path(land.spark, "cdr_staging"), scratch_path(land.spark, "edr_staging")
-    qc = runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c, f"{c}.__checkpoint")
-    qe = runner.start(runner.silver_edr_stream(land.bronze_edr(), bounded), e, f"{e}.__checkpoint")
-    runner.wait(qc, qe)
-    return c, e
-
-
 def dedup_cdr_stream(spark, sf):
     land = Landing(spark, sf)
     out = _run(land.spark, runner.silver_cdr_stream(land.bronze_cdr()), "dedup_cdr")
@@ -103,28 +91,53 @@ def dedup_edr_bounded(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
-def _sentinel(staging: DataFrame, **values) -> DataFrame:
-    """One control row with the staging schema, far in the future, to move the
-    join watermark past every real row (flushes unmatched rows)."""
-    row = staging.limit(1)
-    cols = {k: F.lit(v).cast(staging.schema[k].dataType) for k, v in values.items()}
-    return row.withColumns(cols)
+SENTINEL_CALL = "CALL-SENTINEL-000"
+SENTINEL_MSISDN = "+35899999999"
+
+
+def land_flush_pair(land: Landing) -> str:
+    """Land one usage record and its charge one day after the latest event
+    time found in the capture files: a control pair that moves both join
+    watermarks past every real row, so the next run flushes the rows still
+    waiting for a partner. It enters where data enters (the capture files, not
+    the sink-managed tables downstream), passes every rule (valid ids, a time
+    in the past) and falls on a date after the data. Returns its call id."""
+    spark = land.spark
+    ts = F.to_timestamp(F.col("timestamp"))
+    latest = (spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*")
+                   .agg(F.max(ts).alias("t")).first()["t"])
+    at = F.lit(latest).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    iso = F.date_format(at, fixtures.ISO_FMT)
+    day = F.date_format(at, "yyyy-MM-dd")
+    cdr = (spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*").limit(1)
+                .withColumns({"call_id": F.lit(SENTINEL_CALL), "msisdn": F.lit(SENTINEL_MSISDN),
+                              "timestamp": iso}))
+    folder = cdr.select(day.alias("d")).first()["d"]
+    cdr.write.mode("append").parquet(f"{land.cdr_dir}/{folder}")
+    edr = (spark.read.schema(land.edr_schema).parquet(land.edr_dir).limit(1)
+                .withColumns({"session_id": F.lit("SESSION-SENTINEL-000"), "cdr_call_id": F.lit(SENTINEL_CALL),
+                              "msisdn": F.lit(SENTINEL_MSISDN),
+                              "timestamp": F.date_format(at + F.expr("INTERVAL 1 MINUTE"), fixtures.ISO_FMT)}))
+    edr.write.mode("append").parquet(land.edr_dir)
+    return SENTINEL_CALL
 
 
 def reconcile_stream(spark, sf):
-    """bronze -> silver staging streams -> gold stream; then a sentinel pair in
-    a second run of the same checkpoint flushes the outer rows."""
+    """capture files -> silver staging streams -> gold stream. A flush pair
+    then lands in the capture files and a second run of the same checkpoints
+    carries it through, flushing the outer rows; the pair itself is left out."""
     land = Landing(spark, sf)
     spark = land.spark
-    c_dir, e_dir = _staging(land)
-    c_schema, e_schema = _read(spark, c_dir).schema, _read(spark, e_dir).schema
+    c_dir, e_dir = scratch_path(spark, "cdr_staging"), scratch_path(spark, "edr_staging")
     cal_days = reconcile.calendar_days(*pl.GOLD_CALENDAR)
     out = scratch_path(spark, "gold_detail")
     ckpt = f"{out}.__checkpoint"
 
     def run():
-        cdr = spark.readStream.schema(c_schema).parquet(c_dir)
-        edr = spark.readStream.schema(e_schema).parquet(e_dir)
+        runner.wait(runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c_dir, f"{c_dir}.__checkpoint"),
+                    runner.start(runner.silver_edr_stream(land.bronze_edr()), e_dir, f"{e_dir}.__checkpoint"))
+        cdr = spark.readStream.schema(_read(spark, c_dir).schema).parquet(c_dir)
+        edr = spark.readStream.schema(_read(spark, e_dir).schema).parquet(e_dir)
         cdr, cdr_bad = runner.quarantine(cdr)
         edr, edr_bad = runner.quarantine(edr)
         gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark), cal_days)
@@ -133,14 +146,9 @@ def reconcile_stream(spark, sf):
                     runner.start(gold, out, ckpt))
 
     run()
-    sentinel_c = _sentinel(_read(spark, c_dir), call_id="CALL-SENTINEL", msisdn_normalized="+0",
-                           timestamp_parsed=SENTINEL_TS, business_date=SENTINEL_TS[:10])
-    sentinel_e = _sentinel(_read(spark, e_dir), session_id="SESSION-SENTINEL", cdr_call_id="CALL-SENTINEL",
-                           msisdn_normalized="+0", timestamp_parsed=SENTINEL_TS, business_date=SENTINEL_TS[:10])
-    sentinel_c.write.mode("append").parquet(c_dir)
-    sentinel_e.write.mode("append").parquet(e_dir)
+    sentinel = land_flush_pair(land)
     run()
-    detail = _read(spark, out).where(F.coalesce(F.col("call_id"), F.lit("")) != "CALL-SENTINEL")
+    detail = _read(spark, out).where(F.coalesce(F.col("call_id"), F.lit("")) != sentinel)
     return _out(detail)
 
 
@@ -168,13 +176,21 @@ def scd1_stream(spark, sf):
 
 
 def medallion_summary(spark, sf):
-    """The whole dataset list refreshed end to end over the capture files:
-    bronze and silver streams, upsert targets, calendar, gold detail and the
-    summary view (money-rounded); returns the summary table as written."""
+    """The dataset list refreshed end to end over the capture files, twice.
+    Run 1: bronze and silver streams, upsert targets, calendar, the streaming
+    gold detail (matched pairs and outer rows the watermark has passed) and
+    the summary built whole. Run 2, after a flush pair lands in the capture
+    files: the watermark passes every real row, the remaining outer rows are
+    flushed, and the summary recomputes only the dates that received rows.
+    The result must equal the batch summary."""
     from reconlake.plans import datasets
     land = Landing(spark, sf)
+    spark = land.spark
     specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, money_scale=4)
-    cat = datasets.refresh(land.spark, specs, scratch_path(land.spark, "medallion"))
+    root = scratch_path(spark, "medallion")
+    datasets.refresh(spark, specs, root)
+    land_flush_pair(land)          # dated after the calendar, so it adds no summary row
+    cat = datasets.refresh(spark, specs, root)
     return cat.read("gold.reconciliation_summary")
 
 
