@@ -66,3 +66,11 @@ def test_stream_gold_incremental_summary(spark):
     got = sorted(tuple(map(str, r)) for r in cat.read("gold.reconciliation_summary").select(*cols).collect())
     want = sorted(tuple(map(str, r)) for r in summary.summarize(detail, 4).select(*cols).collect())
     assert got == want
+    # only changed dates are read: timestamp filter in the scan, dynamic pruning on the detail
+    spec = cat.specs["gold.reconciliation_summary"]
+    dates = spec.changed(cat)
+    assert "PushedFilters: [GreaterThanOrEqual(reconciliation_timestamp" in \
+        dates._jdf.queryExecution().executedPlan().toString()
+    rows = spec.recompute(cat, dates)
+    rows.collect()
+    assert "dynamicpruningexpression(business_date" in rows._jdf.queryExecution().executedPlan().toString()
