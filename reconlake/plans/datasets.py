@@ -137,7 +137,7 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
 
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
               calendar_range: tuple[str, str] = pl.GOLD_CALENDAR, money_scale: int | None = None,
-              gold: str = "stream") -> list[Dataset]:
+              gold: str = "stream", cdr_hints: str | None = None) -> list[Dataset]:
     """The reference's datasets: bronze, silver staging, silver upsert targets,
     calendar, gold detail and gold summary.
 
@@ -180,7 +180,7 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
 
     specs = [
         Dataset("bronze.cdr_events", STREAMING,
-                lambda cat: runner.bronze_cdr_stream(cat.spark, landing_cdr, cdr_schema),
+                lambda cat: runner.bronze_cdr_stream(cat.spark, landing_cdr, cdr_schema, hints=cdr_hints),
                 "Raw usage records from the capture files, partitioned by date folder",
                 {"quality": "bronze", "clustering": "call_id,msisdn"}),
         Dataset("bronze.edr_events", STREAMING,

@@ -4,11 +4,13 @@
         [--start 2024-01-01 --end 2024-12-31]
 
 The usage schema is resolved the way the capture loader does it: the schema
-observed in the Parquet footers (a driver-side metadata read, no data scan)
-with the hinted columns forced to their types, merged with the schema stored
-under ``<root>/_schemas/cdr.json`` by adding new columns. The merged schema is
-saved back before the streams start, since a running stream's schema is fixed:
-a column that appears later is picked up on the next run. Each run refreshes
+observed in the Parquet footers (a metadata read, no data scan), merged with
+the schema stored under ``<root>/_schemas/cdr.json`` by adding new columns.
+The files are read with that schema; the hints (``ingest.CDR_HINTS``) are
+applied at bronze by ``ingest.rescue``, which casts the hinted columns and keeps
+values that do not cast in ``_rescued_data``. The merged schema is saved back
+before the streams start, since a running stream's schema is fixed: a column
+that appears later is picked up on the next run. Each run refreshes
 all datasets with ``availableNow``, so it processes only what landed since the
 previous run.
 """
@@ -52,9 +54,8 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def cdr_schema(spark: SparkSession, cdr_landing: str, root: str) -> StructType:
-    """Observed + hinted + stored (evolved) usage schema; persisted under ``root``."""
-    observed = spark.read.option("mergeSchema", "true").parquet(f"{cdr_landing.rstrip('/')}/*/*").schema
-    current = ingest.resolve_schema(observed)
+    """Observed + stored (evolved) usage schema; persisted under ``root``."""
+    current = spark.read.option("mergeSchema", "true").parquet(f"{cdr_landing.rstrip('/')}/*/*").schema
     stored_text = _read_text(spark, f"{root}/{SCHEMA_FILE}")
     schema = current if stored_text is None else ingest.evolve_schema(ingest.schema_from_json(stored_text), current)
     _write_text(spark, f"{root}/{SCHEMA_FILE}", ingest.schema_to_json(schema))
@@ -69,7 +70,8 @@ def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
     end = calendar_range[1] if calendar_range else spark.conf.get("end_date")
     c_schema = cdr_schema(spark, cdr_landing, root)
     e_schema = spark.read.option("mergeSchema", "true").parquet(edr_table).schema
-    specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold)
+    specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold,
+                               cdr_hints=ingest.CDR_HINTS)
     return datasets.refresh(spark, specs, root)
 
 

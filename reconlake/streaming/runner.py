@@ -64,11 +64,17 @@ def sink(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | No
 
 # --- bronze -------------------------------------------------------------------------
 
-def bronze_cdr_stream(spark: SparkSession, landing: str, schema: StructType, max_files: int = 100) -> DataFrame:
+def bronze_cdr_stream(spark: SparkSession, landing: str, schema: StructType, max_files: int = 100,
+                      hints: str | None = None) -> DataFrame:
     """Usage file stream over ``landing/*/*`` (date folders) -> bronze columns.
-    ``_metadata.file_path`` gives the lineage and the path date."""
+    ``_metadata.file_path`` gives the lineage and the path date. ``schema`` is
+    what the files hold; with ``hints`` the hinted columns are then cast
+    (``ingest.rescue``: values that do not cast go to ``_rescued_data``)."""
     src = ingest.stream_files(spark, f"{landing.rstrip('/')}/*/*", schema, max_files=max_files)
-    return ingest.bronze_cdr(src.select("*", F.col(ingest.FILE_PATH).alias("__path")), path_col="__path")
+    src = src.select("*", F.col(ingest.FILE_PATH).alias("__path"))
+    if hints:
+        src = ingest.rescue(src, hints)
+    return ingest.bronze_cdr(src, path_col="__path")
 
 
 def bronze_edr_stream(spark: SparkSession, table: str, schema: StructType, max_files: int = 100) -> DataFrame:

@@ -74,3 +74,22 @@ def test_stream_gold_incremental_summary(spark):
     rows = spec.recompute(cat, dates)
     rows.collect()
     assert "dynamicpruningexpression(business_date" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hints_applied_to_text_capture(spark):
+    """A capture whose volume arrives as text: the stream reads the files as
+    they are and the hint casts it at bronze, rescuing what does not cast."""
+    land = sq.Landing(spark, SF_SMALL)
+    base = scratch_path(spark, "t_text_capture")
+    text = (spark.read.parquet(f"{land.cdr_dir}/2024-01-0*")
+            .withColumn("volume", F.when(F.col("call_id").endswith("3"), F.lit("n/a"))
+                        .otherwise(F.col("volume").cast("string"))))
+    text.write.parquet(f"{base}/cdr/2024-01-05")
+    cat = runner_mod.run(spark, f"{base}/cdr", land.edr_dir, f"{base}/root", ("2024-01-01", "2024-01-31"),
+                         gold="batch")
+    bronze = cat.read("bronze.cdr_events")
+    assert dict(bronze.dtypes)["volume"] == "double"
+    bad = bronze.where(F.col("_rescued_data").isNotNull())
+    assert bad.count() == text.where(F.col("volume") == "n/a").count() > 0
+    assert bad.where(F.col("volume").isNotNull()).count() == 0
+    assert json.loads(bad.first()["_rescued_data"]) == {"volume": "n/a"}
