@@ -36,7 +36,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Matching window and the 23 detail columns.
+# Matching window, the 23 detail columns and the 12 calendar columns.
 WINDOW_MINUTES = 15
 
 CDR_OUT = [

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 GROUP = ["business_date", "mismatch_type", "severity"]
 
-# The materialized-view query, over a view named ``reconciliation_detail``.
+# Fixed value: the materialized-view query, over a view named ``reconciliation_detail``.
 SQL = """
 SELECT business_date,
        mismatch_type,

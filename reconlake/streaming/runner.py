@@ -29,6 +29,7 @@ from reconlake.functions import classify, clean
 from reconlake.operators import expectations, reconcile
 from reconlake.sources import ingest
 
+# Watermark delays of the join inputs and of the charge dedup.
 WATERMARK = "1 hour"
 EDR_DEDUP_WATERMARK = "1 day"
 
