@@ -122,32 +122,28 @@ def land_flush_pair(land: Landing) -> str:
     return SENTINEL_CALL
 
 
-def reconcile_stream(spark, sf):
-    """capture files -> silver staging streams -> gold stream. A flush pair
-    then lands in the capture files and a second run of the same checkpoints
-    carries it through, flushing the outer rows; the pair itself is left out."""
+def reconcile_stream(spark, sf, calendar_range: tuple[str, str] = pl.GOLD_CALENDAR):
+    """capture files (plus a flush pair) -> silver staging streams -> gold
+    stream, each with ``availableNow``. The pair is processed with the data;
+    the closing no-data batch then sees the watermark past every real row and
+    flushes the outer rows. The pair itself is left out of the result.
+    (Restart from checkpoint is tested in tests/test_streaming.py.)"""
     land = Landing(spark, sf)
     spark = land.spark
+    sentinel = land_flush_pair(land)
     c_dir, e_dir = scratch_path(spark, "cdr_staging"), scratch_path(spark, "edr_staging")
-    cal_days = reconcile.calendar_days(*pl.GOLD_CALENDAR)
+    runner.wait(runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c_dir, f"{c_dir}.__checkpoint"),
+                runner.start(runner.silver_edr_stream(land.bronze_edr()), e_dir, f"{e_dir}.__checkpoint"))
+    cal_days = reconcile.calendar_days(*calendar_range)
     out = scratch_path(spark, "gold_detail")
-    ckpt = f"{out}.__checkpoint"
-
-    def run():
-        runner.wait(runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c_dir, f"{c_dir}.__checkpoint"),
-                    runner.start(runner.silver_edr_stream(land.bronze_edr()), e_dir, f"{e_dir}.__checkpoint"))
-        cdr = spark.readStream.schema(_read(spark, c_dir).schema).parquet(c_dir)
-        edr = spark.readStream.schema(_read(spark, e_dir).schema).parquet(e_dir)
-        cdr, cdr_bad = runner.quarantine(cdr)
-        edr, edr_bad = runner.quarantine(edr)
-        gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark), cal_days)
-        runner.wait(runner.start(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint"),
-                    runner.start(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint"),
-                    runner.start(gold, out, ckpt))
-
-    run()
-    sentinel = land_flush_pair(land)
-    run()
+    cdr = spark.readStream.schema(_read(spark, c_dir).schema).parquet(c_dir)
+    edr = spark.readStream.schema(_read(spark, e_dir).schema).parquet(e_dir)
+    cdr, cdr_bad = runner.quarantine(cdr)
+    edr, edr_bad = runner.quarantine(edr)
+    gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark, *calendar_range), cal_days)
+    runner.wait(runner.start(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint"),
+                runner.start(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint"),
+                runner.start(gold, out, f"{out}.__checkpoint"))
     detail = _read(spark, out).where(F.coalesce(F.col("call_id"), F.lit("")) != sentinel)
     return _out(detail)
 
