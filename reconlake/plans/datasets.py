@@ -49,6 +49,7 @@ class Dataset:
     partition_cols: list[str] = field(default_factory=list)
     keys: list[str] = field(default_factory=list)          # scd1 only
     sequence_by: str = pl.SEQUENCE                          # scd1 only
+    max_deltas: int = 32                                    # scd1 only: compact beyond this many deltas
     changed: Callable[["Catalog"], DataFrame] | None = None              # incremental only
     recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
@@ -112,6 +113,7 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
         elif ds.kind == SCD1:
             upsert.declare(spark, path, df.schema)
             upsert.upsert_stream(df, path, f"{path}._checkpoint")
+            upsert.maybe_compact(spark, path, ds.keys, ds.sequence_by, ds.max_deltas, cat.schema(ds.name))
         elif ds.kind == VIEW:
             if ds.partition_cols:
                 # full recompute: replace every partition (a vanished date must go too)

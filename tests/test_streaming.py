@@ -165,3 +165,16 @@ def test_declared_target_reads_empty(spark):
     assert snap.count() == 0 and set(snap.columns) == {"call_id", "silver_processing_time", "timestamp_parsed", "v"}
     upsert.declare(spark, target, schema)        # idempotent
     assert upsert.manifest(spark, target)[0] == 0
+
+
+def test_compaction_policy(spark):
+    target = scratch_path(spark, "t_policy")
+    ddl = "call_id string, silver_processing_time timestamp, timestamp_parsed timestamp, v int"
+    t = dt.datetime(2024, 2, 1)
+    for i in range(3):
+        upsert.write_batch(spark.createDataFrame([("A", t + dt.timedelta(days=i), t, i)], ddl), i, target)
+    keys, seq = ["call_id"], "silver_processing_time"
+    assert upsert.maybe_compact(spark, target, keys, seq, max_deltas=3) is None
+    assert upsert.maybe_compact(spark, target, keys, seq, max_deltas=2) == 0
+    assert upsert.manifest(spark, target)[1]["folded"] == 2
+    assert _snap_rows(upsert.read_snapshot(spark, target, keys, seq)) == [("A", 2)]
