@@ -34,7 +34,7 @@ from reconlake.functions import calendar_dim, classify
 from reconlake.operators import layout, reconcile, summary
 from reconlake.plans import pipeline as pl
 from reconlake.session import scratch_path
-from reconlake.streaming import runner, upsert
+from reconlake.streaming import metrics, runner, upsert
 
 STREAMING, SCD1, VIEW, INCREMENTAL = "streaming_table", "scd1", "materialized_view", "incremental_view"
 
@@ -103,13 +103,32 @@ def _write_meta(cat: Catalog, ds: Dataset, df: DataFrame) -> None:
        .write.mode("overwrite").text(f"{cat.path(ds.name)}._table.json")
 
 
+METRICS_TABLE = "_metrics/expectations"
+
+
+def _record_metrics(cat: Catalog, dataset: str, totals: dict[str, dict[str, int]]) -> None:
+    """Append this run's expectation counts (rule, passed, failed) of one
+    dataset to a small table, like a pipeline event log's quality records."""
+    rows = []
+    for observation, values in totals.items():
+        rules = sorted({k.rsplit("_", 1)[0] for k in values})
+        for rule in rules:
+            rows.append((cat.run_started, dataset, observation, rule,
+                         values.get(f"{rule}_passed", 0), values.get(f"{rule}_failed", 0)))
+    if rows:
+        (cat.spark.createDataFrame(rows, "run_started timestamp, dataset string, observation string, "
+                                         "rule string, passed long, failed long")
+            .coalesce(1).write.mode("append").parquet(f"{cat.root}/{METRICS_TABLE}"))
+
+
 def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
     cat = Catalog(spark, root, {d.name: d for d in datasets})
     for ds in datasets:
         path = cat.path(ds.name)
         df = ds.build(cat)
         if ds.kind == STREAMING:
-            runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
+            q = runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
+            _record_metrics(cat, ds.name, metrics.observed_totals(q))
         elif ds.kind == SCD1:
             upsert.declare(spark, path, df.schema)
             upsert.upsert_stream(df, path, f"{path}._checkpoint")

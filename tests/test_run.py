@@ -93,3 +93,17 @@ def test_hints_applied_to_text_capture(spark):
     assert bad.count() == text.where(F.col("volume") == "n/a").count() > 0
     assert bad.where(F.col("volume").isNotNull()).count() == 0
     assert json.loads(bad.first()["_rescued_data"]) == {"volume": "n/a"}
+
+
+def test_expectation_metrics_recorded_per_run(spark):
+    from reconlake.plans import datasets
+    land = sq.Landing(spark, SF_SMALL)
+    root = scratch_path(spark, "t_metrics")
+    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, ("2024-01-01", "2024-01-31"), gold="batch")
+    m = spark.read.parquet(f"{root}/{datasets.METRICS_TABLE}")
+    got = {(r.dataset, r.rule): (r.passed, r.failed) for r in m.collect()}
+    p, f = got[("silver.cdr_staging", "good_data_quality")]
+    assert f > 0 and p > 0
+    assert ("silver.edr_staging", "successful_billing") in got
+    assert m.select("run_started").distinct().count() == 1
+    assert cat.run_started is not None
