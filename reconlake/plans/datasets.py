@@ -122,6 +122,9 @@ def _record_metrics(cat: Catalog, dataset: str, totals: dict[str, dict[str, int]
 
 
 def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
+    """Run every dataset once, in list order: streams to the end of their
+    available input, upsert flows (then compaction if due), views. A failing
+    stream (a fail rule) aborts the refresh, as a failed update would."""
     cat = Catalog(spark, root, {d.name: d for d in datasets})
     for ds in datasets:
         path = cat.path(ds.name)
