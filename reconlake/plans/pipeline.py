@@ -50,8 +50,13 @@ def silver_cdr_staging(bronze: DataFrame, validate_first: bool = False) -> DataF
     return expectations.apply(clean.finish_cdr(rows), expectations.CDR_RULES)
 
 
-def silver_edr_staging(bronze: DataFrame) -> DataFrame:
+def silver_edr_staging(bronze: DataFrame, validate_first: bool = False) -> DataFrame:
+    """Enrich, dedup on session_id (first by event time), expectations on the
+    result; ``validate_first`` as for the usage flow."""
     rows = clean.clean_edr(bronze)
+    if validate_first:
+        pre = [r for r in expectations.EDR_RULES if r.action == expectations.DROP]
+        rows = expectations.apply(rows, pre)
     rows = dedup.first(rows, EDR_DEDUP_KEYS, ["timestamp_parsed", "transaction_id"])
     return expectations.apply(rows, expectations.EDR_RULES)
 

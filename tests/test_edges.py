@@ -170,3 +170,21 @@ def test_fail_rule_sees_rows_a_drop_rule_removes(spark):
     cdr, _ = frames(spark, [cdr_row(msisdn="123", ts="2999-01-01T00:00:00.000000")], [edr_row()])
     with pytest.raises(Exception, match="no_future_dates"):
         expectations.apply(cdr, expectations.CDR_RULES).collect()
+
+
+def test_validate_first_options(spark):
+    """The drop rules before the dedup: an invalid first arrival no longer
+    shadows a valid later one (usage: missing timestamp; charge: missing call reference)."""
+    from conftest import CDR_DDL, EDR_DDL
+    first = cdr_row(ts=None, path="/bronze/cdr-events/2024-01-05/a.parquet")
+    second = cdr_row(ts="2024-01-05T10:05:00.000000", path="/bronze/cdr-events/2024-01-05/b.parquet")
+    cdr = spark.createDataFrame([first, second], CDR_DDL)
+    # a row without time sorts last in the dedup, so the valid row is kept in both orders
+    assert pl.silver_cdr_staging(cdr).count() == 1
+    assert pl.silver_cdr_staging(cdr, validate_first=True).count() == 1
+    e_bad = edr_row(session_id="S1", cdr_call_id=None, ts="2024-01-05T10:01:00.000000")
+    e_good = edr_row(session_id="S1", ts="2024-01-05T10:02:00.000000")
+    edr = spark.createDataFrame([e_bad, e_good], EDR_DDL)
+    assert pl.silver_edr_staging(edr).count() == 0
+    kept = pl.silver_edr_staging(edr, validate_first=True).collect()
+    assert [r.cdr_call_id for r in kept] == ["CALL-000000000001"]
