@@ -47,9 +47,19 @@ def start(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | N
 
 
 def wait(*queries: StreamingQuery) -> None:
-    """Wait for ``availableNow`` queries started together; re-raise a failure."""
+    """Wait for ``availableNow`` queries started together. If one fails, the
+    others are stopped (none is left running) and the first failure raised."""
+    failure = None
     for q in queries:
-        q.awaitTermination()
+        try:
+            q.awaitTermination()
+        except Exception as err:  # noqa: BLE001 - re-raised below
+            failure = failure or err
+            for other in queries:
+                if other.isActive:
+                    other.stop()
+    if failure is not None:
+        raise failure
     for q in queries:
         if q.exception() is not None:
             raise q.exception()

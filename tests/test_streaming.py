@@ -178,3 +178,22 @@ def test_compaction_policy(spark):
     assert upsert.maybe_compact(spark, target, keys, seq, max_deltas=2) == 0
     assert upsert.manifest(spark, target)[1]["folded"] == 2
     assert _snap_rows(upsert.read_snapshot(spark, target, keys, seq)) == [("A", 2)]
+
+
+def test_failed_stream_stops_its_siblings(spark):
+    """A fail rule aborts its stream; streams started with it are stopped too."""
+    import pytest
+    from conftest import CDR_DDL, cdr_row
+    from reconlake.functions import clean
+    from reconlake.operators import expectations
+    src = scratch_path(spark, "t_fail_src")
+    spark.createDataFrame([cdr_row(ts="2999-01-01T00:00:00.000000")], CDR_DDL).write.parquet(src)
+    stream = clean.clean_cdr(spark.readStream.schema(CDR_DDL).parquet(src))
+    bad = expectations.apply(stream, expectations.CDR_RULES)
+    land = sq.Landing(spark, SF_SMALL)
+    ok_out, bad_out = scratch_path(spark, "t_ok"), scratch_path(spark, "t_bad")
+    q_bad = runner.start(bad, bad_out, f"{bad_out}.__checkpoint")
+    q_ok = runner.start(land.bronze_cdr(), ok_out, f"{ok_out}.__checkpoint")
+    with pytest.raises(Exception, match="no_future_dates"):
+        runner.wait(q_bad, q_ok)
+    assert not q_bad.isActive and not q_ok.isActive
