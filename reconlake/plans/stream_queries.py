@@ -19,6 +19,7 @@ from reconlake.session import ensure_session, scratch_path
 from reconlake.sources import fixtures, ingest, landing
 from reconlake.streaming import runner, upsert
 
+
 class Landing:
     """Capture files for one testdata directory, written once per instance."""
 
