@@ -17,3 +17,8 @@ def written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches are cut by bytes too, so that very long texts don't pile up in one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
