@@ -8,11 +8,13 @@ banded buckets, star-shaped candidate edges, links confirmed on full shingle set
    document, probed in an order that depends only on the empty range.
 2. Equal digests are equal sets: they collapse to one node, however many copies
    there are.
-3. In each bucket every node is paired with one centre only, so candidate edges
-   number at most nodes times bands. Pairs are confirmed on their full sets.
-4. A bucket whose nodes are not yet in one component goes on: more centres are
-   drawn from it (2, 4, 8, ...) until every pair of nodes in different components
-   has been compared. So star edges lose no link that the buckets hold.
+3. In each bucket every node is paired with one centre only, the least node, so
+   candidate edges number at most nodes times bands. They are confirmed on full sets.
+4. A star that reaches over several components may hide links between its outer
+   nodes. These are compared too, but not as pairs of rows: differences to the
+   centre are dealt into blocks, and each pair of blocks is solved in one task by
+   matrix products. Nodes of the centre's own component meet outsiders only. So
+   stars lose no link that a bucket holds.
 5. Connected components of the confirmed links, by minimum labels.
 
 A pair at the threshold misses all buckets with probability
@@ -135,33 +137,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85, bands: int =
         _sketcher(k, bands, rows), "doc_id long, n_shingles long, node binary, keys array<long>"))
     nodes = written(spark, "minhash-nodes", sketch.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")))
-    member = nodes.select(F.explode("keys").alias("bucket"), "node", "n")
-    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
-    # only the rows of buckets with several nodes are looked at from here on
-    active = written(spark, "minhash-buckets", member.join(shared, "bucket").withColumn("label", F.col("node")))
-    sets = _sets_of(base, nodes.join(active.select("node").distinct(), "node", "left_semi"), k)
-
-    links = compared = labels = None
-    centres = 1
-    while not active.isEmpty():
-        drawn = _with_centres(active, centres)
-        star = _star_pairs(drawn, percent)
-        if compared is not None:
-            star = star.join(compared, ["a", "b"], "left_anti")
-        star = written(spark, "minhash-pairs", star)
-        if not star.isEmpty():
-            if links is None:
-                sets = written(spark, "minhash-sets", sets)
-            found = _confirmed(star, sets, percent)
-            links = written(spark, "minhash-links", found if links is None else links.unionByName(found))
-            compared = star if compared is None else compared.unionByName(star)
-            if not links.isEmpty():
-                labels = graph.components(links, "minhash")
-        active = written(spark, "minhash-active", _unsettled(drawn, labels))
-        centres *= 2
+    star = written(spark, "minhash-star", _stars(nodes))
+    if star.isEmpty():
+        return _result(sketch, nodes, None)
+    reached = star.select("node").unionByName(star.select(F.col("centre").alias("node"))).distinct()
+    sets = written(spark, "minhash-sets", _sets_of(base, nodes.join(reached, "node", "left_semi"), k))
+
+    links = written(spark, "minhash-links", _confirmed(star, sets, percent))
+    labels = None if links.isEmpty() else graph.components(links, "minhash")
+    mixed = written(spark, "minhash-mixed", _mixed(star, labels))
+    if not mixed.isEmpty():
+        more = written(spark, "minhash-more", _compared(mixed, sets, percent))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = graph.components(links, "minhash")
     return _result(sketch, nodes, labels)
 
 
+def _stars(nodes: DataFrame) -> DataFrame:
+    """(centre, node): every node of a bucket with the bucket's least node. Digests are
+    random, so the buckets of one group of near copies mostly have the same few centres."""
+    member = nodes.select(F.explode("keys").alias("bucket"), "node")
+    heart = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"))
+    return (member.join(heart.where("size > 1").select("bucket", "centre"), "bucket").where("node <> centre")
+            .select("centre", "node").distinct())
+
+
 def _sets_of(base: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, shingles) of the given nodes, from the text of each one's least document."""
     picked = nodes.select(F.col("least").alias("least_id")).distinct()
@@ -171,44 +172,109 @@ def _sets_of(base: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return made.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
-def _with_centres(active: DataFrame, centres: int) -> DataFrame:
-    """Marks each bucket's first node, and others by chance, to ``centres`` of them on average."""
-    stats = active.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
-    if centres == 1:
-        centre = F.col("node") == F.col("first")
-    else:
-        chance = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30))
-        centre = (F.col("node") == F.col("first")) | (chance * F.col("size") < F.lit(centres << 30))
-    return active.join(stats, "bucket").select("bucket", "node", "n", "label", centre.alias("centre"))
+def _with_sets(star: DataFrame, sets: DataFrame) -> DataFrame:
+    own = sets.select("node", F.col("shingles").alias("s"))
+    hub = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("c"))
+    return star.join(own, "node").join(hub, "centre")
 
 
-def _star_pairs(drawn: DataFrame, percent: int) -> DataFrame:
-    """(a, b) with a < b: each bucket's centres with its nodes of other components."""
-    heart = drawn.where("centre").select("bucket", F.col("node").alias("c"), F.col("n").alias("cn"),
-                                         F.col("label").alias("cl"))
-    pair = drawn.join(heart, "bucket").where("node <> c and label <> cl")
+def _confirmed(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the stars' edges whose full sets reach the threshold."""
+    size = sets.select("node", F.size("shingles").alias("n"))
+    near = star.join(size, "node").join(size.select(F.col("node").alias("centre"), F.col("n").alias("cn")), "centre")
     # sets of sizes too far apart can't reach the threshold
-    pair = pair.where(F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent)
-    return pair.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+    near = near.where(F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent).select("centre", "node")
+    both = _with_sets(near, sets).select("centre", "node", F.size(F.array_intersect("s", "c")).alias("i"),
+                                         (F.size("s") + F.size("c")).alias("t"))
+    return both.where((F.col("i") * 100) >= (F.col("t") - F.col("i")) * percent).select(
+        F.col("centre").alias("a"), F.col("node").alias("b"))
 
 
-def _confirmed(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = star.join(b, "b").join(a, "a").select(
-        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
-    return both.where((F.col("i") * 100) >= (F.col("t") - F.col("i")) * percent).select("a", "b")
-
-
-def _unsettled(drawn: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """What is left to compare: centres are done; so are buckets within one component."""
-    rest = drawn.where("not centre").drop("centre")
-    if labels is not None:
-        rest = rest.drop("label").join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node"))
-    mixed = rest.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return rest.join(mixed.select("bucket"), "bucket").select("bucket", "node", "n", "label")
+def _mixed(star: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(centre, node, label, inside) of the stars that reach over several components;
+    inside: in the centre's own component."""
+    if labels is None:
+        named = star.withColumn("label", F.col("node")).withColumn("hub", F.col("centre"))
+    else:
+        hub = labels.select(F.col("node").alias("centre"), F.col("label").alias("hub"))
+        named = star.join(labels, "node", "left").join(hub, "centre", "left").select(
+            "centre", "node", F.coalesce("label", "node").alias("label"), F.coalesce("hub", "centre").alias("hub"))
+    named = named.withColumn("inside", F.col("label") == F.col("hub"))
+    # the centre itself has been compared; two other nodes of different components have not
+    wide = named.groupBy("centre").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return named.join(wide.select("centre"), "centre").select("centre", "node", "label", "inside")
+
+
+def _compared(mixed: DataFrame, sets: DataFrame, percent: int, block_rows: int = 512, block_items: int = 400_000
+              ) -> DataFrame:
+    """(a, b): links between nodes of one star and different components.
+
+    A node is sent as its difference to the centre: what two differences don't share
+    is what the two sets don't share. A star's nodes are dealt into blocks, and each
+    pair of blocks that can hold an unknown link is solved as matrix products in one
+    task, which returns a spanning forest of the links it finds."""
+    far = _with_sets(mixed, sets).select(
+        "centre", "node", "label", "inside", F.size("s").alias("n"),
+        F.concat(F.array_except("s", "c"), F.array_except("c", "s")).alias("delta"))
+    far = written(mixed.sparkSession, "minhash-deltas", far)
+    sized = far.groupBy("centre", "inside").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("delta")).alias("items"))
+    blocks = sized.withColumn("blocks", F.greatest(F.ceil(F.col("rows") / block_rows),
+                                                   F.ceil(F.col("items") / block_items)).cast("int"))
+    wide = blocks.groupBy("centre").agg(
+        F.coalesce(F.max(F.when(F.col("inside"), F.col("blocks"))), F.lit(0)).alias("ins"),
+        F.coalesce(F.max(F.when(~F.col("inside"), F.col("blocks"))), F.lit(0)).alias("outs"))
+    dealt = far.join(wide, "centre").withColumn("own", F.pmod(
+        F.xxhash64("node"), F.when(F.col("inside"), F.col("ins")).otherwise(F.col("outs"))).cast("int"))
+    # outsiders (first blocks) meet each other and the insiders (last blocks); insiders are one component
+    every = lambda lo, hi: F.when(hi > lo, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<int>"))
+    zero = F.lit(0)
+    outs = F.transform(every(zero, F.col("outs") + F.col("ins")), lambda other: F.struct(
+        F.least("own", other).alias("i"), F.greatest("own", other).alias("j")))
+    ins = F.transform(every(zero, F.col("outs")), lambda other: F.struct(
+        other.alias("i"), (F.col("outs") + F.col("own")).alias("j")))
+    sent = dealt.select("centre", "node", "label", "inside", "n", "delta",
+                        F.explode(F.when(F.col("inside"), ins).otherwise(outs)).alias("at"))
+    sent = sent.select("centre", "at.i", "at.j", "node", "label", "n", "delta")
+    return sent.groupBy("centre", "i", "j").applyInArrow(_block_solver(percent), "a binary, b binary").distinct()
+
+
+def _block_solver(percent: int):
+    def solve(rows: pa.Table) -> pa.Table:
+        node, label = rows["node"].to_pylist(), rows["label"].to_pylist()
+        n = np.array(rows["n"].to_numpy(), np.int64)
+        column = rows["delta"].combine_chunks()
+        size = np.diff(column.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(node)), size)
+        value, item, count = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        shared = count[item] > 1                          # what only one node has is in no overlap
+        owner, item = owner[shared], item[shared]
+        order = np.argsort(item, kind="stable")
+        owner, item = owner[order], np.unique(item[order], return_inverse=True)[1]
+        overlap = np.zeros((len(node), len(node)), np.float32)
+        for lo in range(0, int(item.max(initial=-1)) + 1, 2048):
+            a, b = np.searchsorted(item, [lo, lo + 2048])
+            part = np.zeros((len(node), 2048), np.float32)
+            part[owner[a:b], item[a:b] - lo] = 1
+            overlap += part @ part.T
+        apart = size[:, None] + size[None] - 2 * overlap.astype(np.int64)       # of the two sets
+        both = (n[:, None] + n[None] - apart) // 2
+        linked = np.argwhere(np.triu(both * 100 >= (both + apart) * percent, 1))
+        root = {x: x for x in label}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in linked.tolist():
+            x, y = find(label[i]), find(label[j])
+            if x != y:
+                root[x] = y
+                out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+    return solve
 
 
 def _result(sketch: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
