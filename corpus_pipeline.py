@@ -23,8 +23,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import op5_minhash, op7_tiling, op8_quality, op9_bpe, op10_secrets, spans
-from reconlake.llm.store import bounded_batches, table, written
+from reconlake.llm import op5_minhash, op7_tiling, op8_quality, op9_bpe, op10_secrets
+from reconlake.llm.store import bounded_batches, free_name, table, written
 from reconlake.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -33,13 +33,14 @@ TOKENIZER = "word_bpe_49k.json"
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     model = op8_quality.train(docs, table(spark, sf_dir, "labels"))
-    return op8_quality.with_score(docs, model, "__score").where(F.col("__score") >= 0.5).drop("__score")
+    score = free_name(docs, "score")
+    return op8_quality.with_score(docs, model, score).where(F.col(score) >= 0.5).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    copies = op5_minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    copies = op5_minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +50,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ledger = op10_secrets.BlobLedger(spark, scratch_path(spark, "pipeline-ledger"))
-    found = ledger.scan(docs).where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("__spans"))
-    blob = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    marked = docs.withColumn("__blob", blob).join(found.withColumnRenamed("blob", "__blob"), "__blob", "left")
-    clean = spans.let(F.col("__spans"), lambda s: op10_secrets.redacted(F.col("text"), s))
-    hit = F.col("__spans").isNotNull()
-    text = F.when(hit, clean).otherwise(F.col("text"))
+    blob, found = free_name(docs, "blob"), free_name(docs, "found")
+    spans_of = ledger.scan(docs).where(F.size("spans") > 0).groupBy(F.col("blob").alias(blob)).agg(
+        F.first("spans").alias(found))
+    marked = docs.withColumn(blob, op10_secrets.address(F.col("text"))).join(spans_of, blob, "left")
+    hit = F.col(found).isNotNull()
+    text = F.when(hit, op10_secrets.redacted(F.col("text"), F.col(found))).otherwise(F.col("text"))
     out = {"text": text, "n_chars": F.when(hit, F.length(text)).otherwise(F.col("n_chars"))}
     return marked.select(*[out[c].cast(docs.schema[c].dataType).alias(c) if c in out else F.col(c)
                            for c in docs.columns])

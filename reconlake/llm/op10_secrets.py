@@ -61,11 +61,14 @@ RULES = (
 )
 
 
+def address(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
 def addressed(docs: DataFrame) -> DataFrame:
     """(doc_id, blob, text): every row's text with its content address."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("blob"),
-                       text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), address(F.col("text")).alias("blob"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def scan_new(docs: DataFrame, versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
@@ -122,13 +125,19 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def redacted(text: Column, found: Column) -> Column:
-    """``text`` with every span replaced by [REDACTED]; spans may overlap."""
-    # spans are sorted by start; a piece runs from the furthest end so far to the next start
-    start = F.aggregate(
-        found, F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                     F.lit("[REDACTED]")).alias("out"), s["end"].alias("at")))
-        .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2147483647))))
-    return F.when(F.size(found) > 0, start).otherwise(text)
+    """``text`` with every span replaced by [REDACTED], overlapping spans by one."""
+    def parts(f: Column) -> Column:
+        # the furthest end before each span; spans are sorted by start
+        reach = F.transform(f, lambda _, i: F.coalesce(F.array_max(F.transform(F.slice(f, 1, i), lambda s: s["end"])),
+                                                       F.lit(0).cast("long")))
+        return spans.let(reach, lambda r: F.filter(F.transform(f, lambda s, i: F.struct(
+            F.get(r, i).alias("from"), s["start"].alias("to"))), lambda p: p["to"] >= p["from"]))
+
+    def glued(f: Column) -> Column:
+        pieces = F.transform(parts(f), lambda p: F.substring(
+            text, (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))
+        last = F.array_max(F.transform(f, lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, "[REDACTED]"), F.lit("[REDACTED]"),
+                        F.substring(text, (last + 1).cast("int"), F.length(text)))
+
+    return spans.let(found, lambda f: F.when(F.size(f) > 0, glued(f)).otherwise(text))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reconlake.llm import words
+from reconlake.llm.store import free_name
 
 U = np.uint64
 GAPS = np.ones(256, bool)
@@ -168,7 +169,7 @@ def _covered(token: np.ndarray, start: np.ndarray, seed: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def with_tiles(docs: DataFrame, benchmark: DataFrame, name: str = "__tiles", seed: int = 5,
+def with_tiles(docs: DataFrame, benchmark: DataFrame, name: str = "tiles", seed: int = 5,
                block_tokens: int = 4_000_000) -> DataFrame:
     """``docs`` with the tiled items of each row: item_id, covered, tokens."""
     spark = docs.sparkSession
@@ -201,16 +202,17 @@ def contaminating(name: str, percent: int):
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, seed: int = 5, percent: int = 50) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, columns as they were."""
-    tiled = with_tiles(docs, benchmark, "__tiles", seed)
-    return tiled.where(F.size(contaminating("__tiles", percent)) == 0).drop("__tiles")
+    name = free_name(docs, "tiles")
+    tiled = with_tiles(docs, benchmark, name, seed)
+    return tiled.where(F.size(contaminating(name, percent)) == 0).drop(name)
 
 
 def coverage(docs: DataFrame, benchmark: DataFrame, seed: int = 5, percent: int = 50) -> DataFrame:
     """doc_id, n_items, items, best_coverage, contaminated per row of ``docs``."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tiled = with_tiles(base, benchmark, "__tiles", seed)
-    bad = contaminating("__tiles", percent)
-    share = F.transform("__tiles", lambda x: x["covered"] / x["tokens"])
+    tiled = with_tiles(base, benchmark, "tiles", seed)
+    bad = contaminating("tiles", percent)
+    share = F.transform("tiles", lambda x: x["covered"] / x["tokens"])
     return tiled.select("doc_id", F.size(bad).cast("long").alias("n_items"),
                         F.array_sort(F.transform(bad, lambda x: x["item_id"])).alias("items"),
                         F.coalesce(F.array_max(share), F.lit(0.0)).alias("best_coverage"),

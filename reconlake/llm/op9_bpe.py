@@ -11,7 +11,7 @@ latest, and what lies beyond it is kept from the chunks. So ids are exactly thos
 of encoding the whole text. Words are encoded once per task in the same way.
 
 Nulls, ties, odd rows: a null text is encoded as the empty text (no ids, empty
-decoded text). Rows are independent of each other; other columns pass through.
+decoded text). Rows are independent of each other. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -166,8 +166,9 @@ def _apply(docs: DataFrame, path: str, full: bool, added: list[T.StructField]) -
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with ids and decoded text of every row."""
-    return _apply(docs, path, True, [T.StructField("ids", T.ArrayType(T.IntegerType())),
+    """doc_id, text, ids, decoded per row of ``docs``."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _apply(base, path, True, [T.StructField("ids", T.ArrayType(T.IntegerType())),
                                      T.StructField("decoded", T.StringType())])
 
 

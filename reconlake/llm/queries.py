@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reconlake.llm import (
     op1_crf,
+    op2_repeats,
     op3_chat,
     op4_pii,
     op5_minhash,
@@ -30,6 +31,11 @@ def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_crf.main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op2_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of control strings."""
     bounded_batches(spark)
@@ -76,6 +82,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_crf": op1_html_crf,
+    "op2_repeated_bytes": op2_repeated_bytes,
     "op3_chat_parts": op3_chat_parts,
     "op4_contextual_pii": op4_contextual_pii,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,

@@ -22,3 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
     """Arrow batches are cut by bytes too, so that very long texts don't pile up in one."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
