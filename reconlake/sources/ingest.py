@@ -42,11 +42,6 @@ DATE_FOLDER = r"/(\d{4}-\d{2}-\d{2})/"
 FILE_PATH = "_metadata.file_path"
 
 
-def drop_present(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Drop columns if present (``DataFrame.drop`` already ignores absent names)."""
-    return df.drop(*[c for c in cols if c in df.columns])
-
-
 def partition_date(path: Column) -> Column:
     """Date folder of a file path; NULL when the path has no such folder.
     ``try_to_date`` because an empty match must not raise under ANSI mode."""
@@ -63,7 +58,7 @@ def bronze_cdr(df: DataFrame, path_col: str | None = FILE_PATH, rescued: bool =
     """Usage bronze: drop capture columns, add path date, ingestion time, source file.
     ``_rescued_data`` is added as NULL when the source did not create one."""
     path = _path_col(df, path_col)
-    out = drop_present(df, CDR_EXCLUDE)
+    out = df.drop(*CDR_EXCLUDE)
     out = out.withColumn("partition_date", partition_date(path)) \
              .withColumn("bronze_ingestion_time", F.current_timestamp()) \
              .withColumn("bronze_source_file", path)
@@ -77,7 +72,7 @@ def bronze_cdr(df: DataFrame, path_col: str | None = FILE_PATH, rescued: bool =
 def bronze_edr(df: DataFrame, path_col: str | None = FILE_PATH) -> DataFrame:
     """Charge bronze: drop capture columns, add ingestion time and source file."""
     path = _path_col(df, path_col)
-    out = drop_present(df, EDR_EXCLUDE)
+    out = df.drop(*EDR_EXCLUDE)
     out = out.withColumn("bronze_ingestion_time", F.current_timestamp()) \
              .withColumn("bronze_source_file", path)
     if path_col and path_col != FILE_PATH and path_col in out.columns:
