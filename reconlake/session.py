@@ -53,14 +53,23 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return ensure_session(spark)
 
 
+def is_local(master: str) -> bool:
+    """One process: ``local``, ``local[n]``; not ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) do we create one, once per
-    session, and register it so later calls and ``checkpoint()`` agree."""
+    Only when nothing is configured and everything runs in one process (a
+    ``local`` master, as in tests) do we create one, once per session, and
+    register it so later calls and ``checkpoint()`` agree. On a cluster a folder
+    of the driver's machine would be another folder on each executor: an error."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reconlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)      # so DataFrame.checkpoint() writes there too
