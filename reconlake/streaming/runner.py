@@ -98,13 +98,20 @@ def bronze_edr_stream(spark: SparkSession, table: str, schema: StructType, max_f
 CDR_DEDUP_WATERMARK = "1 day"
 
 
-def silver_cdr_stream(bronze: DataFrame, bounded: bool = False) -> DataFrame:
+def _valid(rows: DataFrame, rules: list, validate_first: bool) -> DataFrame:
+    """With ``validate_first`` the drop rules come before the dedup too: an invalid
+    first arrival can't shadow a valid one, and rows without a key don't pile up in
+    one state partition."""
+    return expectations.apply(rows, [r for r in rules if r.action == expectations.DROP]) if validate_first else rows
+
+
+def silver_cdr_stream(bronze: DataFrame, bounded: bool = False, validate_first: bool = False) -> DataFrame:
     """Enrich, stream dedup on (call_id, msisdn, service_type), finish,
     expectations. Default: no watermark, state kept for every key (the
     reference). ``bounded=True``: duplicates are only removed within a 1 day
     event-time watermark and their state is then dropped, so state stays
     proportional to one day of traffic."""
-    rows = clean.enrich_cdr(bronze)
+    rows = _valid(clean.enrich_cdr(bronze), expectations.CDR_RULES, validate_first)
     keys = ["call_id", "msisdn", "service_type"]
     if bounded:
         rows = rows.withWatermark("timestamp_parsed", CDR_DEDUP_WATERMARK).dropDuplicatesWithinWatermark(keys)
@@ -115,13 +122,13 @@ def silver_cdr_stream(bronze: DataFrame, bounded: bool = False) -> DataFrame:
                               expectations.CDR_RULES)
 
 
-def silver_edr_stream(bronze: DataFrame, bounded: bool = False) -> DataFrame:
+def silver_edr_stream(bronze: DataFrame, bounded: bool = False, validate_first: bool = False) -> DataFrame:
     """Enrich, dedup on session_id after a 1 day watermark, expectations.
 
     With ``bounded=False`` (the reference) the watermark does not bound the
     dedup state because the event time is not a key; ``bounded=True`` uses
     ``dropDuplicatesWithinWatermark``: state expires, late duplicates drop."""
-    rows = clean.clean_edr(bronze).withWatermark("timestamp_parsed", EDR_DEDUP_WATERMARK)
+    rows = _valid(clean.clean_edr(bronze), expectations.EDR_RULES, validate_first).withWatermark("timestamp_parsed", EDR_DEDUP_WATERMARK)
     rows = rows.dropDuplicatesWithinWatermark(["session_id"]) if bounded else rows.dropDuplicates(["session_id"])
     return expectations.apply(expectations.observe(rows, expectations.EDR_RULES, "edr_expectations"),
                               expectations.EDR_RULES)
