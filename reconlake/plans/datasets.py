@@ -9,11 +9,14 @@ carries the table's comment, properties and partition columns (kept in a
 * ``scd1``: a keyed target declared apart from its flow (created empty with
   its schema), fed by the staging stream through the merge-on-read upsert;
 * ``materialized_view``: recomputed in batch and overwritten;
-* ``incremental_view``: a view partitioned by one column whose changed
-  partitions are known (``changed``); only those are recomputed
-  (``recompute``) and swapped in with dynamic partition overwrite, after
-  being staged, so no job overwrites what it reads. The first refresh builds
-  it whole.
+* ``incremental_view``: a view partitioned by one column over a streaming
+  table partitioned alike (``source``). The view keeps, per partition, a
+  fingerprint of the source files that it has folded in; partitions whose files
+  in the source's sink log differ from that are recomputed (``recompute``) and
+  swapped in with dynamic partition overwrite, after being staged, so no job
+  overwrites what it reads. The fingerprint advances only after the swap, so a
+  run that stopped anywhere, or a replayed batch, is caught up by the next one.
+  No clock is involved. The first refresh builds the view whole.
 
 There is no dependency resolution: the list is ordered by hand, as a
 declarative pipeline's graph would order it.
@@ -50,18 +53,21 @@ class Dataset:
     keys: list[str] = field(default_factory=list)          # scd1 only
     sequence_by: str = pl.SEQUENCE                          # scd1 only
     max_deltas: int = 32                                    # scd1 only: compact beyond this many deltas
-    changed: Callable[["Catalog"], DataFrame] | None = None              # incremental only
+    source: str = ""                                                     # incremental only
     recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
 
+# files that any stream of the pipeline takes in at once
+MAX_FILES = 100
+
+
 class Catalog:
     """Dataset name -> folder under ``root``; reads and stream-reads by name."""
 
     def __init__(self, spark: SparkSession, root: str, specs: dict[str, Dataset] | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.specs = specs or {}
-        # start of this refresh (UTC, the clock micro-batch timestamps come from)
-        self.run_started = datetime.now(timezone.utc).replace(tzinfo=None)
+        self.run_started = datetime.now(timezone.utc)      # zone-aware: the driver's zone doesn't matter
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -88,9 +94,12 @@ class Catalog:
             return self.spark.read.schema(stored).parquet(self.path(name))
         return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
 
-    def read_stream(self, name: str) -> DataFrame:
-        schema = self.schema(name) or self.read(name).schema
-        return self.spark.readStream.schema(schema).parquet(self.path(name))
+    def read_stream(self, name: str, max_files: int | None = MAX_FILES) -> DataFrame:
+        """A stream of the table, at most ``max_files`` new files in a micro-batch."""
+        reader = self.spark.readStream.schema(self.schema(name) or self.read(name).schema)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.parquet(self.path(name))
 
     def describe(self, name: str) -> dict:
         return json.loads(self.spark.read.text(f"{self.path(name)}._table.json", wholetext=True).first()[0])
@@ -121,17 +130,83 @@ def _record_metrics(cat: Catalog, dataset: str, totals: dict[str, dict[str, int]
             .coalesce(1).write.mode("append").parquet(f"{cat.root}/{METRICS_TABLE}"))
 
 
+def sink_partitions(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """(partition, n, h): per partition of a streaming table, the number of its files
+    and the sum of their paths' hashes, from the sink's log (its compacted files
+    repeat entries; a path counts once)."""
+    entries = spark.read.text(f"{path}/_spark_metadata").where(F.col("value").startswith("{"))
+    file = F.get_json_object("value", "$.path")
+    files = entries.select(file.alias("file")).distinct().select(
+        F.regexp_extract("file", f"/{by}=([^/]+)/", 1).alias("partition"), "file")
+    return files.groupBy("partition").agg(F.count(F.lit(1)).alias("n"),
+                                          F.sum(F.xxhash64("file").cast("decimal(38,0)")).alias("h"))
+
+
+FOLDED = "partition string, n long, h decimal(38,0)"
+
+
+def _folded(cat: Catalog, name: str) -> DataFrame:
+    """The fingerprints of the view's last finished refresh."""
+    versions = [int(v[2:]) for v in upsert.listing(cat.spark, f"{cat.path(name)}._folded") if v.startswith("v=")
+                and "_SUCCESS" in upsert.listing(cat.spark, f"{cat.path(name)}._folded/{v}")]
+    if not versions:
+        return cat.spark.createDataFrame([], FOLDED)
+    return cat.spark.read.schema(FOLDED).parquet(f"{cat.path(name)}._folded/v={max(versions)}")
+
+
+def _fold(cat: Catalog, name: str, now: DataFrame) -> None:
+    versions = [int(v[2:]) for v in upsert.listing(cat.spark, f"{cat.path(name)}._folded") if v.startswith("v=")]
+    now.coalesce(1).write.mode("overwrite").parquet(f"{cat.path(name)}._folded/v={max(versions, default=-1) + 1}")
+
+
+def changed_partitions(cat: Catalog, ds: Dataset, now: DataFrame) -> DataFrame:
+    """Values of the view's partition column whose source files are not those folded in."""
+    a, b = now.alias("a"), _folded(cat, ds.name).alias("b")
+    same = F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.h").eqNullSafe(F.col("b.h"))
+    by = ds.partition_cols[0]
+    return a.join(b, "partition", "full_outer").where(~same).select(
+        F.col("partition").try_cast(cat.schema(ds.name)[by].dataType).alias(by)).where(F.col(by).isNotNull())
+
+
+def _refresh_incremental(cat: Catalog, ds: Dataset, whole: DataFrame) -> None:
+    by, path = ds.partition_cols[0], cat.path(ds.name)
+    now = scratch_path(cat.spark, "incremental-position")
+    # read before the rows: files that land later are caught up by the next refresh
+    sink_partitions(cat.spark, cat.path(ds.source), by).write.parquet(now)
+    position = cat.spark.read.schema(FOLDED).parquet(now)
+    if cat.schema(ds.name) is None:
+        layout.write_partitioned(whole, path, by, dynamic=False)
+    else:
+        fresh = ds.recompute(cat, changed_partitions(cat, ds, position))
+        stage = scratch_path(cat.spark, "incremental-stage")
+        layout.write_partitioned(fresh, stage, by, dynamic=False)
+        # known schema: an empty refresh stages no file to infer one from
+        layout.write_partitioned(cat.spark.read.schema(fresh.schema).parquet(stage), path, by, dynamic=True)
+    _fold(cat, ds.name, position)
+
+
 def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
     """Run every dataset once, in list order: streams to the end of their
     available input, upsert flows (then compaction if due), views. A failing
     stream (a fail rule) aborts the refresh, as a failed update would."""
     cat = Catalog(spark, root, {d.name: d for d in datasets})
+    listener = metrics.ExpectationListener()
+    spark.streams.addListener(listener)
+    try:
+        _refresh_all(cat, datasets, listener)
+    finally:
+        spark.streams.removeListener(listener)
+    return cat
+
+
+def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.ExpectationListener) -> None:
+    spark = cat.spark
     for ds in datasets:
         path = cat.path(ds.name)
         df = ds.build(cat)
         if ds.kind == STREAMING:
             q = runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
-            _record_metrics(cat, ds.name, metrics.observed_totals(q))
+            _record_metrics(cat, ds.name, listener.totals_of(q))
         elif ds.kind == SCD1:
             upsert.declare(spark, path, df.schema)
             upsert.upsert_stream(df, path, f"{path}._checkpoint")
@@ -143,25 +218,16 @@ def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
             else:
                 df.write.mode("overwrite").parquet(path)
         elif ds.kind == INCREMENTAL:
-            by = ds.partition_cols[0]
-            if cat.schema(ds.name) is None:
-                layout.write_partitioned(df, path, by, dynamic=False)
-            else:
-                fresh = ds.recompute(cat, ds.changed(cat))
-                stage = scratch_path(spark, "incremental-stage")
-                layout.write_partitioned(fresh, stage, by, dynamic=False)
-                # known schema: an empty refresh stages no file to infer one from
-                staged = spark.read.schema(fresh.schema).parquet(stage)
-                layout.write_partitioned(staged, path, by, dynamic=True)
+            _refresh_incremental(cat, ds, df)
         else:
             raise ValueError(f"unknown dataset kind {ds.kind!r}")
         _write_meta(cat, ds, df)
-    return cat
 
 
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
-              calendar_range: tuple[str, str] = pl.GOLD_CALENDAR, money_scale: int | None = None,
-              gold: str = "stream", cdr_hints: str | None = None) -> list[Dataset]:
+              calendar_range: tuple[str, str], money_scale: int | None = None,
+              gold: str = "stream", cdr_hints: str | None = None, bounded: bool = False,
+              validate_first: bool = False) -> list[Dataset]:
     """The reference's datasets: bronze, silver staging, silver upsert targets,
     calendar, gold detail and gold summary.
 
@@ -170,8 +236,15 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
     logs (rows without event time go to quarantine tables), so each refresh
     matches only new rows; rows are final once both watermarks pass them. The
     summary is an incremental view: only business dates that received detail
-    rows in this refresh are recomputed (found by the detail's processing
-    timestamp, which Parquet min/max statistics prune by file).
+    files since its last finished refresh are recomputed (found in the sink's log).
+
+    The join takes the backlog of the staging logs as one batch: their files are
+    not in event-time order, and a limit would let the watermark of one batch pass
+    the rows of the next. Rows that a watermark drops all the same (files that
+    land later than it allows) are counted in the metrics table ("late_rows");
+    ``gold="batch"`` reconciles them.
+
+    ``bounded`` and ``validate_first`` are passed to the silver streams.
 
     ``gold="batch"``: the detail is recomputed from the upsert snapshots at each
     refresh (reflects updates to already reconciled rows) and the summary with
@@ -185,19 +258,14 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
         return classify.derive(rec)
 
     def detail_stream(cat: Catalog) -> DataFrame:
-        cdr, _ = runner.quarantine(cat.read_stream("silver.cdr_staging"))
-        edr, _ = runner.quarantine(cat.read_stream("silver.edr_staging"))
+        cdr, _ = runner.quarantine(cat.read_stream("silver.cdr_staging", max_files=None))
+        edr, _ = runner.quarantine(cat.read_stream("silver.edr_staging", max_files=None))
         return runner.reconcile_stream(cdr, edr, cat.read("silver.calendar"), days)
 
     def summary_full(cat: Catalog) -> DataFrame:
         return summary.summarize_sql(cat.spark, cat.read("gold.reconciliation_detail"), "reconciliation_detail",
                                      money=money)
 
-    def summary_dates(cat: Catalog) -> DataFrame:
-        stamp = F.lit(cat.run_started).cast("timestamp")
-        return (cat.read("gold.reconciliation_detail").where(F.col("reconciliation_timestamp") >= stamp)
-                   .select("business_date").distinct())
-
     def summary_dates_rows(cat: Catalog, dates: DataFrame) -> DataFrame:
         detail = cat.read("gold.reconciliation_detail").join(dates, "business_date", "left_semi")
         return summary.summarize_sql(cat.spark, detail, "reconciliation_detail", money=money)
@@ -205,18 +273,18 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
     specs = [
         Dataset("bronze.cdr_events", STREAMING,
                 lambda cat: runner.bronze_cdr_stream(cat.spark, landing_cdr, cdr_schema, hints=cdr_hints),
-                "Raw usage records from the capture files, partitioned by date folder",
+                "What the usage capture delivered, less its own columns, with file and path date",
                 {"quality": "bronze", "clustering": "call_id,msisdn"}),
         Dataset("bronze.edr_events", STREAMING,
                 lambda cat: runner.bronze_edr_stream(cat.spark, landing_edr, edr_schema),
-                "Raw charge records from the append-only charge table",
+                "What the charge table delivered, less capture columns, with its file",
                 {"quality": "bronze", "clustering": "session_id,cdr_call_id,msisdn"}),
         Dataset("silver.cdr_staging", STREAMING,
-                lambda cat: runner.silver_cdr_stream(cat.read_stream("bronze.cdr_events")),
-                "Cleaned and validated usage records"),
+                lambda cat: runner.silver_cdr_stream(cat.read_stream("bronze.cdr_events"), bounded, validate_first),
+                "Usage rows that passed the rules, first arrivals only"),
         Dataset("silver.edr_staging", STREAMING,
-                lambda cat: runner.silver_edr_stream(cat.read_stream("bronze.edr_events")),
-                "Cleaned and validated charge records"),
+                lambda cat: runner.silver_edr_stream(cat.read_stream("bronze.edr_events"), bounded, validate_first),
+                "Charge rows that passed the rules, first arrivals only"),
         Dataset("silver.cdr_events_silver", SCD1, lambda cat: cat.read_stream("silver.cdr_staging"),
                 "Current usage record per call (SCD type 1)", {"quality": "silver", "layer": "silver"},
                 ["business_date"], keys=pl.CDR_KEYS),
@@ -224,7 +292,7 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
                 "Current charge record per session (SCD type 1)", {"quality": "silver", "layer": "silver"},
                 ["business_date"], keys=pl.EDR_KEYS),
         Dataset("silver.calendar", VIEW, lambda cat: calendar_dim.build(cat.spark, *calendar_range),
-                "Calendar dimension with date attributes and holidays", {"layer": "silver"}),
+                "One row per day of the range, with its attributes", {"layer": "silver"}),
     ]
     if gold == "stream":
         specs += [
@@ -234,17 +302,17 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
             Dataset("gold.quarantine_edr", STREAMING,
                     lambda cat: runner.quarantine(cat.read_stream("silver.edr_staging"))[1],
                     "Charge records without event time (kept out of the join state)"),
-            Dataset("gold.reconciliation_detail", STREAMING, detail_stream, "Reconciliation detail events",
+            Dataset("gold.reconciliation_detail", STREAMING, detail_stream, "Usage and charges side by side, with the outcome of each match",
                     {"quality": "gold", "layer": "gold"}, ["business_date"]),
-            Dataset("gold.reconciliation_summary", INCREMENTAL, summary_full, "Daily reconciliation summary",
+            Dataset("gold.reconciliation_summary", INCREMENTAL, summary_full, "Counts and amounts per day, outcome and severity",
                     {"quality": "gold", "layer": "gold"}, ["business_date"],
-                    changed=summary_dates, recompute=summary_dates_rows),
+                    source="gold.reconciliation_detail", recompute=summary_dates_rows),
         ]
     elif gold == "batch":
         specs += [
-            Dataset("gold.reconciliation_detail", VIEW, detail_batch, "Reconciliation detail events",
+            Dataset("gold.reconciliation_detail", VIEW, detail_batch, "Usage and charges side by side, with the outcome of each match",
                     {"quality": "gold", "layer": "gold"}, ["business_date"]),
-            Dataset("gold.reconciliation_summary", VIEW, summary_full, "Daily reconciliation summary",
+            Dataset("gold.reconciliation_summary", VIEW, summary_full, "Counts and amounts per day, outcome and severity",
                     {"quality": "gold", "layer": "gold"}),
         ]
     else:

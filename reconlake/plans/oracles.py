@@ -24,7 +24,8 @@ EDR_BRONZE_COLS = """session_id, msisdn, cdr_call_id, "timestamp", charge_amount
 EDR_SILVER_COLS = EDR_BRONZE_COLS + """, timestamp_parsed, business_date,
   CAST(charge_amount_decimal AS DOUBLE) AS charge_amount_decimal, msisdn_normalized, has_quality_issue"""
 
-GOLD_CAL = calendar_sql("DATE '2024-01-01'", "DATE '2024-01-25'")
+# reconcile_calendar alone takes a calendar shorter than the data
+SHORT_CAL = calendar_sql("DATE '2024-01-01'", "DATE '2024-01-25'")
 
 STRINGLY = """
 stringly AS (
@@ -65,6 +66,7 @@ EVENT_YEARS = """(SELECT date_trunc('year', min(CAST(ts AS DATE))) FROM events)"
     """(SELECT CAST(date_trunc('year', max(CAST(ts AS DATE))) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE)
         FROM events)"""
 DATA_CAL = calendar_sql(EVENT_YEARS[0], EVENT_YEARS[1], name="dcal")
+GOLD_CAL = calendar_sql(*EVENT_YEARS)
 
 DETAIL_SELECT = f"""SELECT rec.*, {CAL_COLS} FROM rec JOIN cal ON rec.business_date = cal.date"""
 
@@ -165,7 +167,7 @@ SELECT call_id, 'update_postimage', expected_charge + 1.0, 'CORRECTED' FROM cdr_
                             DATA_CAL),
     "reconcile_full_outer": _q("SELECT * FROM rec", *_GOLD),
     "reconcile_calendar": _q(f"SELECT rec.business_date, rec.call_id, rec.session_id, {CAL_COLS} "
-                             "FROM rec JOIN cal ON rec.business_date = cal.date", *_GOLD, GOLD_CAL),
+                             "FROM rec JOIN cal ON rec.business_date = cal.date", *_GOLD, SHORT_CAL),
     "reconcile_quality_side": _q("SELECT call_id, session_id, cdr_has_quality_issue, edr_has_quality_issue, "
                                  "reconciled FROM scored", *_GOLD, CLASSIFY.format(derive=DERIVE_COLS, src="rec")),
     "reconcile_variance": _q("SELECT call_id, session_id, volume_variance, variance, variance_percent FROM scored",
@@ -209,7 +211,7 @@ ORACLES.update({
     "medallion_summary": ORACLES["reconciliation_summary"],
     "layout_clustered": _q("SELECT call_id, msisdn, service_type FROM cdr_clean", *_ALL),
     "layout_compacted": _q("SELECT business_date, call_id, session_id, mismatch_type FROM scored", *_DETAIL),
-    "partition_pruned_read": _q("SELECT business_date, count(*) AS record_count FROM scored WHERE business_date IN "
-                                "(DATE '2024-01-03', DATE '2024-01-10', DATE '2024-01-17') GROUP BY business_date",
+    "partition_pruned_read": _q("SELECT business_date, count(*) AS record_count FROM scored WHERE business_date - "
+                                "(SELECT min(business_date) FROM scored) IN (2, 9, 16) GROUP BY business_date",
                                 *_DETAIL),
 })

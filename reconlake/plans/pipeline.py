@@ -3,9 +3,8 @@
 bronze (drop, path date, lineage) -> silver (enrich, dedup, finish,
 expectations, SCD1 snapshot) -> gold (match, calendar, classify) -> summary.
 
-Each function returns a lazy DataFrame; nothing is collected. ``Pipeline``
-caches nothing either: a caller that reuses a stage writes it out (see
-``materialize``) so lineage is cut at a shared location.
+Each function returns a lazy DataFrame; nothing is collected or cached. With
+``materialize``, the silver snapshots are checkpointed in the shared folder.
 """
 
 from __future__ import annotations
@@ -13,10 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reconlake.functions import calendar_dim, classify, clean
 from reconlake.operators import dedup, expectations, reconcile, scd, summary
-from reconlake.session import _checkpoint_root, ensure_session, scratch_path
+from reconlake.session import _checkpoint_root, ensure_session
 from reconlake.sources import fixtures, ingest
 
 # Dedup and upsert keys of both flows.
@@ -26,9 +26,6 @@ CDR_KEYS = ["call_id"]
 EDR_KEYS = ["session_id"]
 SEQUENCE = "silver_processing_time"
 
-# Calendar range used by the gold keys (drops the tail of the test month on purpose).
-GOLD_CALENDAR = ("2024-01-01", "2024-01-25")
-
 
 def bronze_cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.bronze_cdr(fixtures.cdr_raw(spark, sf_dir), path_col="source_path")
@@ -70,8 +67,12 @@ def silver_edr(staging: DataFrame) -> DataFrame:
     return scd.apply_scd1(staging, EDR_KEYS, SEQUENCE)
 
 
-def calendar(spark: SparkSession, start: str = GOLD_CALENDAR[0], end: str = GOLD_CALENDAR[1]) -> DataFrame:
-    return calendar_dim.build(spark, start, end)
+def event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(start, end): the whole years that cover all events, so no row falls out of the calendar."""
+    day = F.to_date(F.col("ts").cast("timestamp"))
+    return fixtures.read_table(ensure_session(spark), sf_dir, "events").agg(
+        F.trunc(F.min(day), "year").alias("start"),
+        F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("end"))
 
 
 def detail(cdr: DataFrame, edr: DataFrame, cal: DataFrame | None, cal_days: int | None = None,
@@ -84,11 +85,12 @@ def detail(cdr: DataFrame, edr: DataFrame, cal: DataFrame | None, cal_days: int
 
 @dataclass
 class Pipeline:
-    """Lazy handles on every stage for one testdata directory."""
+    """Lazy handles on every stage for one testdata directory. Without a
+    ``calendar_range`` the calendar covers all years of the data."""
 
     spark: SparkSession
     sf_dir: str
-    calendar_range: tuple[str, str] = GOLD_CALENDAR
+    calendar_range: tuple[str, str] | None = None
     strategy: str = "split"
     materialize: bool = False
     _memo: dict = field(default_factory=dict)
@@ -96,7 +98,7 @@ class Pipeline:
     def __post_init__(self):
         ensure_session(self.spark)
         if self.materialize:
-            _checkpoint_dir(self.spark)
+            _checkpoint_root(self.spark)
 
     def _get(self, name, fn):
         if name not in self._memo:
@@ -128,7 +130,14 @@ class Pipeline:
         return self._get("edr", lambda: self._silver(silver_edr(self.edr_staging())))
 
     def calendar(self):
-        return self._get("calendar", lambda: calendar(self.spark, *self.calendar_range))
+        if self.calendar_range is None:
+            return self._get("calendar", lambda: calendar_dim.build_from_bounds(
+                event_years(self.spark, self.sf_dir)))
+        return self._get("calendar", lambda: calendar_dim.build(self.spark, *self.calendar_range))
+
+    def calendar_days(self) -> int | None:
+        """Rows of the calendar, if the range is given."""
+        return reconcile.calendar_days(*self.calendar_range) if self.calendar_range else None
 
     def matched(self):
         return self._get("matched", lambda: reconcile.match(self.cdr(), self.edr(), strategy=self.strategy))
@@ -138,25 +147,8 @@ class Pipeline:
         return classify.derive(self.matched(), with_timestamp=with_timestamp)
 
     def detail(self, with_timestamp: bool = True):
-        days = reconcile.calendar_days(*self.calendar_range)
-        rec = reconcile.calendar_join(self.matched(), self.calendar(), days)
+        rec = reconcile.calendar_join(self.matched(), self.calendar(), self.calendar_days())
         return classify.derive(rec, with_timestamp=with_timestamp)
 
     def summary(self):
         return summary.summarize(self.detail())
-
-
-def _checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint`` has the shared folder to write to."""
-    return _checkpoint_root(spark)
-
-
-def materialize(df: DataFrame, spark: SparkSession, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a stage to the shared scratch location and read it back (cuts
-    lineage; a lost executor recomputes from the written files, not the chain)."""
-    path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)

@@ -260,24 +260,16 @@ def scd1_change_rows(spark, sf):
 
 # --- calendar -------------------------------------------------------------------------
 
-def _data_bounds(spark, sf):
-    """Whole years covering the event dates of the testdata (computed by Spark)."""
-    ev = fixtures.read_table(ensure_session(spark), sf, "events")
-    d = F.to_date(F.col("ts").cast("timestamp"))
-    return ev.agg(F.trunc(F.min(d), "year").alias("start"),
-                  F.date_sub(F.add_months(F.trunc(F.max(d), "year"), 12), 1).alias("end"))
-
-
 def calendar_spine(spark, sf):
-    return calendar_dim.spine_from_bounds(_data_bounds(spark, sf))
+    return calendar_dim.spine_from_bounds(pl.event_years(spark, sf))
 
 
 def calendar_dim_q(spark, sf):
-    return _out(calendar_dim.build_from_bounds(_data_bounds(spark, sf)))
+    return _out(calendar_dim.build_from_bounds(pl.event_years(spark, sf)))
 
 
 def calendar_holidays(spark, sf):
-    cal = calendar_dim.build_from_bounds(_data_bounds(spark, sf))
+    cal = calendar_dim.build_from_bounds(pl.event_years(spark, sf))
     return cal.where("is_holiday").select("date", "holiday_name", "is_holiday", "day_of_week")
 
 
@@ -287,9 +279,14 @@ def reconcile_full_outer(spark, sf):
     return _pipe(spark, sf).matched()
 
 
+# The inner join with a calendar drops dates outside it; only this key takes a
+# calendar shorter than the data, to show that.
+SHORT_CALENDAR = ("2024-01-01", "2024-01-25")
+
+
 def reconcile_calendar(spark, sf):
-    p = _pipe(spark, sf)
-    rec = reconcile.calendar_join(p.matched(), p.calendar(), reconcile.calendar_days(*p.calendar_range))
+    p = pl.Pipeline(ensure_session(spark), sf, SHORT_CALENDAR)
+    rec = reconcile.calendar_join(p.matched(), p.calendar(), p.calendar_days())
     keep = ["business_date", "call_id", "session_id"] + [f"cal_{c}" for c in reconcile.CALENDAR_OUT]
     return rec.select(*keep)
 
@@ -336,20 +333,25 @@ def reconciliation_summary_sql(spark, sf):
 
 
 def _detail_versions(spark, sf):
-    """Version 1 = detail as if charges after 2024-01-20 had not arrived yet;
-    version 2 = the full detail. Both derive from the same silver snapshots,
-    so those are checkpointed once."""
+    """Version 1 = detail as if the charges of the last third of the data's time
+    span had not arrived yet; version 2 = the full detail. Both derive from the
+    same silver snapshots, so those are checkpointed once."""
     p = pl.Pipeline(ensure_session(spark), sf, materialize=True)
-    late = F.col("timestamp_parsed") >= F.lit("2024-01-20 00:00:00").cast("timestamp")
-    v1 = pl.detail(p.cdr(), p.edr().where(~late | F.col("timestamp_parsed").isNull()), p.calendar(),
-                   reconcile.calendar_days(*p.calendar_range), with_timestamp=False)
-    v2 = p.detail(with_timestamp=False)
-    return v1, v2
+    ts = F.col("timestamp_parsed")
+    span = p.edr().agg(F.min(F.unix_micros(ts)).alias("a"), F.max(F.unix_micros(ts)).alias("b")).first()
+    known = ts.isNull()
+    if span["a"] is not None:
+        known = known | (F.unix_micros(ts) < F.lit(span["a"] + (span["b"] - span["a"]) * 2 // 3))
+    v1 = pl.detail(p.cdr(), p.edr().where(known), p.calendar(), p.calendar_days(), with_timestamp=False)
+    late = p.edr().where(~known).select("session_id")
+    return v1, p.detail(with_timestamp=False), late
 
 
 def summary_incremental(spark, sf):
-    v1, v2 = _detail_versions(spark, sf)
-    dates = summary.changed_dates(v1, v2)
+    """The dates to recompute are those of the rows that late charges entered: a
+    charge changes the rows of its own match only."""
+    v1, v2, late = _detail_versions(spark, sf)
+    dates = v2.join(late, "session_id", "left_semi").select("business_date").distinct()
     return summary.refresh(summary.summarize(v1, MONEY), v2, dates, MONEY)
 
 

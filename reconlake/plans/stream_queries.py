@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reconlake.functions import calendar_dim
 from reconlake.operators import layout, reconcile
 from reconlake.plans import pipeline as pl
 from reconlake.plans.queries import _cdr_versions, _out
@@ -92,22 +93,29 @@ def dedup_edr_bounded(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
+def years_of(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """First and last day of the whole years that cover the data."""
+    row = pl.event_years(spark, sf).first()
+    return str(row["start"]), str(row["end"])
+
+
 SENTINEL_CALL = "CALL-SENTINEL-000"
 SENTINEL_MSISDN = "+35899999999"
 
 
 def land_flush_pair(land: Landing) -> str:
-    """Land one usage record and its charge one day after the latest event
+    """Land one usage record and its charge two days after the latest event
     time found in the capture files: a control pair that moves both join
     watermarks past every real row, so the next run flushes the rows still
     waiting for a partner. It enters where data enters (the capture files, not
     the sink-managed tables downstream), passes every rule (valid ids, a time
-    in the past) and falls on a date after the data. Returns its call id."""
+    in the past) and falls on a date that no real row has (charges follow usage
+    within minutes). Returns that date."""
     spark = land.spark
     ts = F.to_timestamp(F.col("timestamp"))
     latest = (spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*")
                    .agg(F.max(ts).alias("t")).first()["t"])
-    at = F.lit(latest).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    at = F.lit(latest).cast("timestamp") + F.expr("INTERVAL 2 DAYS")
     iso = F.date_format(at, fixtures.ISO_FMT)
     day = F.date_format(at, "yyyy-MM-dd")
     cdr = (spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*").limit(1)
@@ -120,10 +128,10 @@ def land_flush_pair(land: Landing) -> str:
                               "msisdn": F.lit(SENTINEL_MSISDN),
                               "timestamp": F.date_format(at + F.expr("INTERVAL 1 MINUTE"), fixtures.ISO_FMT)}))
     edr.write.mode("append").parquet(land.edr_dir)
-    return SENTINEL_CALL
+    return folder
 
 
-def reconcile_stream(spark, sf, calendar_range: tuple[str, str] = pl.GOLD_CALENDAR):
+def reconcile_stream(spark, sf):
     """capture files (plus a flush pair) -> silver staging streams -> gold
     stream, each with ``availableNow``. The pair is processed with the data;
     the closing no-data batch then sees the watermark past every real row and
@@ -131,21 +139,22 @@ def reconcile_stream(spark, sf, calendar_range: tuple[str, str] = pl.GOLD_CALEND
     (Restart from checkpoint is tested in tests/test_streaming.py.)"""
     land = Landing(spark, sf)
     spark = land.spark
-    sentinel = land_flush_pair(land)
+    land_flush_pair(land)
     c_dir, e_dir = scratch_path(spark, "cdr_staging"), scratch_path(spark, "edr_staging")
     runner.wait(runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c_dir, f"{c_dir}.__checkpoint"),
                 runner.start(runner.silver_edr_stream(land.bronze_edr()), e_dir, f"{e_dir}.__checkpoint"))
-    cal_days = reconcile.calendar_days(*calendar_range)
+    years = years_of(spark, sf)
     out = scratch_path(spark, "gold_detail")
     cdr = spark.readStream.schema(_read(spark, c_dir).schema).parquet(c_dir)
     edr = spark.readStream.schema(_read(spark, e_dir).schema).parquet(e_dir)
     cdr, cdr_bad = runner.quarantine(cdr)
     edr, edr_bad = runner.quarantine(edr)
-    gold = runner.reconcile_stream(cdr, edr, pl.calendar(spark, *calendar_range), cal_days)
+    gold = runner.reconcile_stream(cdr, edr, calendar_dim.build(spark, *years),
+                                   reconcile.calendar_days(*years))
     runner.wait(runner.start(cdr_bad, f"{out}.__quarantine_cdr", f"{out}.__quarantine_cdr.__checkpoint"),
                 runner.start(edr_bad, f"{out}.__quarantine_edr", f"{out}.__quarantine_edr.__checkpoint"),
                 runner.start(gold, out, f"{out}.__checkpoint"))
-    detail = _read(spark, out).where(F.coalesce(F.col("call_id"), F.lit("")) != sentinel)
+    detail = _read(spark, out).where(F.coalesce(F.col("call_id"), F.lit("")) != SENTINEL_CALL)
     return _out(detail)
 
 
@@ -183,12 +192,14 @@ def medallion_summary(spark, sf):
     from reconlake.plans import datasets
     land = Landing(spark, sf)
     spark = land.spark
-    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, money_scale=4)
+    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema,
+                               years_of(spark, sf), money_scale=4)
     root = scratch_path(spark, "medallion")
     datasets.refresh(spark, specs, root)
-    land_flush_pair(land)          # dated after the calendar, so it adds no summary row
+    control = land_flush_pair(land)
     cat = datasets.refresh(spark, specs, root)
-    return cat.read("gold.reconciliation_summary")
+    # without the control pair's own date
+    return cat.read("gold.reconciliation_summary").where(F.col("business_date") != F.lit(control).cast("date"))
 
 
 # --- layout ---------------------------------------------------------------------------
@@ -196,7 +207,7 @@ def medallion_summary(spark, sf):
 def layout_clustered(spark, sf):
     p = pl.Pipeline(ensure_session(spark), sf)
     path = scratch_path(p.spark, "clustered")
-    layout.cluster_write(p.cdr(), path, ["call_id", "msisdn"], 8)
+    layout.cluster_write(p.cdr(), path, ["call_id", "msisdn"])
     return _read(p.spark, path).select("call_id", "msisdn", "service_type")
 
 
@@ -206,25 +217,37 @@ def _written_detail(p: pl.Pipeline, name: str) -> str:
     return path
 
 
-def layout_compacted(spark, sf):
+def fragmented_detail(spark, sf) -> tuple[str, str]:
+    """A detail table that was appended to in parts, and its date with most rows."""
     p = pl.Pipeline(ensure_session(spark), sf)
     path = _written_detail(p, "detail_table")
-    part = "business_date=2024-01-10"
-    new = layout.compact(p.spark, path, part, 1, f"{path}.__compact/{part}")
-    rest = _read(p.spark, path).where(F.col("business_date") != F.lit("2024-01-10").cast("date"))
-    one = _read(p.spark, new).withColumn("business_date", F.lit("2024-01-10").cast("date"))
-    return rest.unionByName(one).select("business_date", "call_id", "session_id", "mismatch_type")
+    rows = _read(p.spark, path)
+    parts = scratch_path(p.spark, "detail_parts")
+    for part in range(3):
+        mine = rows.where(F.pmod(F.xxhash64("call_id", "session_id"), F.lit(3)) == part)
+        mine.hint("rebalance", "business_date").write.mode("append").partitionBy("business_date").parquet(parts)
+    day = rows.groupBy("business_date").count().orderBy(F.desc("count"), "business_date").first()["business_date"]
+    return parts, str(day)
+
+
+def layout_compacted(spark, sf):
+    """The table after its largest date was compacted and swapped in."""
+    path, day = fragmented_detail(spark, sf)
+    layout.compact(spark, path, "business_date", day)
+    return _read(spark, path).select("business_date", "call_id", "session_id", "mismatch_type")
 
 
-PRUNED_DATES = ("2024-01-03", "2024-01-10", "2024-01-17")
+PRUNED_DAYS = (2, 9, 16)               # after the first date of the detail
 
 
 def partition_pruned_read(spark, sf):
     p = pl.Pipeline(ensure_session(spark), sf)
     path = _written_detail(p, "detail_pruned")
-    days = [F.lit(d).cast("date") for d in PRUNED_DATES]
-    return (_read(p.spark, path).where(F.col("business_date").isin(*days))
-            .groupBy("business_date").agg(F.count(F.lit(1)).alias("record_count")))
+    rows = _read(p.spark, path)
+    first = rows.agg(F.min("business_date").alias("d")).first()["d"]
+    days = [F.date_add(F.lit(first).cast("date"), n) for n in PRUNED_DAYS]
+    return rows.where(F.col("business_date").isin(*days)).groupBy("business_date").agg(
+        F.count(F.lit(1)).alias("record_count"))
 
 
 STREAM_QUERIES = {

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from reconlake.functions import rating
 from reconlake.operators import layout, scd, summary
 from reconlake.session import scratch_path
@@ -127,3 +128,29 @@ def test_changed_dates_only_flags_changed_days(spark):
     got = sorted(r.business_date for r in summary.changed_dates(v1, v2).collect())
     assert got == [d2, d3]
     assert summary.changed_dates(v1, v1).count() == 0
+
+
+def test_compact_replaces_the_files_of_one_partition(spark):
+    from reconlake.plans import stream_queries as sq
+    path, day = sq.fragmented_detail(spark, SF_SMALL)
+    files = lambda: {r[0]: r[1] for r in spark.read.parquet(path).groupBy("business_date").agg(
+        F.count_distinct(F.col("_metadata.file_path"))).collect()}
+    rows = lambda: sorted(map(str, spark.read.parquet(path).collect()))
+    before, content = files(), rows()
+    assert layout.compact(spark, path, "business_date", day) == 1
+    after = files()
+    assert rows() == content
+    for d, n in before.items():
+        assert after[d] == (1 if str(d) == day else n)
+    assert before[[d for d in before if str(d) == day][0]] > 1
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from reconlake import session
+    assert session.is_local("local") and session.is_local("local[8]") and not session.is_local("local-cluster[2,1,1024]")
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(fake, "x")

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, cdr_row, edr_row, frames
+from reconlake.functions import calendar_dim
 from reconlake.plans import pipeline as pl
 from reconlake.plans import stream_queries as sq
 from reconlake.session import scratch_path
@@ -55,7 +56,7 @@ def test_late_rows_dropped_by_watermark(spark):
     def run():
         c = spark.readStream.schema(schema_c).parquet(c_dir)
         e = spark.readStream.schema(schema_e).parquet(e_dir)
-        cal = pl.calendar(spark, "2024-01-01", "2024-01-31")
+        cal = calendar_dim.build(spark, "2024-01-01", "2024-01-31")
         return runner.sink(runner.reconcile_stream(c, e, cal, 31), out, ckpt)
 
     run()
@@ -99,12 +100,10 @@ def test_upsert_replay_and_compaction(spark):
 
 
 def test_stream_equals_batch_detail(spark):
-    """With a calendar covering every date (so rows near the end of the data
-    count too), the flushed stream equals the batch detail."""
+    """The calendar covers every date; the flushed stream equals the batch detail."""
     from tools.check_oracles import digest
-    everything = ("2024-01-01", "2024-02-28")
-    stream = sq.reconcile_stream(spark, SF_SMALL, everything)
-    batch = pl.Pipeline(spark, SF_SMALL, calendar_range=everything).detail(with_timestamp=False)
+    stream = sq.reconcile_stream(spark, SF_SMALL)
+    batch = pl.Pipeline(spark, SF_SMALL).detail(with_timestamp=False)
     batch = batch.withColumns({c: F.col(c) for c in batch.columns})
     cols = sorted(stream.columns)
     assert sorted(batch.columns) == cols
