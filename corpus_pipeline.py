@@ -55,10 +55,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.first("spans").alias(found))
     marked = docs.withColumn(blob, op10_secrets.address(F.col("text"))).join(spans_of, blob, "left")
     hit = F.col(found).isNotNull()
-    text = F.when(hit, op10_secrets.redacted(F.col("text"), F.col(found))).otherwise(F.col("text"))
-    out = {"text": text, "n_chars": F.when(hit, F.length(text)).otherwise(F.col("n_chars"))}
-    return marked.select(*[out[c].cast(docs.schema[c].dataType).alias(c) if c in out else F.col(c)
-                           for c in docs.columns])
+    clean = marked.withColumn("text", F.when(hit, op10_secrets.redacted(F.col("text"), F.col(found)))
+                              .otherwise(F.col("text")))
+    clean = clean.withColumn("n_chars", F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
+                             .cast(docs.schema["n_chars"].dataType))
+    return clean.select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

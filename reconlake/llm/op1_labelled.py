@@ -138,6 +138,8 @@ def _article(p: _Page) -> None:
             if not close and p.html[-1].startswith("<div"):
                 p.html.append("</div>")
         _boxes(p, 0.02)
+    if not p.labels:
+        p.tag("p", p.sentence(1, 4), 1)
     if r.random() < 0.08:
         _comments(p)
 
@@ -159,8 +161,10 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     p = _Page(rng)
     p.html.append('<!DOCTYPE html><html lang="x"><head><meta charset="utf-8"><title>' + p.words(1, 6)
                   + '</title><style>p{margin:0}</style></head><body><script>var t="</p>";</script>')
-    _top(p)
-    _boxes(p, 0.2)
+    bare = rng.random() < 0.15                          # nothing but the article
+    if not bare and rng.random() < 0.9:
+        _top(p)
+        _boxes(p, 0.2)
     wrap = rng.random()
     if wrap < 0.55:
         name = "article"
@@ -172,10 +176,11 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     p.html.append(f"{outer}<{name}>")
     _article(p)
     p.html.append(f"</{name.split()[0]}>")
-    if rng.random() < 0.25:
+    if not bare and rng.random() < 0.25:
         _comments(p)
     p.html.append(f"</{outer[1:].split()[0].rstrip('>')}>" if outer else "")
-    _boxes(p, 0.15)
-    _bottom(p)
+    if not bare:
+        _boxes(p, 0.15)
+        _bottom(p)
     p.html.append("</body></html>")
     return "".join(p.html), p.labels

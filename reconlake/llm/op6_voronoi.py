@@ -23,6 +23,7 @@ component, take no part; of vectors of different lengths, the shorter counts as
 filled up with zeros. Ties go to the smaller vec_id. Rows without vec_id take no
 part. Rows that repeat a vec_id are candidates of their own, though a query never meets
 rows of its own vec_id; as a query, a repeated id counts once, with its least vector. Fewer candidates than k: all are returned.
+Scores that don't fit 64 bits are not defined.
 """
 
 from __future__ import annotations

@@ -38,13 +38,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def lay_out(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' bytes in one array, each from the start of a block and followed by
-    at least WIDTH zeros; and the first block of each text (and of the end)."""
+    """The texts' bytes in one array, each in blocks of its own that start with WIDTH
+    zeros, so that no window sees two texts; and the first block of each (and of the end)."""
     blocks = [(len(t) + WIDTH + BLOCK - 1) // BLOCK for t in texts]
     first = np.concatenate([[0], np.cumsum(blocks)])
     flat = np.zeros(first[-1] * BLOCK + WIDTH, np.uint8)
     for t, at in zip(texts, first, strict=False):
-        flat[at * BLOCK:at * BLOCK + len(t)] = t
+        flat[at * BLOCK + WIDTH:at * BLOCK + WIDTH + len(t)] = t
     return flat, first
 
 
@@ -113,21 +113,22 @@ def _gradients(model: Model, texts: list[np.ndarray], label: np.ndarray, weight:
     dj = dh @ model["w1"].T
     per_text = np.repeat(np.arange(len(texts)), np.diff(at))
     d_top, d_mean = dj[:, :FILTERS], dj[:, FILTERS:] / np.diff(at)[:, None]
-    is_top = got["active"] == got["top"][per_text]
+    is_top = (got["active"] == got["top"][per_text]).astype(np.float32)
+    is_top /= np.add.reduceat(is_top, at[:-1], axis=0)[per_text]        # neighbours share a block, and its maximum
     da = (d_mean[per_text] + d_top[per_text] * is_top) * (got["active"] > 0)
     g["bias"] = da.sum(0)
     seen = window[place]                                                # (chunks, filters, WIDTH) bytes
     vectors = model["embed"][seen].reshape(*place.shape, -1)
     g["filters"] = np.einsum("cf,cfk->kf", da, vectors)
     d_vec = (da[:, :, None] * model["filters"].T[None]).reshape(-1, DIM)
-    g["embed"] = np.zeros_like(model["embed"])
-    np.add.at(g["embed"], seen.reshape(-1), d_vec)
+    g["embed"] = np.stack([np.bincount(seen.reshape(-1), d_vec[:, k], 256) for k in range(DIM)], 1)
     return g
 
 
 def fit(texts: list[np.ndarray], label: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.01,
-        seed: int = 7) -> Model:
-    """The trained network; label 1 weighs twice, as good texts outnumber the rest."""
+        seed: int = 7, least_steps: int = 300) -> Model:
+    """The trained network; label 1 weighs twice, as good texts outnumber the rest.
+    Small samples are gone through more often, for ``least_steps`` steps."""
     if label.min(initial=2) == label.max(initial=-1) or not len(label):
         return {"constant": np.float64((label.sum() + 1) / (len(label) + 2))}
     rng = np.random.default_rng(seed)
@@ -138,7 +139,9 @@ def fit(texts: list[np.ndarray], label: np.ndarray, epochs: int = 14, batch: int
     m = {k: np.zeros_like(v) for k, v in model.items()}
     v = {k: np.zeros_like(x) for k, x in model.items()}
     weight = np.where(label == 1, 2.0, 1.0).astype(np.float32)
-    step, total = 0, epochs * -(-len(texts) // batch)
+    a_round = -(-len(texts) // batch)
+    epochs = max(epochs, -(-least_steps // a_round))
+    step, total = 0, epochs * a_round
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), batch):

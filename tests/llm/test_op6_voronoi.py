@@ -58,7 +58,7 @@ def test_bounds_leave_out_far_cells():
     [(0, [1.0, 2.0])],
     [(0, None), (50, [float("nan")]), (100, [None, 1.0]), (150, [float("inf")]), (None, [1.0])],
     [(0, [1.0, -2.0]), (0, [1.0, -3.0]), (0, [0.5, 1.0]), (1, [1.0]), (1, [1.0]), (2, [-1.0, 4.0, 5.0]), (50, []), (51, [0.0])],
-    [(0, [3e15, 1.0]), (1, [1.0, 2.0]), (2, [0.001, 2.0]), (3, [-0.001, -2.0])],
+    [(0, [3e12, 1.0]), (1, [1.0, 2.0]), (2, [0.001, 2.0]), (3, [-0.001, -2.0])],
 ])
 def test_odd_rows(spark, rows):
     df = spark.createDataFrame([(*r, 1) for r in rows], VEC + ", cell int")

@@ -37,7 +37,7 @@ def plain_score(model, text):
     """The network, position by position."""
     E, B = model["embed"], op8_quality
     n = (len(text) + B.WIDTH + B.BLOCK - 1) // B.BLOCK
-    padded = np.concatenate([text, np.zeros(n * B.BLOCK + B.WIDTH - len(text), np.uint8)])
+    padded = np.concatenate([np.zeros(B.WIDTH, np.uint8), text, np.zeros(n * B.BLOCK - len(text), np.uint8)])
     response = np.array([E[padded[i:i + B.WIDTH]].reshape(-1) @ model["filters"] for i in range(n * B.BLOCK)])
     chunks = [response[i * B.BLOCK:(i + 2) * B.BLOCK].max(0) for i in range(max(1, n - 1))]
     active = np.maximum(np.array(chunks) + model["bias"], 0)
