@@ -53,6 +53,7 @@ class Dataset:
     keys: list[str] = field(default_factory=list)          # scd1 only
     sequence_by: str = pl.SEQUENCE                          # scd1 only
     max_deltas: int = 32                                    # scd1 only: compact beyond this many deltas
+    except_cols: tuple[str, ...] = ()                       # scd1 only: columns of the flow that the table leaves out
     source: str = ""                                                     # incremental only
     recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
@@ -208,8 +209,9 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
             q = runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
             _record_metrics(cat, ds.name, listener.totals_of(q))
         elif ds.kind == SCD1:
+            df = df.drop(*ds.except_cols)
             upsert.declare(spark, path, df.schema)
-            upsert.upsert_stream(df, path, f"{path}._checkpoint")
+            upsert.upsert_stream(df, path, f"{path}._checkpoint", ds.except_cols)
             upsert.maybe_compact(spark, path, ds.keys, ds.sequence_by, ds.max_deltas, cat.schema(ds.name))
         elif ds.kind == VIEW:
             if ds.partition_cols:
@@ -286,11 +288,9 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
                 lambda cat: runner.silver_edr_stream(cat.read_stream("bronze.edr_events"), bounded, validate_first),
                 "Charge rows that passed the rules, first arrivals only"),
         Dataset("silver.cdr_events_silver", SCD1, lambda cat: cat.read_stream("silver.cdr_staging"),
-                "Current usage record per call (SCD type 1)", {"quality": "silver", "layer": "silver"},
-                ["business_date"], keys=pl.CDR_KEYS),
+                "Latest usage row of each call", {"quality": "silver", "layer": "silver"}, keys=pl.CDR_KEYS),
         Dataset("silver.edr_events_silver", SCD1, lambda cat: cat.read_stream("silver.edr_staging"),
-                "Current charge record per session (SCD type 1)", {"quality": "silver", "layer": "silver"},
-                ["business_date"], keys=pl.EDR_KEYS),
+                "Latest charge row of each session", {"quality": "silver", "layer": "silver"}, keys=pl.EDR_KEYS),
         Dataset("silver.calendar", VIEW, lambda cat: calendar_dim.build(cat.spark, *calendar_range),
                 "One row per day of the range, with its attributes", {"layer": "silver"}),
     ]

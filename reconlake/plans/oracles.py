@@ -147,6 +147,14 @@ SELECT rule, action, CAST(passed AS BIGINT) AS passed, CAST(failed AS BIGINT) AS
          count_if(NOT coalesce(billing_status = 'SUCCESS', false)) FROM edr_dedup
 )""", *_ALL),
     "dedup_cdr": _q("SELECT call_id, msisdn, service_type, timestamp_parsed FROM cdr_clean", *_ALL),
+    "dedup_cdr_changed_copies": _q("""
+SELECT call_id, msisdn, service_type, timestamp_parsed, cell_id FROM (
+  SELECT *, 0 AS n FROM cdr_enriched
+  UNION ALL SELECT * REPLACE (timestamp_parsed + INTERVAL 90 SECOND AS timestamp_parsed, cell_id || '-moved' AS cell_id), 1
+  FROM cdr_enriched WHERE sequence_number % 7 = 0
+  UNION ALL SELECT * REPLACE (cell_id || '-moved' AS cell_id), 2 FROM cdr_enriched WHERE sequence_number % 7 = 0
+) QUALIFY row_number() OVER (PARTITION BY call_id, msisdn, service_type ORDER BY timestamp_parsed NULLS LAST, n) = 1
+""", *_ALL),
     "dedup_edr": _q("SELECT session_id, timestamp_parsed FROM edr_dedup", *_ALL),
     "scd1_cdr": _q("""SELECT call_id, expected_charge, CAST(expected_charge_decimal AS DOUBLE) AS expected_charge_decimal,
   status, timestamp_parsed FROM cdr_latest""", *_ALL, CDR_V),

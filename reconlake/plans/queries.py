@@ -201,6 +201,20 @@ def dedup_edr(spark, sf):
     return _edr_before_rules(spark, sf).select("session_id", "timestamp_parsed")
 
 
+def dedup_cdr_changed_copies(spark, sf):
+    """Every 7th call arrives three times: as it is, later with another cell, and
+    at the same time with another cell. The first by time wins, whatever the
+    order of arrival; among equal times one row is kept (its key and time)."""
+    rows = _enriched_cdr(spark, sf)
+    later = F.expr("INTERVAL 90 SECONDS")
+    copies = F.when(F.col("sequence_number") % 7 == 0, F.array(F.lit(2), F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))
+    rows = rows.select("*", F.explode(copies).alias("copy")).withColumns({
+        "timestamp_parsed": F.when(F.col("copy") == 1, F.col("timestamp_parsed") + later).otherwise(F.col("timestamp_parsed")),
+        "cell_id": F.when(F.col("copy") > 0, F.concat(F.col("cell_id"), F.lit("-moved"))).otherwise(F.col("cell_id"))})
+    kept = dedup.first(rows, pl.CDR_DEDUP_KEYS, ["timestamp_parsed", "copy"])
+    return kept.select(*pl.CDR_DEDUP_KEYS, "timestamp_parsed", "cell_id")
+
+
 def _versions(staging: DataFrame, key_mod_col: str, change: dict) -> tuple[DataFrame, DataFrame]:
     """Two deliveries: version 1 = all rows, sequence 2024-02-01; version 2 =
     rows whose ``key_mod_col`` is a multiple of 10, with changed values and
@@ -380,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectation_metrics": expectation_metrics,
     "dedup_cdr": dedup_cdr,
     "dedup_edr": dedup_edr,
+    "dedup_cdr_changed_copies": dedup_cdr_changed_copies,
     "scd1_cdr": scd1_cdr,
     "scd1_edr": scd1_edr,
     "scd1_except_columns": scd1_except_columns,
