@@ -20,6 +20,7 @@ from reconlake.llm import (
     op9_bpe,
     op10_secrets,
 )
+from reconlake.llm.oracles import ORACLES  # noqa: F401
 from reconlake.llm.store import bounded_batches, table
 from reconlake.session import scratch_path
 
@@ -32,7 +33,7 @@ def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounded_batches(spark)
+    bounded_batches(spark, "4m")
     return op2_repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
@@ -92,5 +93,3 @@ QUERIES = {
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_secret_ledger": op10_secret_ledger,
 }
-
-ORACLES: dict[str, str] = {}
