@@ -25,18 +25,21 @@ declarative pipeline's graph would order it.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from reconlake.functions import calendar_dim, classify
 from reconlake.operators import layout, reconcile, summary
 from reconlake.plans import pipeline as pl
 from reconlake.session import scratch_path
+from reconlake.sources import ingest
 from reconlake.streaming import metrics, runner, upsert
 
 STREAMING, SCD1, VIEW, INCREMENTAL = "streaming_table", "scd1", "materialized_view", "incremental_view"
@@ -55,6 +58,7 @@ class Dataset:
     max_deltas: int = 32                                    # scd1 only: compact beyond this many deltas
     except_cols: tuple[str, ...] = ()                       # scd1 only: columns of the flow that the table leaves out
     source: str = ""                                                     # incremental only
+    flow: Callable[["Catalog", str], StreamingQuery] | None = None       # streaming only: writes batch folders itself
     recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
 
@@ -92,16 +96,21 @@ class Catalog:
         # not written by ``refresh``), merge the footers' schemas.
         stored = self.schema(name)
         if stored is not None:
-            return self.spark.read.schema(stored).parquet(self.path(name))
+            return self.spark.read.options(**self._layout(name)).schema(stored).parquet(self.path(name))
         return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
 
     def read_stream(self, name: str, max_files: int | None = MAX_FILES) -> DataFrame:
         """A stream of the table, at most ``max_files`` new files in a micro-batch."""
-        reader = self.spark.readStream.schema(self.schema(name) or self.read(name).schema)
+        reader = self.spark.readStream.options(**self._layout(name)).schema(self.schema(name) or self.read(name).schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(name))
 
+    def _layout(self, name: str) -> dict[str, str]:
+        """A flow's batch folders are no partition column of its table."""
+        spec = self.specs.get(name)
+        return {"recursiveFileLookup": "true"} if spec is not None and spec.flow else {}
+
     def describe(self, name: str) -> dict:
         return json.loads(self.spark.read.text(f"{self.path(name)}._table.json", wholetext=True).first()[0])
 
@@ -135,7 +144,13 @@ def sink_partitions(spark: SparkSession, path: str, by: str) -> DataFrame:
     """(partition, n, h): per partition of a streaming table, the number of its files
     and the sum of their paths' hashes, from the sink's log (its compacted files
     repeat entries; a path counts once)."""
-    entries = spark.read.text(f"{path}/_spark_metadata").where(F.col("value").startswith("{"))
+    names = [n for n in upsert.listing(spark, f"{path}/_spark_metadata") if re.fullmatch(r"\d+(\.compact)?", n)]
+    if not names:
+        return spark.createDataFrame([], FOLDED)
+    # the DataFrame readers skip folders whose name starts with an underscore
+    lines = spark.sparkContext.textFile(",".join(f"{path}/_spark_metadata/{n}" for n in names))
+    entries = spark.createDataFrame(lines.map(lambda line: (line,)), "value string").where(
+        F.col("value").startswith("{"))
     file = F.get_json_object("value", "$.path")
     files = entries.select(file.alias("file")).distinct().select(
         F.regexp_extract("file", f"/{by}=([^/]+)/", 1).alias("partition"), "file")
@@ -206,7 +221,10 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
         path = cat.path(ds.name)
         df = ds.build(cat)
         if ds.kind == STREAMING:
-            q = runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
+            if ds.flow:
+                q = ds.flow(cat, path)
+            else:
+                q = runner.sink(df, path, f"{path}._checkpoint", ds.partition_cols or None)
             _record_metrics(cat, ds.name, listener.totals_of(q))
         elif ds.kind == SCD1:
             df = df.drop(*ds.except_cols)
@@ -229,7 +247,7 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
               calendar_range: tuple[str, str], money_scale: int | None = None,
               gold: str = "stream", cdr_hints: str | None = None, bounded: bool = False,
-              validate_first: bool = False) -> list[Dataset]:
+              validate_first: bool = False, mixed: bool = False, rescue_extra: bool = False) -> list[Dataset]:
     """The reference's datasets: bronze, silver staging, silver upsert targets,
     calendar, gold detail and gold summary.
 
@@ -246,7 +264,9 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
     land later than it allows) are counted in the metrics table ("late_rows");
     ``gold="batch"`` reconciles them.
 
-    ``bounded`` and ``validate_first`` are passed to the silver streams.
+    ``bounded`` and ``validate_first`` are passed to the silver streams. With
+    ``mixed`` the usage files may differ in physical types (``runner.bronze_cdr_mixed``,
+    which takes ``rescue_extra``).
 
     ``gold="batch"``: the detail is recomputed from the upsert snapshots at each
     refresh (reflects updates to already reconciled rows) and the summary with
@@ -272,7 +292,15 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
         detail = cat.read("gold.reconciliation_detail").join(dates, "business_date", "left_semi")
         return summary.summarize_sql(cat.spark, detail, "reconciliation_detail", money=money)
 
+    hints = cdr_hints or ingest.CDR_HINTS
     specs = [
+        Dataset("bronze.cdr_events", STREAMING,
+                lambda cat: runner.bronze_cdr_shape(cat.spark, StructType(list(cdr_schema.fields)), hints),
+                "What the usage capture delivered, less its own columns, with file and path date",
+                {"quality": "bronze", "clustering": "call_id,msisdn"},
+                flow=lambda cat, path: runner.bronze_cdr_mixed(cat.spark, landing_cdr, cdr_schema, hints, path,
+                                                               f"{path}._checkpoint", rescue_extra=rescue_extra))
+        if mixed else
         Dataset("bronze.cdr_events", STREAMING,
                 lambda cat: runner.bronze_cdr_stream(cat.spark, landing_cdr, cdr_schema, hints=cdr_hints),
                 "What the usage capture delivered, less its own columns, with file and path date",

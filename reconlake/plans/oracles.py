@@ -209,6 +209,12 @@ _DETAIL = (*_GOLD, GOLD_CAL, f"detailed AS ({DETAIL_SELECT})", CLASSIFY.format(d
 ORACLES.update({
     "bronze_cdr_stream": _q(f"SELECT {_without(CDR_BRONZE_COLS, 'bronze_source_file')} FROM cdr_bronze", RAW, BRONZE),
     "bronze_edr_stream": _q(f"SELECT {_without(EDR_BRONZE_COLS, 'bronze_source_file')} FROM edr_bronze", RAW, BRONZE),
+    "bronze_mixed_files": _q("""
+SELECT call_id, msisdn,
+  CASE WHEN sequence_number % 3 = 1 AND sequence_number % 97 = 0 THEN NULL ELSE volume END AS volume,
+  CASE WHEN sequence_number % 3 = 1 AND sequence_number % 97 = 0 THEN '{"volume":"n/a"}'
+       WHEN sequence_number % 3 = 2 THEN '{"vendor_flag":"v' || PartitionId || '"}' END AS _rescued_data
+FROM cdr_raw""", RAW),
     "bronze_lineage": _q("SELECT call_id, partition_date, partition_date IS NOT NULL AS path_has_date, "
                          "true AS is_parquet FROM cdr_bronze", RAW, BRONZE),
     "dedup_cdr_stream": _q(f"SELECT {_without(CDR_SILVER_COLS, 'bronze_source_file')} FROM cdr_clean", *_ALL),

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import argparse
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
@@ -53,17 +55,34 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def _observed(spark: SparkSession, path: str) -> list[StructType]:
+    """Schemas of the files under ``path``: one, merged, or if types conflict each file's own."""
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(path).schema]
+    except (PySparkException, Py4JJavaError) as err:
+        if "CANNOT_MERGE" not in str(err):
+            raise
+        names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+        seen = {}
+        for row in names.orderBy("path").toLocalIterator():
+            schema = spark.read.parquet(row["path"]).schema
+            seen.setdefault(schema.json(), schema)
+        return list(seen.values())
+
+
 def cdr_schema(spark: SparkSession, cdr_landing: str, root: str) -> StructType:
     """Observed + stored (evolved) usage schema; persisted under ``root``."""
-    current = spark.read.option("mergeSchema", "true").parquet(f"{cdr_landing.rstrip('/')}/*/*").schema
     stored_text = _read_text(spark, f"{root}/{SCHEMA_FILE}")
-    schema = current if stored_text is None else ingest.evolve_schema(ingest.schema_from_json(stored_text), current)
+    schema = None if stored_text is None else ingest.schema_from_json(stored_text)
+    for observed in _observed(spark, f"{cdr_landing.rstrip('/')}/*/*"):
+        schema = observed if schema is None else ingest.evolve_schema(schema, observed)
     _write_text(spark, f"{root}/{SCHEMA_FILE}", ingest.schema_to_json(schema))
     return schema
 
 
 def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
-        calendar_range: tuple[str, str] | None = None, gold: str = "stream") -> datasets.Catalog:
+        calendar_range: tuple[str, str] | None = None, gold: str = "stream", **options) -> datasets.Catalog:
+    """``options`` go to ``datasets.medallion`` (bounded, validate_first, mixed, rescue_extra)."""
     ensure_session(spark)
     root = root.rstrip("/")
     start = calendar_range[0] if calendar_range else spark.conf.get("start_date")
@@ -71,7 +90,7 @@ def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
     c_schema = cdr_schema(spark, cdr_landing, root)
     e_schema = spark.read.option("mergeSchema", "true").parquet(edr_table).schema
     specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold,
-                               cdr_hints=ingest.CDR_HINTS)
+                               cdr_hints=ingest.CDR_HINTS, **options)
     return datasets.refresh(spark, specs, root)
 
 
@@ -86,10 +105,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--gold", choices=["stream", "batch"], default="stream",
                     help="stream: incremental detail by the stream-stream join (rows final once the "
                          "watermark passes); batch: detail recomputed from the upsert snapshots")
+    ap.add_argument("--mixed", action="store_true", help="usage files may differ in physical types")
+    ap.add_argument("--bounded", action="store_true", help="streaming dedup state of one day")
+    ap.add_argument("--validate-first", action="store_true", help="drop rules before the streaming dedup too")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     rng = (a.start, a.end) if a.start and a.end else None
-    cat = run(spark, a.cdr_landing, a.edr_table, a.root, rng, a.gold)
+    cat = run(spark, a.cdr_landing, a.edr_table, a.root, rng, a.gold, mixed=a.mixed, bounded=a.bounded,
+              validate_first=a.validate_first)
     cat.read("gold.reconciliation_summary").orderBy("business_date", "mismatch_type", "severity").show(50, False)
 
 

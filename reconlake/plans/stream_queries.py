@@ -60,6 +60,30 @@ def bronze_cdr_stream(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
+def mixed_landing(spark, sf) -> tuple[Landing, str]:
+    """The usage capture with a third of its files as they are, a third with the
+    volume as text (some of it no number), and a third with a column more."""
+    land = Landing(spark, sf)
+    rows = land.spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*")
+    n = F.col("sequence_number") % 3
+    text = F.when(F.col("sequence_number") % 97 == 0, F.lit("n/a")).otherwise(F.col("volume").cast("string"))
+    root = f"{land.root}/mixed"
+    for part, frame in enumerate((rows, rows.withColumn("volume", text),
+                                  rows.withColumn("vendor_flag", F.concat(F.lit("v"), F.col("PartitionId"))))):
+        frame.where(n == part).write.parquet(f"{root}/2024-01-0{part + 1}")
+    return land, root
+
+
+def bronze_mixed_files(spark, sf):
+    """One bronze table from files of three physical schemas, with what was rescued."""
+    land, root = mixed_landing(spark, sf)
+    out = scratch_path(land.spark, "bronze_mixed")
+    runner.bronze_cdr_mixed(land.spark, root, land.cdr_schema, ingest.CDR_HINTS, out, f"{out}.__checkpoint",
+                            max_files=2, rescue_extra=True)
+    rows = land.spark.read.option("recursiveFileLookup", "true").parquet(out)
+    return rows.select("call_id", "msisdn", "volume", "_rescued_data")
+
+
 def bronze_lineage(spark, sf):
     land = Landing(spark, sf)
     b = _read(land.spark, _run(land.spark, land.bronze_cdr(), "bronze_lineage"))
@@ -254,6 +278,7 @@ STREAM_QUERIES = {
     "bronze_cdr_stream": bronze_cdr_stream,
     "bronze_edr_stream": bronze_edr_stream,
     "bronze_lineage": bronze_lineage,
+    "bronze_mixed_files": bronze_mixed_files,
     "dedup_cdr_stream": dedup_cdr_stream,
     "dedup_edr_stream": dedup_edr_stream,
     "dedup_edr_bounded": dedup_edr_bounded,

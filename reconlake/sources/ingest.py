@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Capture columns dropped at bronze, per record type.
 CDR_EXCLUDE = [
@@ -142,6 +142,28 @@ def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS, expected: StructType | Non
     return df.select(*_hinted_cols(df_cast, hints_ddl), blob.alias("_rescued_data"))
 
 
+def read_mixed(spark: SparkSession, files: list[str], hints_ddl: str = CDR_HINTS,
+               expected: StructType | None = None, path_col: str = "__path") -> DataFrame:
+    """Files whose columns may differ in type or number, as one frame with the hints
+    applied. Only these files' footers are read; files of one physical schema are
+    read together with that schema, cast by ``rescue`` (values that don't cast, and
+    with ``expected`` also unexpected columns, go to ``_rescued_data``), and united
+    by name. ``path_col`` gets each row's file."""
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    known = StructType([*expected.fields, StructField(path_col, StringType())]) if expected is not None else None
+    parts = []
+    for schema, own in sorted(groups.items()):
+        rows = spark.read.schema(schema_from_json(schema)).parquet(*own).select(
+            "*", F.col(FILE_PATH).alias(path_col))
+        parts.append(rescue(rows, hints_ddl, known))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def evolve_schema(old: StructType, new: StructType) -> StructType:
     """Add-new-columns evolution: keep the stored order, append unseen columns as
     nullable. A type change of an existing column keeps the stored type."""

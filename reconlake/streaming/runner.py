@@ -88,6 +88,37 @@ def bronze_cdr_stream(spark: SparkSession, landing: str, schema: StructType, max
     return ingest.bronze_cdr(src, path_col="__path")
 
 
+def bronze_cdr_shape(spark: SparkSession, schema: StructType, hints: str) -> DataFrame:
+    """Usage bronze without rows, for files that hold ``schema``."""
+    empty = spark.createDataFrame([], schema.add("__path", "string") if "__path" not in schema.names else schema)
+    return ingest.bronze_cdr(ingest.rescue(empty, hints), path_col="__path")
+
+
+def bronze_cdr_mixed(spark: SparkSession, landing: str, schema: StructType, hints: str, target: str,
+                     checkpoint: str, max_files: int = 100, rescue_extra: bool = False) -> StreamingQuery:
+    """Usage bronze for a landing whose files differ in physical types. The stream
+    is one of file names (at most ``max_files`` per batch); each batch's files are
+    read by ``ingest.read_mixed`` and written to a folder of the batch's own, so a
+    replay replaces it. Columns outside ``schema`` go to ``_rescued_data`` with
+    ``rescue_extra``, else they are left out."""
+    shape = bronze_cdr_shape(spark, StructType(list(schema.fields)), hints).schema
+    names = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length long, content binary")
+             .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", max_files).load(f"{landing.rstrip('/')}/*/*").select("path"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r["path"] for r in batch.collect())         # at most max_files
+        if files:
+            rows = ingest.read_mixed(batch.sparkSession, files, hints, schema if rescue_extra else None)
+            ingest.conform(ingest.bronze_cdr(rows, path_col="__path"), shape).write.mode("overwrite").parquet(
+                f"{target}/batch={batch_id}")
+
+    q = (names.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    wait(q)
+    return q
+
+
 def bronze_edr_stream(spark: SparkSession, table: str, schema: StructType, max_files: int = 100) -> DataFrame:
     src = ingest.stream_table(spark, table, schema, max_files=max_files)
     return ingest.bronze_edr(src.select("*", F.col(ingest.FILE_PATH).alias("__path")), path_col="__path")

@@ -70,7 +70,10 @@ def test_stream_gold_incremental_summary(spark):
     spec = cat.specs["gold.reconciliation_summary"]
     now = datasets.sink_partitions(spark, cat.path(spec.source), "business_date")
     assert datasets.changed_partitions(cat, spec, now).count() == 0
-    rows = spec.recompute(cat, spark.createDataFrame([(dt.date(2024, 1, 5),)], "business_date date"))
+    other = now.withColumn("n", F.when(F.col("partition") == "2024-01-05", 99).otherwise(F.col("n")))
+    dates = datasets.changed_partitions(cat, spec, other)
+    assert [r.business_date for r in dates.collect()] == [dt.date(2024, 1, 5)]
+    rows = spec.recompute(cat, dates)
     rows.collect()
     assert "dynamicpruningexpression(business_date" in rows._jdf.queryExecution().executedPlan().toString()
 
@@ -123,6 +126,22 @@ def test_hints_applied_to_text_capture(spark):
     assert json.loads(bad.first()["_rescued_data"]) == {"volume": "n/a"}
 
 
+def test_mixed_landing_through_the_pipeline(spark):
+    """Files of three physical schemas: read file by file, and a second run takes new files only."""
+    land, root = sq.mixed_landing(spark, SF_SMALL)
+    base = scratch_path(spark, "t_mixed")
+    args = (spark, root, land.edr_dir, base, ("2024-01-01", "2024-12-31"))
+    cat = runner_mod.run(*args, gold="batch", mixed=True)
+    bronze = cat.read("bronze.cdr_events")
+    n = spark.read.parquet(f"{land.cdr_dir}/*/*").count()
+    assert bronze.count() == n and dict(bronze.dtypes)["volume"] == "double" and "vendor_flag" in bronze.columns
+    assert bronze.where("_rescued_data is not null").count() == spark.read.parquet(f"{root}/2024-01-02").where(
+        "volume = 'n/a'").count() > 0
+    spark.read.parquet(f"{root}/2024-01-01").limit(3).write.parquet(f"{root}/2024-01-09")
+    cat = runner_mod.run(*args, gold="batch", mixed=True)
+    assert cat.read("bronze.cdr_events").count() == n + 3
+
+
 def test_expectation_metrics_recorded_per_run(spark):
     from reconlake.plans import datasets
     land = sq.Landing(spark, SF_SMALL)
