@@ -16,6 +16,8 @@ left a group is skipped when the group's turn comes.
 
 from __future__ import annotations
 
+import numpy as np
+
 
 def suffix_array(text: list[int]) -> list[int]:
     """Suffix order of ``text``, whose last symbol must be smaller than all others."""
@@ -25,22 +27,22 @@ def suffix_array(text: list[int]) -> list[int]:
 
 
 def _lyndon_groups(text: list[int], n: int) -> tuple[list[int], list[int]]:
-    group, previous = [0] * n, [-1] * n
+    previous = [-1] * n
     members: list = [None] * (n + 1)
     size = [0] * (n + 1)
     start_by_end = [0] * (n + 1)
-    first: dict[int, list[int]] = {}
-    for i, symbol in enumerate(text):
-        first.setdefault(symbol, []).append(i)
-    at = 0
-    for symbol in sorted(first):
-        own = first[symbol]
-        members[at], size[at] = own, len(own)
-        for i in own:
-            group[i] = at
-        start_by_end[at + len(own)] = at
-        at += len(own)
+    # groups by first symbol
+    symbols = np.array(text)
+    order = np.argsort(symbols, kind="stable")
+    start = np.flatnonzero(np.diff(symbols[order], prepend=-1))
+    group = np.empty(n, np.int64)
+    group[order] = np.repeat(start, np.diff(start, append=n))
+    group = group.tolist()
+    order = order.tolist()
+    for a, b in zip(start.tolist(), [*start[1:].tolist(), n], strict=True):
+        members[a], size[a], start_by_end[b] = order[a:b], b - a, a
 
+    wide = n + 1
     end = n
     while end:
         g = start_by_end[end]
@@ -60,31 +62,42 @@ def _lyndon_groups(text: list[int], n: int) -> tuple[list[int], list[int]]:
                     group[p], members[new] = new, [p]
                     start_by_end[new + 1], start_by_end[new] = new, old
             continue
-        own = sorted([i for i in members[g] if group[i] == g])
+        own = [i for i in members[g] if group[i] == g]
+        own.sort()
         times: dict[int, int] = {}
         for i in own:
             p = i - 1
             while p >= 0 and group[p] >= g:
                 p = previous[p]
             previous[i] = p
-            if p >= 0:
-                times[p] = times.get(p, 0) + 1
-        moved: dict[int, dict[int, list[int]]] = {}
+            if p in times:
+                times[p] += 1
+            else:
+                times[p] = 1
+        times.pop(-1, None)
+        # by old group, then by count: a key is old * wide + count
+        moved: dict[int, list[int]] = {}
         for p, often in times.items():
-            moved.setdefault(group[p], {}).setdefault(often, []).append(p)
-        for old, by_count in moved.items():
-            stop = old + size[old]
-            new = stop - sum(map(len, by_count.values()))
-            if new > old:
-                size[old] = new - old
-                start_by_end[new] = old
-            for often in sorted(by_count):
-                part = by_count[often]
-                for p in part:
-                    group[p] = new
-                members[new], size[new] = part, len(part)
-                start_by_end[new + len(part)] = new
-                new += len(part)
+            key = group[p] * wide + often
+            if key in moved:
+                moved[key].append(p)
+            else:
+                moved[key] = [p]
+        old = -1
+        for key in sorted(moved, reverse=True):
+            part = moved[key]
+            if key // wide != old:
+                if old >= 0 and new > old:
+                    size[old], start_by_end[new] = new - old, old
+                old = key // wide
+                new = old + size[old]
+            stop = new
+            new -= len(part)
+            for p in part:
+                group[p] = new
+            members[new], size[new], start_by_end[stop] = part, len(part), new
+        if old >= 0 and new > old:
+            size[old], start_by_end[new] = new - old, old
     return group, previous
 
 
