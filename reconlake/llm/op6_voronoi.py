@@ -81,23 +81,65 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q.astype(np.int64) @ x.astype(np.int64).T
 
 
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest of each row; equal scores by place."""
+    n = scores.shape[1]
+    if n <= k:
+        return np.tile(np.arange(n), (len(scores), 1))
+    if max(int(scores.max()), -int(scores.min())) < (1 << 62) // n:
+        return np.argpartition(np.arange(n) - scores * n, k - 1, axis=1)[:, :k]
+    return np.argsort(-scores.astype(object), axis=1, kind="stable")[:, :k]
+
+
+NONE = -(2 ** 63 - 1)              # score of no candidate
+OPEN_GROUPS = 16                   # query blocks whose best a task keeps at once
+
+
+class _Kept:
+    """The k best candidates so far of the queries of one block."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.score = np.zeros((len(queries), 0), np.int64)
+        self.vec = np.zeros((len(queries), 0), np.int64)
+
+    def add(self, lo: int, score: np.ndarray, vec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best of what is kept and of new candidates, for the queries from lo on."""
+        rows = slice(lo, lo + len(score))
+        score = np.where(vec == self.queries[rows, None], NONE, score)
+        score = np.concatenate([self.score[rows], score], axis=1)
+        vec = np.concatenate([self.vec[rows], vec], axis=1)
+        order = np.lexsort((vec, -score))[:, :self.k]
+        return np.take_along_axis(score, order, 1), np.take_along_axis(vec, order, 1)
+
+    def rows(self) -> pd.DataFrame:
+        out = pd.DataFrame({"query_id": np.repeat(self.queries, self.score.shape[1]),
+                            "vec_id": self.vec.reshape(-1), "score": self.score.reshape(-1)})
+        return out[out["score"] != NONE]
+
+
 def _solver(k: int, width: int):
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_: dict[bytes, _Kept] = {}
         for b in batches:
             for r in b.itertuples(index=False):
                 queries, data = _unpacked(r.q, r.q_kind, width), _unpacked(r.x, r.x_kind, width)
-                ids = np.asarray(r.x_ids, np.int64)
-                out = []
-                for lo in range(0, len(queries), 256):
-                    score = _products(queries[lo:lo + 256], data)
-                    for own, s in zip(r.q_ids[lo:lo + 256], score, strict=True):
-                        keep = np.flatnonzero(ids != own)
-                        if len(keep) > k:            # all that reach the k-th best, then ties by vec_id
-                            least = np.partition(s[keep], len(keep) - k)[len(keep) - k]
-                            keep = keep[s[keep] >= least]
-                        keep = keep[np.lexsort((ids[keep], -s[keep]))[:k]]
-                        out.append(pd.DataFrame({"query_id": np.int64(own), "vec_id": ids[keep], "score": s[keep]}))
-                yield pd.concat(out)
+                ids, asked = np.asarray(r.x_ids, np.int64), np.asarray(r.q_ids, np.int64)
+                name = asked.tobytes()
+                if name not in open_ and len(open_) >= OPEN_GROUPS:
+                    yield open_.pop(next(iter(open_))).rows()
+                kept = open_.setdefault(name, _Kept(asked, k))
+                parts = []
+                for lo in range(0, len(queries), 512):
+                    score = _products(queries[lo:lo + 512], data)
+                    # as many more as a query's own rows, which don't count
+                    top = _best(score, k + int((ids[:, None] == asked[None, lo:lo + 512]).sum(0).max()))
+                    parts.append(kept.add(lo, np.take_along_axis(score, top, 1), ids[top]))
+                wide = max(p[0].shape[1] for p in parts)
+                kept.score, kept.vec = (np.concatenate([np.pad(p[i], ((0, 0), (0, wide - p[i].shape[1])), constant_values=fill)
+                                                        for p in parts]) for i, fill in ((0, NONE), (1, 0)))
+        for kept in open_.values():
+            yield kept.rows()
     return solve
 
 
@@ -117,7 +159,7 @@ def _unpacked(blob: bytes, kind: str, width: int) -> np.ndarray:
 
 
 def _packer(width: int, block_rows: int):
-    """Rows of one partition, sorted by cell, as blocks of one cell each."""
+    """Rows of one partition, sorted by cell and vec_id, as blocks of one cell each."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cell, ids, rows, radius, norm = None, [], [], 0.0, 0.0
 
@@ -180,7 +222,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, n_p
         F.min(F.struct("v", "cell", "away", "norm")).alias("q")).select("vec_id", "q.*")
 
     # summaries: a row per cell, and k + 1 members of each cell with different ids
-    cells = placed.groupBy("cell").agg(F.max("away").alias("radius"), F.max("norm").alias("norm")).collect()
+    cells = placed.groupBy("cell").agg(F.max("away").alias("radius"), F.max("norm").alias("norm"),
+                                       F.count(F.lit(1)).alias("n")).collect()
     asked = queries.groupBy("cell").agg(F.max("away").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
     nearest = placed.groupBy("cell", "vec_id").agg(F.min("away").alias("away"), F.min("v").alias("v")).withColumn(
         "i", F.row_number().over(Window.partitionBy("cell").orderBy("away", "vec_id"))).where(F.col("i") <= k + 1)
@@ -197,9 +240,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, n_p
     send = spark.createDataFrame(sorted({(of_cell[qc], xc) for qc, xc in pairs}), "grp int, xcell int")
     to_group = spark.createDataFrame(sorted(of_cell.items()), "cell int, grp int")
 
+    # a row per cell: in how many parts it is dealt out, so that no cell has to fit one task
+    parts = spark.createDataFrame([(r["cell"], r["n"] // (16 * block_rows) + 1) for r in cells], "cell int, parts long")
+
     def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
-        # salted, so that no cell has to fit one task
-        dealt = rows.repartition("cell", F.pmod(F.xxhash64("vec_id"), F.lit(64))).sortWithinPartitions("cell", "vec_id")
+        salted = rows.join(F.broadcast(parts), "cell", "left").withColumn(
+            "salt", F.pmod(F.xxhash64("vec_id"), F.coalesce("parts", F.lit(1))))
+        dealt = salted.repartition("cell", "salt").sortWithinPartitions("cell", "vec_id").select(rows.columns)
         return written(spark, name, dealt.mapInPandas(_packer(width, size), BLOCKS))
 
     grouped = queries.join(F.broadcast(to_group), "cell").withColumn("cell", F.col("grp"))
