@@ -75,6 +75,12 @@ def event_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_sub(F.add_months(F.trunc(F.max(day), "year"), 12), 1).alias("end"))
 
 
+def years_of(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of the whole years that cover the data: one row of a small job."""
+    row = event_years(spark, sf_dir).first()
+    return str(row["start"]), str(row["end"])
+
+
 def detail(cdr: DataFrame, edr: DataFrame, cal: DataFrame | None, cal_days: int | None = None,
            strategy: str = "split", with_timestamp: bool = True) -> DataFrame:
     rec = reconcile.match(cdr, edr, strategy=strategy)
@@ -130,14 +136,14 @@ class Pipeline:
         return self._get("edr", lambda: self._silver(silver_edr(self.edr_staging())))
 
     def calendar(self):
-        if self.calendar_range is None:
-            return self._get("calendar", lambda: calendar_dim.build_from_bounds(
-                event_years(self.spark, self.sf_dir)))
-        return self._get("calendar", lambda: calendar_dim.build(self.spark, *self.calendar_range))
-
-    def calendar_days(self) -> int | None:
-        """Rows of the calendar, if the range is given."""
-        return reconcile.calendar_days(*self.calendar_range) if self.calendar_range else None
+        return self._get("calendar", lambda: calendar_dim.build(self.spark, *self._range()))
+
+    def _range(self) -> tuple[str, str]:
+        return self.calendar_range or self._get("years", lambda: years_of(self.spark, self.sf_dir))
+
+    def calendar_days(self) -> int:
+        """Rows of the calendar: known before the join is planned, so it is broadcast by its size."""
+        return reconcile.calendar_days(*self._range())
 
     def matched(self):
         return self._get("matched", lambda: reconcile.match(self.cdr(), self.edr(), strategy=self.strategy))

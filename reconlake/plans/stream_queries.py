@@ -117,12 +117,6 @@ def dedup_edr_bounded(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
-def years_of(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """First and last day of the whole years that cover the data."""
-    row = pl.event_years(spark, sf).first()
-    return str(row["start"]), str(row["end"])
-
-
 SENTINEL_CALL = "CALL-SENTINEL-000"
 SENTINEL_MSISDN = "+35899999999"
 
@@ -167,7 +161,7 @@ def reconcile_stream(spark, sf):
     c_dir, e_dir = scratch_path(spark, "cdr_staging"), scratch_path(spark, "edr_staging")
     runner.wait(runner.start(runner.silver_cdr_stream(land.bronze_cdr()), c_dir, f"{c_dir}.__checkpoint"),
                 runner.start(runner.silver_edr_stream(land.bronze_edr()), e_dir, f"{e_dir}.__checkpoint"))
-    years = years_of(spark, sf)
+    years = pl.years_of(spark, sf)
     out = scratch_path(spark, "gold_detail")
     cdr = spark.readStream.schema(_read(spark, c_dir).schema).parquet(c_dir)
     edr = spark.readStream.schema(_read(spark, e_dir).schema).parquet(e_dir)
@@ -217,7 +211,7 @@ def medallion_summary(spark, sf):
     land = Landing(spark, sf)
     spark = land.spark
     specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema,
-                               years_of(spark, sf), money_scale=4)
+                               pl.years_of(spark, sf), money_scale=4)
     root = scratch_path(spark, "medallion")
     datasets.refresh(spark, specs, root)
     control = land_flush_pair(land)
