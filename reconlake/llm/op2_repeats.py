@@ -426,7 +426,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text_key, packed, repeated, crowded, by_sort, by_count in zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True):
             raw = unzip.decompress(packed)
             starts = [np.asarray(f["starts"], np.int64) for f in by_sort or () if f["text_key"] == text_key]
-            known = np.unique(np.frombuffer(b"".join(by_count or ()), "<u8") >> U(2))
+            told = np.frombuffer(b"".join(by_count or ()), "<u8")
+            known = np.unique(told[told & U(3) == FULL] >> U(2))         # others only share a group with another window
             for c in crowded if len(known) else ():
                 starts.append(c["lo"] + np.flatnonzero(np.isin(_window_hashes(c["body"]) & MASK48, known)))
             edge = np.zeros(len(raw) + 1, np.int64)

@@ -71,3 +71,21 @@ def test_segments_change_nothing(monkeypatch):
 
 def test_empty_table(spark):
     assert op2_repeats.remove_repeats(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_windows_that_share_a_group_stay():
+    """Two different windows whose groups agree in all bits kept: none is repeated."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+    bodies = [b"a" * 25 + b"b" * 25, b"c" * 25 + b"d" * 25]
+    keys = np.concatenate([op2_repeats._window_hashes(b) for b in bodies]) & op2_repeats.MASK48
+    packed = op2_repeats._packed(np.array([1, 2]), np.arange(2), np.zeros(2, np.uint64), keys, 5)
+    told = op2_repeats._settler(1 << 62)(pa.Table.from_batches([packed])).to_pylist()
+    counted = [[t["states"] for t in told if t["doc_id"] == d] for d in (1, 2)]
+    rows = pa.record_batch([
+        pa.array([1, 2]), pa.array([1, 2]), pa.array([zstandard.compress(b) for b in bodies]), pa.array([b"", b""]),
+        pa.array([[{"lo": 0, "body": b}] for b in bodies]),
+        pa.array([None, None], pa.list_(pa.struct([("text_key", pa.int64()), ("starts", pa.list_(pa.int32()))]))),
+        pa.array(counted, pa.list_(pa.binary()))], ["doc_id", "text_key", "packed", "repeated", "crowded", "sorted", "counted"])
+    assert next(op2_repeats._assemble(iter([rows]))).column(2).to_pylist() == [0, 0]
