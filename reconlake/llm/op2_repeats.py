@@ -10,7 +10,10 @@ strings that can be equal are first brought together:
 2. Contexts are hashed, packed (12 bytes each) and grouped by anchor. A context that
    a smaller document has too is repeated as a whole. An anchor with one context only
    is settled. The rest, where equal and different bytes meet, is sent on, one
-   document per context.
+   document per context. Of contexts that many documents of a task share, only the
+   smallest document's is grouped, and the contexts of anchors that a sample of the
+   documents shows to be crowded are grouped by themselves, so no group has an entry
+   for each document of a common passage.
 3. The contexts of an anchor meet in one task. Windows that reach beyond the longest
    agreement of their context with any other, to the left or right of the anchor, are
    cut off. Of contexts that are equal then, the smallest document's stands for all. Of
@@ -54,6 +57,7 @@ LENGTH, GRAM = 50, 20
 GRAMS = LENGTH - GRAM + 1                  # 20-grams in a window
 SEGMENT = 1 << 18                          # window starts that are hashed at once
 FULL, SEND, HOT = 1, 2, 3
+CROWDED, DONE, KINDS = 1, 2, 3             # of packed entries; 0 are compared by anchor
 MASK48 = U((1 << 48) - 1)
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -137,8 +141,8 @@ def _unpack_ids(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, f"<u{packed[8:9].decode()}", offset=9).astype(U).view(np.int64) + np.frombuffer(packed, "<i8", 1)
 
 
-def _packed(ids: np.ndarray, row: np.ndarray, group: np.ndarray, key: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Rows (bucket, docs, at, groups, keys): entries by the upper bits of their group."""
+def _packed(ids: np.ndarray, row: np.ndarray, group: np.ndarray, key: np.ndarray, bits: int, kind: int = 0) -> pa.RecordBatch:
+    """Rows (bucket, docs, at, groups, keys): entries by the upper bits of their group, and by kind."""
     bucket = (group >> U(64 - bits)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cut = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
@@ -148,9 +152,25 @@ def _packed(ids: np.ndarray, row: np.ndarray, group: np.ndarray, key: np.ndarray
         if len(mine):
             docs, at = np.unique(row[mine], return_inverse=True)
             k, g = key[mine], (group[mine] >> U(40 - bits)).astype(np.uint32)
-            out.append((b, _pack_ids(ids[docs]), at.astype("<u4" if len(docs) > 65535 else "<u2").tobytes(),
+            out.append((b * KINDS + kind, _pack_ids(ids[docs]), at.astype("<u4" if len(docs) > 65535 else "<u2").tobytes(),
                         g.astype("<u2").tobytes() + (g >> 16).astype(np.uint8).tobytes(),
                         k.astype("<u4").tobytes() + (k >> U(32)).astype("<u2").tobytes()))
+    return _record(out)
+
+
+def _packed_done(ids: np.ndarray, row: np.ndarray, key: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Entries that need no comparison any more, in pieces that are dealt evenly; they have no group."""
+    out = []
+    for lo in range(0, len(row), 1 << 16):
+        docs, at = np.unique(row[lo:lo + (1 << 16)], return_inverse=True)
+        k = key[lo:lo + (1 << 16)]
+        own = words.mix(ids[docs[:1]].astype(np.int64).view(U) + words.mix(k[:1]))[0] >> U(64 - bits)
+        out.append((int(own) * KINDS + DONE, _pack_ids(ids[docs]), at.astype("<u4" if len(docs) > 65535 else "<u2").tobytes(), b"",
+                    k.astype("<u4").tobytes() + (k >> U(32)).astype("<u2").tobytes()))
+    return _record(out)
+
+
+def _record(out: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([o[0] for o in out], pa.int32()), *[
         pa.array([o[i] for o in out], pa.binary()) for i in range(1, 5)]], ["bucket", "docs", "at", "groups", "keys"])
 
@@ -158,17 +178,88 @@ def _packed(ids: np.ndarray, row: np.ndarray, group: np.ndarray, key: np.ndarray
 PACKED = "bucket int, docs binary, at binary, groups binary, keys binary"
 
 
-def _packer(bits: int) -> Callable:
-    """A batch's contexts, by anchor."""
+def _code(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return words.mix(group + words.mix(key + U(5)))
+
+
+class _Seen:
+    """The smallest document, in one task, of entries that several of its documents have.
+
+    As a partial aggregation does, it leaves one entry for all of a batch, and mostly
+    one for all of a task: however many documents share a passage, a bucket gets one
+    entry per task, and the others are known to be repeated without it."""
+
+    def __init__(self, limit: int = 1 << 17):
+        self.limit = limit
+        self.code, self.least = np.zeros(0, U), np.zeros(0, np.int64)
+
+    def split(self, doc: np.ndarray, group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the entries to be compared elsewhere, and of those that a smaller document has."""
+        if not len(doc):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        code = _code(group, key)
+        order = np.lexsort((doc, code))
+        c, d = code[order], doc[order]
+        new = np.concatenate([[True], c[1:] != c[:-1]])
+        once = new | np.concatenate([[True], d[1:] != d[:-1]])          # a document's equal entries are one
+        start = np.flatnonzero(new)
+        run = np.cumsum(new) - 1
+        own, first = c[start], d[start]
+        earlier = np.full(len(start), np.iinfo(np.int64).max)
+        told = np.zeros(len(start), bool)
+        if len(self.code):
+            at = np.minimum(np.searchsorted(self.code, own), len(self.code) - 1)
+            told = self.code[at] == own
+            earlier[told] = self.least[at[told]]
+        least = np.minimum(first, earlier)
+        fresh = new & ((first < earlier) | ~told)[run]
+        known = once & (d > least[run])
+        self._remember(own, least, told | (d[np.append(start[1:], len(d)) - 1] > first))
+        return order[fresh], order[known]
+
+    def _remember(self, code: np.ndarray, least: np.ndarray, shared: np.ndarray) -> None:
+        code, least = np.concatenate([self.code, code[shared]]), np.concatenate([self.least, least[shared]])
+        order = np.lexsort((least, code))
+        code, least = code[order], least[order]
+        first = np.concatenate([[True], code[1:] != code[:-1]])[:len(code)]
+        if first.sum() <= self.limit:                      # else entries are left for the buckets, nothing is lost
+            self.code, self.least = code[first], least[first]
+        else:
+            at = np.searchsorted(code, self.code)          # sorted by least, the first is the smallest
+            self.least = least[at]
+
+
+def _text_contexts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, anchor and key of each context of a batch (doc_id, text)."""
+    raw, ends = words.text_buffer(batch.column(1))
+    found = [(lo, contexts(raw[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])) for lo, hi in words.slices(ends, 1 << 19)]
+    row = np.concatenate([np.zeros(0, np.int64), *[np.searchsorted(ends, c.lo + ends[lo], "right") - 1 for lo, c in found]])
+    return (row, np.concatenate([np.zeros(0, U), *[c.anchor for _, c in found]]),
+            np.concatenate([np.zeros(0, U), *[c.key for _, c in found]]))
+
+
+def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        _, anchor, key = _text_contexts(batch)
+        _, first = np.unique(_code(anchor, key), return_index=True)
+        yield pa.record_batch([pa.array(anchor[first].view(np.int64)), pa.array(key[first].astype(np.int64))], ["anchor", "key"])
+
+
+def _packer(bits: int, crowded: np.ndarray) -> Callable:
+    """A batch's contexts, by anchor; those of ``crowded`` (sorted) anchors by themselves."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            raw, ends = words.text_buffer(batch.column(1))
-            found = [(lo, contexts(raw[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])) for lo, hi in words.slices(ends, 1 << 19)]
-            row = np.concatenate([np.zeros(0, np.int64), *[
-                np.searchsorted(ends, c.lo + ends[lo], "right") - 1 for lo, c in found]])
-            yield _packed(ids, row, np.concatenate([np.zeros(0, U), *[c.anchor for _, c in found]]),
-                          np.concatenate([np.zeros(0, U), *[c.key for _, c in found]]), bits)
+            row, anchor, key = _text_contexts(batch)
+            fresh, known = seen.split(ids[row], anchor, key)
+            yield _packed_done(ids, row[known], key[known], bits)
+            row, anchor, key = row[fresh], anchor[fresh], key[fresh]
+            apart = np.zeros(len(row), bool)
+            if len(crowded):
+                apart = crowded[np.minimum(np.searchsorted(crowded, anchor), len(crowded) - 1)] == anchor
+                yield _packed(ids, row[apart], _code(anchor[apart], key[apart]), key[apart], bits, CROWDED)
+            yield _packed(ids, row[~apart], anchor[~apart], key[~apart], bits)
     return pack
 
 
@@ -182,11 +273,15 @@ def _window_hashes(body: bytes) -> np.ndarray:
 def _window_packer(bits: int) -> Callable:
     """The windows of crowded anchors, each its own group: (doc_id, bodies) to packed entries."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             found = [np.concatenate([np.zeros(0, U), *map(_window_hashes, own)]) for own in batch.column(1).to_pylist()]
             h = np.concatenate([np.zeros(0, U), *found])
-            yield _packed(batch.column(0).to_numpy(zero_copy_only=False),
-                          np.repeat(np.arange(len(found)), [len(f) for f in found]), words.mix(h + U(3)), h & MASK48, bits)
+            row, group, key = np.repeat(np.arange(len(found)), [len(f) for f in found]), words.mix(h + U(3)), h & MASK48
+            fresh, known = seen.split(ids[row], group, key)
+            yield _packed_done(ids, row[known], key[known], bits)
+            yield _packed(ids, row[fresh], group[fresh], key[fresh], bits)
     return pack
 
 
@@ -194,14 +289,17 @@ def _settler(hot: int) -> Callable:
     """What each document must know of its contexts: (doc_id, states), states as key * 4 + state."""
     def settle(rows: pa.Table) -> pa.Table:
         docs, anchors, keys = [], [], []
+        kind = rows.column("bucket")[0].as_py() % KINDS
         for r in rows.to_batches():
             for d, at, g, k in zip(*[r[c].to_pylist() for c in ("docs", "at", "groups", "keys")], strict=True):
-                n, ids = len(g) // 3, _unpack_ids(d)
-                a = np.frombuffer(g, "<u2", n).astype(np.uint32) | np.frombuffer(g, np.uint8, n, 2 * n).astype(np.uint32) << 16
+                n, ids = len(k) // 6, _unpack_ids(d)
+                a = np.zeros(n, np.uint32) if kind == DONE else np.frombuffer(g, "<u2", n).astype(np.uint32) | np.frombuffer(g, np.uint8, n, 2 * n).astype(np.uint32) << 16
                 docs.append(ids[np.frombuffer(at, "<u4" if len(ids) > 65535 else "<u2")])
                 anchors.append(a)
                 keys.append(np.frombuffer(k, "<u4", n).astype(U) | np.frombuffer(k, "<u2", n, 4 * n).astype(U) << U(32))
         doc, anchor, key = np.concatenate(docs), np.concatenate(anchors), np.concatenate(keys)
+        if kind == DONE:
+            return told(doc, key, np.full(len(doc), FULL))
         order = np.lexsort((key, anchor))
         doc, anchor, key = doc[order], anchor[order], key[order]
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
@@ -210,11 +308,13 @@ def _settler(hot: int) -> Callable:
         least = np.minimum.reduceat(doc, start)[np.cumsum(new) - 1]
         group = np.cumsum(new_anchor) - 1
         several = np.bincount(group[start])[group]          # contexts of the anchor
-        state = np.where(doc > least, FULL, np.where(several > hot, HOT, np.where(several > 1, SEND, 0)))
-        told = state > 0
-        doc, entry = doc[told], (key[told] << U(2)) | state[told].astype(U)
+        rest = HOT if kind == CROWDED else np.where(several > hot, HOT, np.where(several > 1, SEND, 0))
+        state = np.where(doc > least, FULL, rest)
+        return told(doc[state > 0], key[state > 0], state[state > 0])
+
+    def told(doc: np.ndarray, key: np.ndarray, state: np.ndarray) -> pa.Table:
         order = np.argsort(doc, kind="stable")
-        doc, entry = doc[order], np.ascontiguousarray(entry[order])
+        doc, entry = doc[order], ((key << U(2)) | state.astype(U))[order]
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
         offsets = (np.append(first, len(doc)) * 8).astype(np.int32)
         blobs = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(entry)])
@@ -446,7 +546,16 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["doc_id", "text_key", "n_removed", "n_spans", "kept_sha256"])
 
 
-def remove_repeats(docs: DataFrame, hot: int = 1000, bucket_bytes: int = 16 << 20) -> DataFrame:
+def _crowded(docs: DataFrame, crowd: int, sample: int) -> np.ndarray:
+    """Anchors with more than ``crowd`` contexts in every ``sample``-th document, sorted.
+
+    A crowded anchor that the sample misses makes a larger group, not another result."""
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
+    many = some.mapInArrow(_sampler, "anchor long, key long").distinct().groupBy("anchor").count().where(F.col("count") > crowd)
+    return np.sort(np.array([r[0] for r in many.select("anchor").collect()], np.int64).view(U))
+
+
+def remove_repeats(docs: DataFrame, hot: int = 1000, bucket_bytes: int = 16 << 20, sample: int = 16) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -463,7 +572,9 @@ def remove_repeats(docs: DataFrame, hot: int = 1000, bucket_bytes: int = 16 << 2
             "doc_id").agg(F.collect_list("states").alias("states"))
 
     long_enough = base.where("doc_id is not null and octet_length(text) >= 50")
-    told = settled(long_enough.mapInArrow(_packer(bits), PACKED), hot)
+    # some 16 bytes of text per context, so the driver gets 2**24 / sample anchors at most
+    apart = _crowded(long_enough, max(hot, total >> 28), sample)
+    told = settled(long_enough.mapInArrow(_packer(bits, apart), PACKED), hot)
     text = long_enough.mapInArrow(_compress, "doc_id long, text_key long, packed binary")
     marked = written(spark, "repeats-marked", text.join(told, "doc_id").select(
         "doc_id", "text_key", "packed", "states").mapInArrow(_mark, MARKED))

@@ -89,3 +89,78 @@ def test_windows_that_share_a_group_stay():
         pa.array([None, None], pa.list_(pa.struct([("text_key", pa.int64()), ("starts", pa.list_(pa.int32()))]))),
         pa.array(counted, pa.list_(pa.binary()))], ["doc_id", "text_key", "packed", "repeated", "crowded", "sorted", "counted"])
     assert next(op2_repeats._assemble(iter([rows]))).column(2).to_pylist() == [0, 0]
+
+
+def batch_of(rows):
+    import pyarrow as pa
+    return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["doc_id", "text"])
+
+
+def entries(parts):
+    """Entries to be compared per bucket, and those that are settled."""
+    kinds = [[], [], []]
+    for part in parts:
+        for r in part.to_pylist():
+            kinds[r["bucket"] % op2_repeats.KINDS].append(len(r["keys"]) // 6)
+    return [sum(k) for k in kinds]
+
+
+def test_common_passage_is_one_entry_per_task():
+    """Copies and common passages: a bucket gets no entry for each document."""
+    import numpy as np
+    rng = random.Random(11)
+    text = words(rng, 300)
+    one = entries(op2_repeats._packer(5, np.zeros(0, np.uint64))(iter([batch_of([(1, text)])])))
+    batches = [batch_of([(i, text) for i in range(lo, lo + 100)]) for lo in (301, 1, 101, 201)]
+    found = entries(op2_repeats._packer(5, np.zeros(0, np.uint64))(iter(batches)))
+    assert found[0] == 2 * one[0]                          # a smaller document came once
+    assert found[2] == 398 * one[0]
+
+
+def test_crowded_anchors_are_dealt_by_context():
+    """Passages that go on differently everywhere: their anchors' entries lie in many buckets."""
+    import numpy as np
+    rng = random.Random(12)
+    rows = [(i, words(rng, 12) + SHARED + words(rng, 12)) for i in range(2000)]
+    _, anchor, key = op2_repeats._text_contexts(batch_of(rows))
+    each, n = np.unique(anchor, return_counts=True)
+    crowded = np.sort([a for a in each[n > 500] if len(np.unique(key[anchor == a])) > 500])
+    assert len(crowded)
+    largest = {}
+    for part in op2_repeats._packer(5, crowded)(iter([batch_of(rows)])):
+        for r in part.to_pylist():
+            if r["bucket"] % op2_repeats.KINDS == op2_repeats.CROWDED:
+                largest[r["bucket"]] = len(r["keys"]) // 6
+    assert len(largest) == 32 and max(largest.values()) < 3 * sum(largest.values()) / 32
+
+
+@pytest.mark.parametrize("sample", [1, 2])
+def test_sampled_crowds_change_nothing(spark, sample):
+    rows = corpus()
+    df = spark.createDataFrame(rows, DOC).repartition(3)
+    assert by_id(op2_repeats.remove_repeats(df, hot=3, sample=sample).collect()) == by_id(repeats_removed(rows))
+
+
+def test_no_group_holds_an_entry_per_document(spark, monkeypatch):
+    """A passage in all rows, going on differently in each, and copies of one text."""
+    rng = random.Random(13)
+    rows = [(i, words(rng, 12) + SHARED * 2 + words(rng, 12)) for i in range(3000)] + [(5000 + i, "copy " * 30) for i in range(3000)]
+    real = op2_repeats._settler
+
+    def watched(hot):
+        settle = real(hot)
+
+        def check(table):
+            from collections import Counter
+            sizes = Counter()
+            for blob in table.column("groups").to_pylist():
+                n = len(blob) // 3
+                sizes.update((blob[2 * i:2 * i + 2], blob[2 * n + i]) for i in range(n))
+            assert max(sizes.values(), default=0) < 1000, "one group holds an entry per document"
+            return settle(table)
+        return check
+
+    monkeypatch.setattr(op2_repeats, "_settler", watched)
+    df = spark.createDataFrame(rows, DOC).repartition(4)
+    got = by_id(op2_repeats.remove_repeats(df, hot=20).collect())
+    assert got == by_id(repeats_removed(rows))
