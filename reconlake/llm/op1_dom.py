@@ -11,15 +11,22 @@ from dataclasses import dataclass
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|title|svg|math|iframe|object|canvas)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-z][a-z0-9:-]*)([^>"']*+(?:"[^"]*"[^>"']*+|'[^']*'[^>"']*+)*+)>"""
     r"|<(/?)([a-z][a-z0-9:-]*)([^>]*+)>"
     r"|<[!?][^>]*+>", re.S | re.I)
+#: Elements without article text, up to their end tag. What an unclosed one of RAW holds is no markup to
+#: a browser, so it runs to the end of the page; an unclosed one of the others is the tag only.
+RAW = frozenset("script style noscript template title iframe".split())
+SKIPPED = RAW | {"svg", "canvas", "annotation", "annotation-xml"}
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SKIPPED}
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/\Z""")
 _NAMES = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr img picture source br audio video track map "
-                   "area label".split())
+                   "area label object math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup "
+                   "munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd mstyle mpadded "
+                   "mphantom menclose mfenced merror maction".split())
 VOID = frozenset("br hr img input meta link area base col embed param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -99,17 +106,26 @@ class Reader:
             if state["link"]:
                 state["links"] += len(piece)
 
-        at = 0
-        for m in _TOKEN.finditer(page):
+        at, unclosed = 0, set()
+        while m := _TOKEN.search(page, at):
             if m.start() > at:
                 add(page[at:m.start()])
             at = m.end()
-            tag = m[3] or m[6]
+            tag = m[2] or m[5]
             if not tag:
-                if m[1]:
-                    text.append(" ")
                 continue
-            tag, closing = tag.lower(), bool(m[2] or m[5])
+            tag, closing, attributes = tag.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+            if tag in SKIPPED and not closing and (not attributes or attributes[0] in " \t\r\n\f/"):
+                text.append(" ")
+                if not _SELF_CLOSED.search(attributes) and tag not in unclosed:
+                    end = _END[tag].search(page, at)
+                    if end:
+                        at = end.end()
+                    elif tag in RAW:
+                        at = len(page)
+                    else:
+                        unclosed.add(tag)
+                continue
             if tag in INLINE:
                 if tag == "a":
                     state["link"] = 0 if closing else 1
@@ -136,7 +152,6 @@ class Reader:
                     if stack[i][0] in KEEPS:
                         break
             state["n"] += 1
-            attributes = m[4] or m[7] or ""
             stack.append((tag, self._context(stack[-1][1], tag, attributes if "=" in attributes else ""),
                           stack[-1][2] if tag in ("p", "li") else state["n"]))
         if at < len(page):

@@ -68,3 +68,17 @@ def test_odd_pages(spark, field):
     assert sorted(texts[4])[-1] == "same id" and texts[None] == ["no id"]
     assert len(texts[7][0].split("\n\n")) == 5000
     assert op1_crf.main_text(df.limit(0), field).count() == 0
+
+
+@pytest.mark.parametrize("odd", [
+    "<svg-icon name=x></svg-icon>", "<title-bar></title-bar>", "<template-x/>", "<object-view>", "<svg class='i'/>", "<svg/>",
+    "<math/>", "<object data=x>", "<svg viewBox='0 0 1 1'>", "<canvas>", "<script src='x' />", "<title_x>"])
+def test_odd_tags_drop_no_text(odd):
+    blocks = op1_dom.Reader().blocks(f"<article><p>One.</p>{odd}<p>Two.</p></article>")
+    assert [b.text for b in blocks] == ["One.", "Two."]
+
+
+def test_formulas_and_fallbacks_are_text():
+    page = ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x=2</annotation></math> hold.</p>"
+            "<object data=f><p>Fallback.</p></object><svg><text>no</text></svg><script src=/a/>no</script><p>End.</p>")
+    assert [b.text for b in op1_dom.Reader().blocks(page)] == ["Let x=2 hold.", "Fallback.", "End."]
