@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -61,17 +62,20 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int) -> int:
         if longest >= 2 * s:
             s = longest
             continue
-        for length in sorted(found, reverse=True):
-            for i, d in sorted(found[length]):
-                run = free_i[i:i + length] & free_d[d:d + length]
-                if run.all():
-                    free_i[i:i + length] = free_d[d:d + length] = False
-                    covered += length
-                elif length > s:                         # partly taken: what is left is searched again
-                    stop = int(np.argmin(run))
-                    if stop >= s:
-                        free_i[i:i + stop] = free_d[d:d + stop] = False
-                        covered += stop
+        queue = [(-length, i, d) for length, places in found.items() for i, d in places]
+        heapify(queue)
+        while queue:
+            length, i, d = heappop(queue)
+            length = -length
+            run = free_i[i:i + length] & free_d[d:d + length]
+            if run.all():
+                free_i[i:i + length] = free_d[d:d + length] = False
+                covered += length
+                continue
+            edge = np.flatnonzero(np.diff(np.concatenate([[False], run, [False]])))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+                if b - a >= s:                           # partly taken: each part left is a match of its own length
+                    heappush(queue, (a - b, i + a, d + a))
         s = s // 2 if s > 2 * least else s - 1 if s <= least else least
     return covered
 

@@ -97,3 +97,16 @@ def test_odd_rows_and_blocks(spark):
         assert key(many) == key(one)
     assert op7_tiling.coverage(df.limit(0), bench).count() == 0
     assert not op7_tiling.coverage(df, bench.limit(0)).where("contaminated").count()
+
+
+def test_tiles_of_overlapping_quotes():
+    as_array = lambda xs: words.mix(op7_tiling.np.array(xs, op7_tiling.U))
+    item = list(range(28))
+    doc = item[0:6] + [90] + item[5:11] + [91]
+    assert op7_tiling.tile(as_array(item), as_array(doc), 5) == greedy(item, doc, 5) == 11
+    rng = random.Random(6)
+    for n in range(300):
+        item = [rng.randint(0, 2 + n % 4) for _ in range(rng.randint(5, 30))]
+        doc = [rng.randint(0, 2 + n % 4) for _ in range(rng.randint(5, 40))]
+        doc[5:5] = item[n % 3:n % 3 + 9]
+        assert op7_tiling.tile(as_array(item), as_array(doc), 3) == greedy(item, doc, 3)
