@@ -175,9 +175,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, window: int
     raw = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     spare = F.greatest(F.length(raw) - window, F.lit(0))
     start = F.pmod(F.xxhash64("id", F.lit(12)), spare + 1).cast("int") + 1
-    # two per_class rows of window bytes: what the driver gets is bounded by the parameters
+    # two per_class rows of window bytes, one of each id, however often rows repeat it: what the driver
+    # gets is bounded by the parameters
+    piece = F.struct(F.xxhash64("raw", F.lit(13)).alias("h"), "raw")
     rows = (docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(sample), "id")
-            .select("id", "q", raw.substr(start, F.lit(window)).alias("raw")).collect())
+            .select("id", "q", raw.substr(start, F.lit(window)).alias("raw"))
+            .groupBy("id", "q").agg(F.min(piece).alias("least")).select("id", "q", "least.raw").collect())
     rows.sort(key=lambda r: (r["id"], bytes(r["raw"])))
     return fit([np.frombuffer(bytes(r["raw"]), np.uint8) for r in rows], np.array([r["q"] for r in rows], np.float32))
 

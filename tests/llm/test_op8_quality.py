@@ -95,3 +95,14 @@ def test_training_rows(spark):
     for none in (labels.limit(0), labels.where("quality = 1")):
         m = op8_quality.train(docs, none)
         assert len({r.score for r in op8_quality.score_documents(docs, none, m).collect()}) == 1
+
+
+def test_repeated_id_is_one_training_row(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(op8_quality, "fit", lambda texts, label: got.append((len(texts), label.tolist())))
+    docs = spark.createDataFrame([(i % 40 if i < 80 else 7, f"text number {i} of some length") for i in range(600)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    op8_quality.train(docs, labels)
+    known = labels.where(~op8_quality.held_out(op8_quality.F.col("doc_id"))).count()
+    assert got[0][0] == known
