@@ -176,7 +176,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
         if not b.context:
             own.append("bare")
         for cue, pattern in CUES.items():
-            if pattern.search(b.text if n < 400 else b.text[:200] + " " + b.text[-200:]):
+            if pattern.search(b.text):
                 own.append("cue:" + cue)
                 if words < 20:
                     own.append("short cue:" + cue)

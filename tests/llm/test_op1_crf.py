@@ -82,3 +82,8 @@ def test_formulas_and_fallbacks_are_text():
     page = ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='tex'>x=2</annotation></math> hold.</p>"
             "<object data=f><p>Fallback.</p></object><svg><text>no</text></svg><script src=/a/>no</script><p>End.</p>")
     assert [b.text for b in op1_dom.Reader().blocks(page)] == ["Let x=2 hold.", "Fallback.", "End."]
+
+
+def test_cues_in_the_middle_of_a_long_block():
+    block = op1_dom.Block("word " * 60 + "we use cookies, all rights reserved " + "word " * 60 + "end.", (), 0, 0)
+    assert {"cue:act", "cue:legal"} <= set(op1_dom.features([block])[0])
