@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling with running Karp-Rabin.
 
-Tokens are runs of ASCII letters and digits and of all bytes from 0x80 on, case
-folded in ASCII and Latin-1. A document and a benchmark item that share a seed
+Tokens are runs of ASCII letters and digits and of other characters but Unicode
+spaces and punctuation, case folded in ASCII and Latin-1. In scripts written without
+spaces (Chinese, Japanese, Thai and their like) each character is one. A document and a benchmark item that share a seed
 (``seed`` tokens in a row) are compared: the longest matches of unmarked tokens
 are marked as tiles, longest first, until none of at least ``seed`` tokens is
 left. Order doesn't matter, so reordered passages are caught too. A document is
@@ -38,12 +39,44 @@ GAPS[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(ran
 TILES = "array<struct<item_id:bigint,covered:bigint,tokens:bigint>>"
 
 
+GAP_RANGES = ((0x80, 0xA9), (0xAB, 0xAC), (0xAE, 0xB1), (0xB4, 0xB4), (0xB6, 0xB8), (0xBB, 0xBB), (0xBF, 0xBF), (0xD7, 0xD7),
+              (0xF7, 0xF7), (0x1680, 0x1680), (0x2000, 0x200B), (0x200E, 0x206F), (0x2E00, 0x2E7F), (0x3000, 0x3004),
+              (0x3008, 0x3020), (0x3030, 0x3030), (0x30FB, 0x30FB), (0xFE10, 0xFE1F), (0xFE30, 0xFE6F), (0xFEFF, 0xFEFF),
+              (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+UNSPACED_RANGES = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x302F),
+                   (0x3031, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF),
+                   (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+def _in(code: np.ndarray, ranges: tuple) -> np.ndarray:
+    edges = np.array(ranges).ravel() + np.tile([0, 1], len(ranges))
+    return np.searchsorted(edges, code, "right") % 2 == 1
+
+
+def _spaced(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``raw`` (changed) with blanks for Unicode gaps and around each character of unspaced scripts."""
+    lead = np.flatnonzero(raw >= 0xC2)
+    if not len(lead):
+        return raw, ends
+    width = np.where(raw[lead] < 0xE0, 2, np.where(raw[lead] < 0xF0, 3, 4))
+    padded = np.concatenate([raw, np.zeros(3, np.uint8)]).astype(np.int64)
+    code = padded[lead] & (0xFF >> (width + 1))
+    for i in (1, 2, 3):
+        code = np.where(i < width, code << 6 | padded[lead + i] & 63, code)
+    gap, alone = _in(code, GAP_RANGES), _in(code, UNSPACED_RANGES)
+    for i in range(4):
+        raw[lead[gap & (i < width)] + i] = 32
+    put = np.sort(np.concatenate([lead[alone], (lead + width)[alone]]))
+    return np.insert(raw, put, 32), ends + np.searchsorted(put, ends)
+
+
 def tokens(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of the texts, and the offsets of each text's tokens."""
     raw = raw.copy()
     lead = np.flatnonzero(raw[:-1] == 0xC3)
     second = raw[lead + 1]
     raw[lead + 1] += np.where((second >= 0x80) & (second <= 0x9E) & (second != 0x97), 32, 0).astype(np.uint8)
+    raw, ends = _spaced(raw, ends)
     h, _, _, at = words.word_hashes(raw, ends, GAPS)
     return h, at
 
@@ -178,8 +211,10 @@ def with_tiles(docs: DataFrame, benchmark: DataFrame, name: str = "tiles", seed:
     """``docs`` with the tiled items of each row: item_id, covered, tokens."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text") + 1), F.lit(0))).first()[0] // 2 + 1
-    n = -(-size // block_tokens)                         # a token has at least two characters with its gap
+    # a token has at least two characters with its gap, or is one character of three bytes or more
+    half = F.length("text") + 1 + F.ceil((F.octet_length("text") - F.length("text")) / 2)
+    size = items.agg(F.coalesce(F.sum(half), F.lit(0))).first()[0] // 2 + 1
+    n = -(-size // block_tokens)
     out = docs.withColumn(name, F.lit(None).cast(TILES))
     schema = T.StructType(out.schema.fields)
     empty = pa.list_(pa.struct([(c, pa.int64()) for c in ("item_id", "covered", "tokens")]))

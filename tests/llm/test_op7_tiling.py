@@ -110,3 +110,16 @@ def test_tiles_of_overlapping_quotes():
         doc = [rng.randint(0, 2 + n % 4) for _ in range(rng.randint(5, 40))]
         doc[5:5] = item[n % 3:n % 3 + 9]
         assert op7_tiling.tile(as_array(item), as_array(doc), 3) == greedy(item, doc, 3)
+
+
+def test_unspaced_scripts_and_unicode_gaps(spark):
+    import numpy as np
+    assert len(token_list("東京は日本の首都です。")) == 10 and len(token_list("ภาษาไทย")) == 7
+    assert token_list("“the\u00a0end”—of it…").tolist() == token_list("the end of it").tolist()
+    texts = ["東京a", "b京", "", "日", "é—x"]
+    ends = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    _, at = op7_tiling.tokens(np.frombuffer("".join(texts).encode(), np.uint8), ends)
+    assert np.diff(at).tolist() == [3, 2, 0, 1, 2]
+    bench = spark.createDataFrame([(1, "世界で一番高い山は何ですか")], ITEM)
+    docs = spark.createDataFrame([(1, "問題：世界で一番高い山は何ですか？答え"), (2, "世界は広い")], DOC)
+    assert {(r.doc_id, r.contaminated) for r in op7_tiling.coverage(docs, bench).collect()} == {(1, True), (2, False)}
