@@ -122,3 +122,29 @@ def slices(ends: np.ndarray, limit: int = 4 * PIECE) -> Iterator[tuple[int, int]
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
         yield at, to
         at = to
+
+
+def flat_range(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0]+1, ... (size[0] of them), then from start[1] on, and so on."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def sorts(key: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of a word of each sort, each word's sort) of the words data[start:start + size].
+    Equal words have equal keys; words of one key are compared, and those that differ
+    from the sort's word are sorts of their own."""
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, sort = np.unique(key, return_index=True, return_inverse=True)
+    like = first[sort]
+    odd = size != size[like]
+    short = np.minimum(size, size[like])
+    differ = data[flat_range(start, short)] != data[flat_range(start[like], short)]
+    if differ.any():
+        odd |= np.add.reduceat(differ, np.cumsum(short) - short) > 0
+    if odd.any():
+        n = len(first)
+        first = np.concatenate([first, np.flatnonzero(odd)])
+        sort[odd] = n + np.arange(int(odd.sum()))
+    return first, sort
