@@ -2,7 +2,7 @@
 
 The others are tested against brute force in tests/llm: extraction by a trained
 field (1), byte removal (2), bootstrapping (4), tiling (7), a trained network (8)
-and tokenization (9)."""
+and tokenization (9, 11, 13)."""
 
 from __future__ import annotations
 
@@ -112,9 +112,38 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (rid)"""
 
+SEARCH = r"""
+WITH words_ AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+),
+size_ AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS total FROM words_),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM words_) GROUP BY rid, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), size_
+),
+items AS (
+  SELECT row_number() OVER () AS iid, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark
+),
+asked AS (SELECT iid, item_id, unnest(w) AS term FROM items),
+scores AS (
+  SELECT iid, item_id, rid, doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * n) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN words_ USING (rid), size_
+  GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER best <= 50"""
+
 ORACLES = {
     "op3_chat_parts": CHAT,
     "op5_minhash_near_dedup": NEAR,
     "op6_voronoi_top_k": TOP_K,
     "op10_secret_ledger": SECRETS,
+    "op12_ranked_search": SEARCH,
 }
