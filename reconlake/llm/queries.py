@@ -19,12 +19,16 @@ from reconlake.llm import (
     op8_quality,
     op9_bpe,
     op10_secrets,
+    op11_align,
+    op12_search,
+    op13_pieces,
 )
 from reconlake.llm.oracles import ORACLES  # noqa: F401
 from reconlake.llm.store import bounded_batches, table
 from reconlake.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +85,23 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_secrets.digest(ledger.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op11_align.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTES),
+                                public_tokenizers.path(PIECES))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    index = op12_search.build_index(table(spark, sf_dir, "documents"))
+    return op12_search.search(index, table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_piece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return op13_pieces.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     "op1_html_crf": op1_html_crf,
     "op2_repeated_bytes": op2_repeated_bytes,
@@ -92,4 +113,7 @@ QUERIES = {
     "op8_quality_network": op8_quality_network,
     "op9_bpe_chunks": op9_bpe_chunks,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_aligned_tokens": op11_aligned_tokens,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_piece_rounds": op13_piece_rounds,
 }

@@ -7,7 +7,7 @@ from reconlake.llm.queries import ORACLES, QUERIES
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_\w+$", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_\w+$", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
 
