@@ -79,7 +79,7 @@ def test_odd_rows(spark):
     items = [(1, "Apple pie"), (1, "Apple pie"), (2, None), (3, ""), (None, "éclair ÉCLAIR 14"), (4, "apple漢 apple漢"), (5, "absent"),
              (6, "pie " + "x" * 50_000)]
     assert search(spark, docs, items) == ranked(docs, items)
-    assert search(spark, docs, items, 2, block_terms=10) == ranked(docs, items, 2)
+    assert search(spark, docs, items, 2, block_terms=10_000) == ranked(docs, items, 2)
 
 
 def test_empty_tables(spark):
