@@ -7,7 +7,11 @@ carries the table's comment, properties and partition columns (kept in a
 * ``streaming_table``: an append flow, run with ``trigger(availableNow=True)``
   and its own checkpoint, so each refresh processes only new input;
 * ``scd1``: a keyed target declared apart from its flow (created empty with
-  its schema), fed by the staging stream through the merge-on-read upsert;
+  its schema), fed by the staging stream; with a partition column (the business
+  date) a table in cells with a change log (``streaming/keyed.py``), else the
+  merge-on-read upsert;
+* ``delta_view``: a table in cells (``streaming/cells.py``) that ``fold`` brings up
+  to date from the change logs of its sources; its state says what is folded in;
 * ``materialized_view``: recomputed in batch and overwritten;
 * ``incremental_view``: a view partitioned by one column over a streaming
   table partitioned alike (``source``). The view keeps, per partition, a
@@ -36,13 +40,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from reconlake.functions import calendar_dim, classify
-from reconlake.operators import layout, reconcile, summary
+from reconlake.operators import incremental, layout, reconcile, summary
 from reconlake.plans import pipeline as pl
 from reconlake.session import scratch_path
 from reconlake.sources import ingest
 from reconlake.streaming import metrics, runner, upsert
+from reconlake.streaming.cells import CellTable
+from reconlake.streaming.keyed import KeyedTable
 
 STREAMING, SCD1, VIEW, INCREMENTAL = "streaming_table", "scd1", "materialized_view", "incremental_view"
+DELTA = "delta_view"
 
 
 @dataclass
@@ -57,6 +64,8 @@ class Dataset:
     sequence_by: str = pl.SEQUENCE                          # scd1 only
     max_deltas: int = 32                                    # scd1 only: compact beyond this many deltas
     except_cols: tuple[str, ...] = ()                       # scd1 only: columns of the flow that the table leaves out
+    buckets: int = 4                                        # scd1 with a partition column only: key buckets
+    fold: Callable[["Catalog", CellTable], int] | None = None            # delta only
     source: str = ""                                                     # incremental only
     flow: Callable[["Catalog", str], StreamingQuery] | None = None       # streaming only: writes batch folders itself
     recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
@@ -88,6 +97,10 @@ class Catalog:
 
     def read(self, name: str) -> DataFrame:
         spec = self.specs.get(name)
+        if spec is not None and spec.kind == SCD1 and spec.partition_cols:
+            return self.keyed(name).snapshot()
+        if spec is not None and spec.kind == DELTA:
+            return self.cells(name).read()
         if spec is not None and spec.kind == SCD1:
             return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by,
                                         schema=self.schema(name))
@@ -106,6 +119,16 @@ class Catalog:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path(name))
 
+    def keyed(self, name: str, schema: StructType | None = None) -> KeyedTable:
+        """The partitioned upsert target ``name``."""
+        spec = self.specs[name]
+        return KeyedTable(self.spark, self.path(name), schema or self.schema(name), spec.keys, spec.sequence_by,
+                          spec.partition_cols[0], spec.buckets)
+
+    def cells(self, name: str, schema: StructType | None = None) -> CellTable:
+        """The table in cells of the delta view ``name``."""
+        return CellTable(self.spark, self.path(name), schema or self.schema(name), self.specs[name].partition_cols)
+
     def _layout(self, name: str) -> dict[str, str]:
         """A flow's batch folders are no partition column of its table."""
         spec = self.specs.get(name)
@@ -228,6 +251,10 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
             _record_metrics(cat, ds.name, listener.totals_of(q))
         elif ds.kind == SCD1:
             df = df.drop(*ds.except_cols)
+            if ds.partition_cols:
+                _write_meta(cat, ds, df)                     # declared before its flow
+                cat.keyed(ds.name, df.schema).upsert_stream(df, f"{path}._checkpoint")
+                continue
             upsert.declare(spark, path, df.schema)
             upsert.upsert_stream(df, path, f"{path}._checkpoint", ds.except_cols)
             upsert.maybe_compact(spark, path, ds.keys, ds.sequence_by, ds.max_deltas, cat.schema(ds.name))
@@ -239,11 +266,35 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
                 df.write.mode("overwrite").parquet(path)
         elif ds.kind == INCREMENTAL:
             _refresh_incremental(cat, ds, df)
+        elif ds.kind == DELTA:
+            ds.fold(cat, cat.cells(ds.name, df.schema))
         else:
             raise ValueError(f"unknown dataset kind {ds.kind!r}")
         _write_meta(cat, ds, df)
 
 
+def fold_detail(table: CellTable, usage: KeyedTable, charges: KeyedTable,
+                finish: Callable[[DataFrame], DataFrame], calendar: list[str]) -> int:
+    """Bring the detail up to the upsert targets' versions; what is folded in is kept with its version."""
+    now, done = {"usage": usage.version(), "charges": charges.version(), "calendar": calendar}, table.state()
+    if table.version() < 0 or done["calendar"] != calendar:
+        return table.commit(incremental.rematched(usage.snapshot(now["usage"]), charges.snapshot(now["charges"]), finish),
+                            None, now)
+    if all(done[k] == now[k] for k in now):
+        return table.version()
+    keys = incremental.touched_keys(usage.changes(done["usage"], now["usage"]), charges.changes(done["charges"], now["charges"]))
+
+    def build(keys: DataFrame) -> DataFrame:
+        own = {c: c for c in incremental.MATCH_KEY}
+        return incremental.rematched(usage.matching(keys, own, now["usage"]),
+                                     charges.matching(keys, incremental.CHARGE_KEY, now["charges"]), finish)
+
+    number = incremental.replace_keys(table, keys, build, now)
+    usage.forget_changes(done["usage"])
+    charges.forget_changes(done["charges"])
+    return number
+
+
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
               calendar_range: tuple[str, str], money_scale: int | None = None,
               gold: str = "stream", cdr_hints: str | None = None, bounded: bool = False,
@@ -268,16 +319,27 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
     ``mixed`` the usage files may differ in physical types (``runner.bronze_cdr_mixed``,
     which takes ``rescue_extra``).
 
-    ``gold="batch"``: the detail is recomputed from the upsert snapshots at each
-    refresh (reflects updates to already reconciled rows) and the summary with
-    it."""
+    ``gold="batch"``: the detail follows the upsert targets, so updates to already
+    reconciled rows are reflected. A refresh re-matches the keys of their change rows
+    and replaces the dates concerned (``operators/incremental.py``); the summary
+    recomputes those dates. A new calendar range rebuilds the detail."""
     days = reconcile.calendar_days(*calendar_range)
     money = money_scale is not None
 
+    def finish(cat: Catalog) -> Callable[[DataFrame], DataFrame]:
+        return lambda rec: classify.derive(reconcile.calendar_join(rec, cat.read("silver.calendar"), days))
+
     def detail_batch(cat: Catalog) -> DataFrame:
-        rec = reconcile.match(cat.read("silver.cdr_events_silver"), cat.read("silver.edr_events_silver"))
-        rec = reconcile.calendar_join(rec, cat.read("silver.calendar"), days)
-        return classify.derive(rec)
+        return incremental.rematched(cat.read("silver.cdr_events_silver"), cat.read("silver.edr_events_silver"), finish(cat))
+
+    def detail_fold(cat: Catalog, table: CellTable) -> int:
+        return fold_detail(table, cat.keyed("silver.cdr_events_silver"), cat.keyed("silver.edr_events_silver"),
+                           finish(cat), [str(d) for d in calendar_range])
+
+    def summary_fold(cat: Catalog, table: CellTable) -> int:
+        return incremental.refresh_summary(
+            table, cat.cells("gold.reconciliation_detail"),
+            lambda rows: summary.summarize_sql(cat.spark, rows, "reconciliation_detail", money=money))
 
     def detail_stream(cat: Catalog) -> DataFrame:
         cdr, _ = runner.quarantine(cat.read_stream("silver.cdr_staging", max_files=None))
@@ -316,9 +378,9 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
                 lambda cat: runner.silver_edr_stream(cat.read_stream("bronze.edr_events"), bounded, validate_first),
                 "Charge rows that passed the rules, first arrivals only"),
         Dataset("silver.cdr_events_silver", SCD1, lambda cat: cat.read_stream("silver.cdr_staging"),
-                "Latest usage row of each call", {"quality": "silver", "layer": "silver"}, keys=pl.CDR_KEYS),
+                "Latest usage row of each call", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.CDR_KEYS),
         Dataset("silver.edr_events_silver", SCD1, lambda cat: cat.read_stream("silver.edr_staging"),
-                "Latest charge row of each session", {"quality": "silver", "layer": "silver"}, keys=pl.EDR_KEYS),
+                "Latest charge row of each session", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.EDR_KEYS),
         Dataset("silver.calendar", VIEW, lambda cat: calendar_dim.build(cat.spark, *calendar_range),
                 "One row per day of the range, with its attributes", {"layer": "silver"}),
     ]
@@ -338,10 +400,10 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
         ]
     elif gold == "batch":
         specs += [
-            Dataset("gold.reconciliation_detail", VIEW, detail_batch, "Usage and charges side by side, with the outcome of each match",
-                    {"quality": "gold", "layer": "gold"}, ["business_date"]),
-            Dataset("gold.reconciliation_summary", VIEW, summary_full, "Counts and amounts per day, outcome and severity",
-                    {"quality": "gold", "layer": "gold"}),
+            Dataset("gold.reconciliation_detail", DELTA, detail_batch, "Usage and charges side by side, with the outcome of each match",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"], fold=detail_fold),
+            Dataset("gold.reconciliation_summary", DELTA, summary_full, "Counts and amounts per day, outcome and severity",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"], fold=summary_fold),
         ]
     else:
         raise ValueError(f"unknown gold mode {gold!r}")

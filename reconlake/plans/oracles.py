@@ -229,3 +229,45 @@ FROM cdr_raw""", RAW),
                                 "(SELECT min(business_date) FROM scored) IN (2, 9, 16) GROUP BY business_date",
                                 *_DETAIL),
 })
+
+# --- upsert tables in cells and incremental gold (see plans/delta_queries.py) -----------
+
+CDR_FINAL = """
+cdr_final AS (
+  SELECT * REPLACE (
+    CASE WHEN sequence_number % 10 = 0 THEN expected_charge + 1.0 ELSE expected_charge END AS expected_charge,
+    CASE WHEN sequence_number % 10 = 0 THEN CAST(expected_charge_decimal + 1 AS DECIMAL(10,4))
+         ELSE expected_charge_decimal END AS expected_charge_decimal,
+    CASE WHEN sequence_number % 20 = 0 THEN CAST(business_date + INTERVAL 1 DAY AS DATE) ELSE business_date END AS business_date,
+    CASE WHEN sequence_number % 10 = 0 THEN 'CORRECTED' ELSE status END AS status)
+  FROM cdr_clean WHERE sequence_number % 10 <> 2
+)"""
+EDR_FINAL = """
+edr_final AS (
+  SELECT * EXCLUDE (n) REPLACE (
+    CASE WHEN n % 10 = 0 THEN charge_amount + 0.5 ELSE charge_amount END AS charge_amount,
+    CASE WHEN n % 10 = 0 THEN CAST(charge_amount_decimal + 0.5 AS DECIMAL(10,4)) ELSE charge_amount_decimal END
+      AS charge_amount_decimal,
+    CASE WHEN n % 10 = 0 THEN 'ADJUSTED' ELSE billing_status END AS billing_status)
+  FROM (SELECT *, CAST(substring(session_id, 9, 12) AS BIGINT) AS n FROM edr_clean) WHERE n % 10 <> 2
+)"""
+_FINAL = (*_ALL, CDR_FINAL, EDR_FINAL, MATCH.replace("cdr_clean c", "cdr_final c").replace("edr_clean e", "edr_final e"),
+          GOLD_CAL, f"detailed AS ({DETAIL_SELECT})", CLASSIFY.format(derive=DERIVE_COLS, src="detailed"))
+
+ORACLES.update({
+    "scd1_in_cells": _q("""SELECT call_id, business_date, expected_charge,
+  CAST(expected_charge_decimal AS DOUBLE) AS expected_charge_decimal, status FROM cdr_final""", *_ALL, CDR_FINAL),
+    "scd1_change_log": _q("""SELECT call_id, 'update_preimage' AS change_type, business_date, expected_charge, status
+FROM cdr_clean WHERE sequence_number % 10 = 0
+UNION ALL
+SELECT call_id, 'update_postimage', business_date, expected_charge, status FROM cdr_final WHERE sequence_number % 10 = 0
+UNION ALL
+SELECT call_id, 'insert', business_date, expected_charge, status FROM cdr_final WHERE sequence_number % 10 = 1
+UNION ALL
+SELECT call_id, 'delete', business_date, expected_charge, status FROM cdr_clean WHERE sequence_number % 10 = 2""",
+                          *_ALL, CDR_FINAL),
+    "silver_date_pruned": _q("""SELECT business_date, call_id, status FROM cdr_final
+WHERE business_date - (SELECT min(business_date) FROM cdr_final) IN (2, 9, 16)""", *_ALL, CDR_FINAL),
+    "detail_incremental": _q("SELECT * FROM scored", *_FINAL),
+    "summary_by_delta": _q(SUMMARY_SELECT, *_FINAL),
+})
