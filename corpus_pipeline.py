@@ -5,9 +5,10 @@ All but the last return the columns of documents:
 
 1. quality: the byte network scores every text; rows below 0.5 go. Trained on
    labelled rows that are not held out.
-2. near_duplicates: of each component of near copies the row with the smallest
-   doc_id stays. A row without doc_id always stays; rows that repeat a doc_id are
-   the same document.
+2. near_duplicates: of each component of near copies (80 percent of shingles) one row
+   stays, the one with the smallest doc_id (nulls last, then any one of its rows). Rows
+   are judged one by one: a doc_id may repeat, with other or the same text, or be null.
+   Rows without words are copies of nothing and stay.
 3. decontamination: rows of which a benchmark item is covered by half go.
 4. secrets: every span found is replaced by [REDACTED], and n_chars follows the
    new text. No row goes.
@@ -39,8 +40,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    copies = op5_minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    row = free_name(docs, "row")
+    rows = written(spark, "pipeline-rows", docs.withColumn(row, F.monotonically_increasing_id()))
+    found = op5_minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent=80).select(
+        F.col("doc_id").alias(row), "component_id")
+    placed = written(spark, "pipeline-components", found.join(rows.select(row, "doc_id"), row))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("least")
+    kept = placed.groupBy("component_id").agg(least).select(F.col(f"least.{row}").alias(row))
+    copies = placed.join(kept, row, "left_anti").select(row)
+    return rows.join(copies, row, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
