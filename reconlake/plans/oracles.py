@@ -212,7 +212,10 @@ ORACLES.update({
     "bronze_mixed_files": _q("""
 SELECT call_id, msisdn,
   CASE WHEN sequence_number % 3 = 1 AND sequence_number % 97 = 0 THEN NULL ELSE volume END AS volume,
-  CASE WHEN sequence_number % 3 = 1 AND sequence_number % 97 = 0 THEN '{"volume":"n/a"}'
+  CASE WHEN sequence_number % 3 = 1 AND sequence_number % 89 = 0 THEN NULL ELSE sequence_number END AS sequence_number,
+  CASE WHEN sequence_number % 3 = 1 AND (sequence_number % 97 = 0 OR sequence_number % 89 = 0) THEN
+         '{' || concat_ws(',', CASE WHEN sequence_number % 97 = 0 THEN '"volume":"n/a"' END,
+                          CASE WHEN sequence_number % 89 = 0 THEN '"sequence_number":"no. ' || sequence_number || '"' END) || '}'
        WHEN sequence_number % 3 = 2 THEN '{"vendor_flag":"v' || PartitionId || '"}' END AS _rescued_data
 FROM cdr_raw""", RAW),
     "bronze_lineage": _q("SELECT call_id, partition_date, partition_date IS NOT NULL AS path_has_date, "

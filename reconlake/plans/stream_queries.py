@@ -62,15 +62,19 @@ def bronze_cdr_stream(spark, sf):
 
 def mixed_landing(spark, sf) -> tuple[Landing, str]:
     """The usage capture with a third of its files as they are, a third with the
-    volume as text (some of it no number), and a third with a column more."""
+    volume and the (unhinted) sequence number as text, some of it no number, and a
+    third with a column more."""
     land = Landing(spark, sf)
     rows = land.spark.read.schema(land.cdr_schema).parquet(f"{land.cdr_dir}/*/*")
-    n = F.col("sequence_number") % 3
     text = F.when(F.col("sequence_number") % 97 == 0, F.lit("n/a")).otherwise(F.col("volume").cast("string"))
+    number = F.when(F.col("sequence_number") % 89 == 0, F.concat(F.lit("no. "), F.col("sequence_number"))).otherwise(
+        F.col("sequence_number").cast("string"))
     root = f"{land.root}/mixed"
-    for part, frame in enumerate((rows, rows.withColumn("volume", text),
+    for part, frame in enumerate((rows, rows.withColumn("__n", F.col("sequence_number")).withColumns(
+                                      {"volume": text, "sequence_number": number}),
                                   rows.withColumn("vendor_flag", F.concat(F.lit("v"), F.col("PartitionId"))))):
-        frame.where(n == part).write.parquet(f"{root}/2024-01-0{part + 1}")
+        own = F.col("__n") if "__n" in frame.columns else F.col("sequence_number")
+        frame.where(own % 3 == part).drop("__n").write.parquet(f"{root}/2024-01-0{part + 1}")
     return land, root
 
 
@@ -81,7 +85,7 @@ def bronze_mixed_files(spark, sf):
     runner.bronze_cdr_mixed(land.spark, root, land.cdr_schema, ingest.CDR_HINTS, out, f"{out}.__checkpoint",
                             max_files=2, rescue_extra=True)
     rows = land.spark.read.option("recursiveFileLookup", "true").parquet(out)
-    return rows.select("call_id", "msisdn", "volume", "_rescued_data")
+    return rows.select("call_id", "msisdn", "volume", "sequence_number", "_rescued_data")
 
 
 def bronze_lineage(spark, sf):

@@ -12,7 +12,10 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (DataType, DateType, DecimalType, DoubleType, FractionalType, IntegralType, NumericType,
+                               StringType, StructField, StructType, TimestampType)
+
+from reconlake.sources import schema_ledger
 
 # Capture columns dropped at bronze, per record type.
 CDR_EXCLUDE = [
@@ -40,6 +43,7 @@ volume DOUBLE, expected_charge DOUBLE, data_quality STRING, network_element STRI
 DATE_FOLDER = r"/(\d{4}-\d{2}-\d{2})/"
 
 FILE_PATH = "_metadata.file_path"
+RESCUED = "_rescued_data"
 
 
 def partition_date(path: Column) -> Column:
@@ -115,12 +119,18 @@ def apply_hints(df: DataFrame, hints_ddl: str = CDR_HINTS) -> DataFrame:
     return df.select(*_hinted_cols(df, hints_ddl))
 
 
-def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS, expected: StructType | None = None) -> DataFrame:
+def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS, expected: StructType | None = None,
+           types: StructType | None = None) -> DataFrame:
     """Cast hinted columns and keep the raw text of values that did not cast in
-    ``_rescued_data`` (JSON object, NULL when nothing was rescued). With
+    ``_rescued_data`` (JSON object, NULL when nothing was rescued). ``types`` does the same
+    for unhinted columns: those that it names get its type. With
     ``expected``, columns outside that schema are unexpected: their non-NULL
     values move into ``_rescued_data`` too and the columns are dropped."""
     hints = hint_schema(hints_ddl)
+    if types is not None:
+        hints = StructType([*hints.fields, *[f for f in types.fields
+                                             if f.name not in hints.names and f.name in df.columns]])
+        hints_ddl = hints.toDDL()
     failed = []
     if expected is not None:
         known = set(expected.fieldNames()) | set(hints.fieldNames())
@@ -143,33 +153,64 @@ def rescue(df: DataFrame, hints_ddl: str = CDR_HINTS, expected: StructType | Non
 
 
 def read_mixed(spark: SparkSession, files: list[str], hints_ddl: str = CDR_HINTS,
-               expected: StructType | None = None, path_col: str = "__path") -> DataFrame:
+               expected: StructType | None = None, path_col: str = "__path",
+               types: StructType | None = None) -> DataFrame:
     """Files whose columns may differ in type or number, as one frame with the hints
-    applied. Only these files' footers are read; files of one physical schema are
-    read together with that schema, cast by ``rescue`` (values that don't cast, and
-    with ``expected`` also unexpected columns, go to ``_rescued_data``), and united
-    by name. ``path_col`` gets each row's file."""
+    applied. Only these files' footers are read, in tasks; files of one physical schema are
+    read together with that schema, cast by ``rescue`` to the hints and to ``types`` (values
+    that don't cast, and with ``expected`` also unexpected columns, go to ``_rescued_data``),
+    and united by name. ``path_col`` gets each row's file."""
     groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(spark.read.parquet(f).schema.json(), []).append(f)
+    for f, schema in sorted(schema_ledger.of_files(spark, files).items()):
+        groups.setdefault(schema, []).append(f)
     known = StructType([*expected.fields, StructField(path_col, StringType())]) if expected is not None else None
     parts = []
     for schema, own in sorted(groups.items()):
         rows = spark.read.schema(schema_from_json(schema)).parquet(*own).select(
             "*", F.col(FILE_PATH).alias(path_col))
-        parts.append(rescue(rows, hints_ddl, known))
+        parts.append(rescue(rows, hints_ddl, known, types))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
-def evolve_schema(old: StructType, new: StructType) -> StructType:
+def wider(a: DataType, b: DataType) -> DataType:
+    """The least type that holds both: the larger of two whole or two fractional number
+    types, double for mixed ones, timestamp for date and timestamp, else text."""
+    if a == b:
+        return a
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+            whole, scale = max(a.precision - a.scale, b.precision - b.scale), max(a.scale, b.scale)
+            return DecimalType(whole + scale, scale) if whole + scale <= 38 else DoubleType()
+        for kind in (IntegralType, FractionalType):
+            if isinstance(a, kind) and isinstance(b, kind) and DecimalType not in (type(a), type(b)):
+                return max(a, b, key=lambda t: _SIZES[t.typeName()])
+        return DoubleType()
+    if {type(a), type(b)} == {DateType, TimestampType}:
+        return TimestampType()
+    return StringType()
+
+
+_SIZES = {"byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8}
+
+
+def evolve_schema(old: StructType, new: StructType, widen: bool = False) -> StructType:
     """Add-new-columns evolution: keep the stored order, append unseen columns as
-    nullable. A type change of an existing column keeps the stored type."""
-    names = {f.name for f in old.fields}
-    return StructType(list(old.fields) + [StructField(f.name, f.dataType, True)
-                                          for f in new.fields if f.name not in names])
+    nullable. A type change of an existing column keeps the stored type, as a table with
+    that type may exist; with ``widen`` (nothing is stored yet) it becomes ``wider``."""
+    names = {f.name: f.dataType for f in new.fields}
+    kept = [StructField(f.name, wider(f.dataType, names[f.name]), True) if widen and f.name in names else f
+            for f in old.fields]
+    seen = {f.name for f in old.fields}
+    return StructType(kept + [StructField(f.name, f.dataType, True) for f in new.fields if f.name not in seen])
+
+
+def conflicts(schema: StructType, physical: StructType) -> bool:
+    """Some column of the files has another type than in ``schema``."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return any(types.get(f.name, f.dataType) != f.dataType for f in physical.fields)
 
 
 def schema_to_json(schema: StructType) -> str:
@@ -181,13 +222,24 @@ def schema_from_json(text: str) -> StructType:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project a batch onto an evolved schema (missing columns become NULL)."""
-    cols = []
+    """Project a batch onto an evolved schema (missing columns become NULL). Values that
+    don't cast become NULL; if the schema has ``_rescued_data``, their text goes there, next
+    to what was rescued before."""
+    cols, failed = [], []
     for f in schema.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
+        if f.name not in df.columns:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[f.name].dataType == f.dataType:
+            cols.append(F.col(f.name))
+        else:
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+            bad = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            failed.append(F.when(bad, F.col(f.name).cast("string")).alias(f.name))
+    if failed and RESCUED in schema.names:
+        more = F.nullif(F.to_json(F.struct(*failed)), F.lit("{}"))
+        old = F.col(RESCUED) if RESCUED in df.columns else F.lit(None).cast("string")
+        both = F.concat(F.rtrim(old, F.lit("}")), F.lit(","), F.ltrim(more, F.lit("{")))
+        cols[schema.names.index(RESCUED)] = F.coalesce(both, old, more).alias(RESCUED)
     return df.select(*cols)
 
 

@@ -109,7 +109,7 @@ def bronze_cdr_mixed(spark: SparkSession, landing: str, schema: StructType, hint
     def each(batch: DataFrame, batch_id: int) -> None:
         files = sorted(r["path"] for r in batch.collect())         # at most max_files
         if files:
-            rows = ingest.read_mixed(batch.sparkSession, files, hints, schema if rescue_extra else None)
+            rows = ingest.read_mixed(batch.sparkSession, files, hints, schema if rescue_extra else None, types=schema)
             ingest.conform(ingest.bronze_cdr(rows, path_col="__path"), shape).write.mode("overwrite").parquet(
                 f"{target}/batch={batch_id}")
 
