@@ -33,6 +33,7 @@ import heapq
 import json
 import os
 import sys
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -50,8 +51,8 @@ from reconlake.llm import op13_pieces, words
 from reconlake.llm.store import written
 
 U = np.uint64
-RUN = 4 << 20              # bytes of text in a run
-FAN_IN = 16                # runs of a block
+RUN = 2 << 20              # bytes of text in a run
+FAN_IN = 32                # runs of a block
 PARTS = 16                 # radix parts of the A ids
 EXPAND = 4_000_000         # links that are listed at once
 MAX_WORDS = 400_000        # words whose A ids a task keeps
@@ -92,7 +93,7 @@ class ByteTokenizer:
         self.raw_at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
         self.raw_flat = np.frombuffer(b"".join(raw), np.uint8)
         self.size = len(raw)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with a space in front, offsets of each text's ids)."""
@@ -115,12 +116,12 @@ class ByteTokenizer:
             self.known.clear()
             new = own
         for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, np.int32)
+            self.known[w] = array("i", e.ids).tobytes()
         ids = [self.known[w] for w in own]
-        per_word = np.array([len(i) for i in ids], np.int64)
+        per_word = np.array([len(i) // 4 for i in ids], np.int64)
         word_at = np.cumsum(per_word) - per_word
         ends = np.concatenate([[0], np.cumsum(per_word[sort])])
-        return (np.concatenate(ids)[words.flat_range(word_at[sort], per_word[sort])],
+        return (np.frombuffer(b"".join(ids), np.int32)[words.flat_range(word_at[sort], per_word[sort])],
                 ends[np.searchsorted(start, text_at)])
 
 
@@ -272,7 +273,9 @@ def _aligned(tok: ByteTokenizer, m: op13_pieces.Model, shown: np.ndarray, texts:
     a, b, stop_a, stop_b = a[on_a], b[on_b], stop_a[on_a], stop_b[on_b]
     doc = np.repeat(np.arange(len(texts)), n_a)
     # a group ends where tokens of both end
-    both = np.intersect1d(stop_a, stop_b)
+    ends_a = np.zeros(len(raw) + 1, bool)
+    ends_a[stop_a] = True
+    both = stop_b[ends_a[stop_b]]
     group_a, group_b = np.searchsorted(both, stop_a), np.searchsorted(both, stop_b)
     size_a, size_b = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
     owner = np.searchsorted(ends, both) - 1
