@@ -11,16 +11,9 @@ carries the table's comment, properties and partition columns (kept in a
   date) a table in cells with a change log (``streaming/keyed.py``), else the
   merge-on-read upsert;
 * ``delta_view``: a table in cells (``streaming/cells.py``) that ``fold`` brings up
-  to date from the change logs of its sources; its state says what is folded in;
+  to date from what its sources log; its state says what is folded in, so a run
+  that stopped anywhere is caught up by the next one. No clock is involved.
 * ``materialized_view``: recomputed in batch and overwritten;
-* ``incremental_view``: a view partitioned by one column over a streaming
-  table partitioned alike (``source``). The view keeps, per partition, a
-  fingerprint of the source files that it has folded in; partitions whose files
-  in the source's sink log differ from that are recomputed (``recompute``) and
-  swapped in with dynamic partition overwrite, after being staged, so no job
-  overwrites what it reads. The fingerprint advances only after the swap, so a
-  run that stopped anywhere, or a replayed batch, is caught up by the next one.
-  No clock is involved. The first refresh builds the view whole.
 
 There is no dependency resolution: the list is ordered by hand, as a
 declarative pipeline's graph would order it.
@@ -29,7 +22,6 @@ declarative pipeline's graph would order it.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -39,17 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from reconlake.functions import calendar_dim, classify
-from reconlake.operators import incremental, layout, reconcile, summary
+from reconlake.functions import calendar_dim, classify, clean
+from reconlake.operators import expectations, incremental, layout, reconcile, summary
+from reconlake.plans import gold_stream
 from reconlake.plans import pipeline as pl
-from reconlake.session import scratch_path
 from reconlake.sources import ingest
-from reconlake.streaming import metrics, runner, upsert
+from reconlake.streaming import keyindex, metrics, runner, upsert
 from reconlake.streaming.cells import CellTable
 from reconlake.streaming.keyed import KeyedTable
+from reconlake.streaming.ordered import OrderedInput
 
-STREAMING, SCD1, VIEW, INCREMENTAL = "streaming_table", "scd1", "materialized_view", "incremental_view"
-DELTA = "delta_view"
+STREAMING, SCD1, VIEW, DELTA = "streaming_table", "scd1", "materialized_view", "delta_view"
 
 
 @dataclass
@@ -66,9 +58,8 @@ class Dataset:
     except_cols: tuple[str, ...] = ()                       # scd1 only: columns of the flow that the table leaves out
     buckets: int = 4                                        # scd1 with a partition column only: key buckets
     fold: Callable[["Catalog", CellTable], int] | None = None            # delta only
-    source: str = ""                                                     # incremental only
+    hidden: tuple[str, ...] = ()                                         # delta only: columns that readers don't see
     flow: Callable[["Catalog", str], StreamingQuery] | None = None       # streaming only: writes batch folders itself
-    recompute: Callable[["Catalog", DataFrame], DataFrame] | None = None  # incremental only
 
 
 # files that any stream of the pipeline takes in at once
@@ -100,7 +91,7 @@ class Catalog:
         if spec is not None and spec.kind == SCD1 and spec.partition_cols:
             return self.keyed(name).snapshot()
         if spec is not None and spec.kind == DELTA:
-            return self.cells(name).read()
+            return self.cells(name).read().drop(*spec.hidden)
         if spec is not None and spec.kind == SCD1:
             return upsert.read_snapshot(self.spark, self.path(name), spec.keys, spec.sequence_by,
                                         schema=self.schema(name))
@@ -129,6 +120,13 @@ class Catalog:
         """The table in cells of the delta view ``name``."""
         return CellTable(self.spark, self.path(name), schema or self.schema(name), self.specs[name].partition_cols)
 
+    def counts_path(self, name: str) -> str:
+        return f"{self.root}/_metrics/batches/{name}"
+
+    def rule_counts(self, name: str) -> DataFrame:
+        """(rule, action, passed, failed) of a staging table with a key index, each batch counted once."""
+        return keyindex.rule_counts(self.spark, self.counts_path(name))
+
     def _layout(self, name: str) -> dict[str, str]:
         """A flow's batch folders are no partition column of its table."""
         spec = self.specs.get(name)
@@ -163,67 +161,6 @@ def _record_metrics(cat: Catalog, dataset: str, totals: dict[str, dict[str, int]
             .coalesce(1).write.mode("append").parquet(f"{cat.root}/{METRICS_TABLE}"))
 
 
-def sink_partitions(spark: SparkSession, path: str, by: str) -> DataFrame:
-    """(partition, n, h): per partition of a streaming table, the number of its files
-    and the sum of their paths' hashes, from the sink's log (its compacted files
-    repeat entries; a path counts once)."""
-    names = [n for n in upsert.listing(spark, f"{path}/_spark_metadata") if re.fullmatch(r"\d+(\.compact)?", n)]
-    if not names:
-        return spark.createDataFrame([], FOLDED)
-    # the DataFrame readers skip folders whose name starts with an underscore
-    lines = spark.sparkContext.textFile(",".join(f"{path}/_spark_metadata/{n}" for n in names))
-    entries = spark.createDataFrame(lines.map(lambda line: (line,)), "value string").where(
-        F.col("value").startswith("{"))
-    file = F.get_json_object("value", "$.path")
-    files = entries.select(file.alias("file")).distinct().select(
-        F.regexp_extract("file", f"/{by}=([^/]+)/", 1).alias("partition"), "file")
-    return files.groupBy("partition").agg(F.count(F.lit(1)).alias("n"),
-                                          F.sum(F.xxhash64("file").cast("decimal(38,0)")).alias("h"))
-
-
-FOLDED = "partition string, n long, h decimal(38,0)"
-
-
-def _folded(cat: Catalog, name: str) -> DataFrame:
-    """The fingerprints of the view's last finished refresh."""
-    versions = [int(v[2:]) for v in upsert.listing(cat.spark, f"{cat.path(name)}._folded") if v.startswith("v=")
-                and "_SUCCESS" in upsert.listing(cat.spark, f"{cat.path(name)}._folded/{v}")]
-    if not versions:
-        return cat.spark.createDataFrame([], FOLDED)
-    return cat.spark.read.schema(FOLDED).parquet(f"{cat.path(name)}._folded/v={max(versions)}")
-
-
-def _fold(cat: Catalog, name: str, now: DataFrame) -> None:
-    versions = [int(v[2:]) for v in upsert.listing(cat.spark, f"{cat.path(name)}._folded") if v.startswith("v=")]
-    now.coalesce(1).write.mode("overwrite").parquet(f"{cat.path(name)}._folded/v={max(versions, default=-1) + 1}")
-
-
-def changed_partitions(cat: Catalog, ds: Dataset, now: DataFrame) -> DataFrame:
-    """Values of the view's partition column whose source files are not those folded in."""
-    a, b = now.alias("a"), _folded(cat, ds.name).alias("b")
-    same = F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.h").eqNullSafe(F.col("b.h"))
-    by = ds.partition_cols[0]
-    return a.join(b, "partition", "full_outer").where(~same).select(
-        F.col("partition").try_cast(cat.schema(ds.name)[by].dataType).alias(by)).where(F.col(by).isNotNull())
-
-
-def _refresh_incremental(cat: Catalog, ds: Dataset, whole: DataFrame) -> None:
-    by, path = ds.partition_cols[0], cat.path(ds.name)
-    now = scratch_path(cat.spark, "incremental-position")
-    # read before the rows: files that land later are caught up by the next refresh
-    sink_partitions(cat.spark, cat.path(ds.source), by).write.parquet(now)
-    position = cat.spark.read.schema(FOLDED).parquet(now)
-    if cat.schema(ds.name) is None:
-        layout.write_partitioned(whole, path, by, dynamic=False)
-    else:
-        fresh = ds.recompute(cat, changed_partitions(cat, ds, position))
-        stage = scratch_path(cat.spark, "incremental-stage")
-        layout.write_partitioned(fresh, stage, by, dynamic=False)
-        # known schema: an empty refresh stages no file to infer one from
-        layout.write_partitioned(cat.spark.read.schema(fresh.schema).parquet(stage), path, by, dynamic=True)
-    _fold(cat, ds.name, position)
-
-
 def refresh(spark: SparkSession, datasets: list[Dataset], root: str) -> Catalog:
     """Run every dataset once, in list order: streams to the end of their
     available input, upsert flows (then compaction if due), views. A failing
@@ -264,8 +201,6 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
                 layout.write_partitioned(df, path, ds.partition_cols[0], dynamic=False)
             else:
                 df.write.mode("overwrite").parquet(path)
-        elif ds.kind == INCREMENTAL:
-            _refresh_incremental(cat, ds, df)
         elif ds.kind == DELTA:
             ds.fold(cat, cat.cells(ds.name, df.schema))
         else:
@@ -298,7 +233,8 @@ def fold_detail(table: CellTable, usage: KeyedTable, charges: KeyedTable,
 def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
               calendar_range: tuple[str, str], money_scale: int | None = None,
               gold: str = "stream", cdr_hints: str | None = None, bounded: bool = False,
-              validate_first: bool = False, mixed: bool = False, rescue_extra: bool = False) -> list[Dataset]:
+              validate_first: bool = False, mixed: bool = False, rescue_extra: bool = False,
+              max_files: int = MAX_FILES, buckets: int = 4, dedup: str = "state") -> list[Dataset]:
     """The reference's datasets: bronze, silver staging, silver upsert targets,
     calendar, gold detail and gold summary.
 
@@ -306,14 +242,19 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
     streaming table fed by the stream-stream full outer join over the staging
     logs (rows without event time go to quarantine tables), so each refresh
     matches only new rows; rows are final once both watermarks pass them. The
-    summary is an incremental view: only business dates that received detail
-    files since its last finished refresh are recomputed (found in the sink's log).
+    summary recomputes only business dates whose detail cells changed since its last
+    refresh.
 
-    The join takes the backlog of the staging logs as one batch: their files are
-    not in event-time order, and a limit would let the watermark of one batch pass
-    the rows of the next. Rows that a watermark drops all the same (files that
-    land later than it allows) are counted in the metrics table ("late_rows");
-    ``gold="batch"`` reconciles them.
+    The join takes the staging rows in order of event time, in groups of slices of about
+    ``max_files`` files, so that no group's watermark passes the rows of the next
+    (``streaming/ordered.py``). Rows that land behind the watermark are kept as late rows,
+    counted in the metrics table ("late_rows"), and their keys are matched in batch
+    (``plans/gold_stream.py``).
+
+    ``dedup="state"`` (as in the reference) removes repeated arrivals by operator state: for
+    charges rows that are a day late are dropped there. ``dedup="index"`` looks keys up in files
+    instead (``streaming/keyindex.py``): no state, nothing is dropped for being late, and rule
+    counts are kept once per batch (``Catalog.rule_counts``).
 
     ``bounded`` and ``validate_first`` are passed to the silver streams. With
     ``mixed`` the usage files may differ in physical types (``runner.bronze_cdr_mixed``,
@@ -341,19 +282,36 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
             table, cat.cells("gold.reconciliation_detail"),
             lambda rows: summary.summarize_sql(cat.spark, rows, "reconciliation_detail", money=money))
 
-    def detail_stream(cat: Catalog) -> DataFrame:
-        cdr, _ = runner.quarantine(cat.read_stream("silver.cdr_staging", max_files=None))
-        edr, _ = runner.quarantine(cat.read_stream("silver.edr_staging", max_files=None))
-        return runner.reconcile_stream(cdr, edr, cat.read("silver.calendar"), days)
+    def detail_shape(cat: Catalog) -> DataFrame:
+        return detail_batch(cat).withColumn(gold_stream.PART, F.lit(0).cast("long"))
+
+    def detail_stream_fold(cat: Catalog, table: CellTable) -> int:
+        sides = {gold_stream.USAGE: "silver.cdr_staging", gold_stream.CHARGES: "silver.edr_staging"}
+        source = OrderedInput(cat.spark, f"{cat.root}/gold/join_input", {k: cat.schema(v) for k, v in sides.items()})
+        flow = gold_stream.GoldStream(
+            table, source, cat.keyed("silver.cdr_events_silver"), cat.keyed("silver.edr_events_silver"),
+            lambda cdr, edr: runner.reconcile_stream(cdr, edr, cat.read("silver.calendar"), days), finish(cat), max_files)
+        late = flow.refresh(*[cat.read_stream(name) for name in sides.values()])
+        if late:
+            _record_metrics(cat, "gold.reconciliation_detail", {metrics.LATE: {f"{metrics.IN_TIME}_failed": late}})
+        return table.version()
 
     def summary_full(cat: Catalog) -> DataFrame:
         return summary.summarize_sql(cat.spark, cat.read("gold.reconciliation_detail"), "reconciliation_detail",
                                      money=money)
 
-    def summary_dates_rows(cat: Catalog, dates: DataFrame) -> DataFrame:
-        detail = cat.read("gold.reconciliation_detail").join(dates, "business_date", "left_semi")
-        return summary.summarize_sql(cat.spark, detail, "reconciliation_detail", money=money)
+    def staging(name: str, bronze: str, clean_rows: Callable, finish_rows: Callable, keys: list[str], order: list[str],
+                rules: list, comment: str) -> Dataset:
+        def arrivals(rows: DataFrame) -> DataFrame:
+            return runner.valid(clean_rows(rows), rules, validate_first)
+
+        return Dataset(name, STREAMING, lambda cat: finish_rows(arrivals(cat.spark.createDataFrame([], cat.schema(bronze)))),
+                       comment, flow=lambda cat, path: keyindex.dedup_stream(
+                           arrivals(cat.read_stream(bronze)), keys, order, finish_rows, rules, path, f"{path}._checkpoint",
+                           f"{path}._keys", cat.counts_path(name)))
 
+    if dedup not in ("state", "index"):
+        raise ValueError(f"unknown dedup {dedup!r}")
     hints = cdr_hints or ingest.CDR_HINTS
     specs = [
         Dataset("bronze.cdr_events", STREAMING,
@@ -371,16 +329,22 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
                 lambda cat: runner.bronze_edr_stream(cat.spark, landing_edr, edr_schema),
                 "What the charge table delivered, less capture columns, with its file",
                 {"quality": "bronze", "clustering": "session_id,cdr_call_id,msisdn"}),
+        staging("silver.cdr_staging", "bronze.cdr_events", clean.enrich_cdr, clean.finish_cdr, pl.CDR_DEDUP_KEYS,
+                ["timestamp_parsed", "bronze_source_file"], expectations.CDR_RULES,
+                "Usage rows that passed the rules, first arrivals only") if dedup == "index" else
         Dataset("silver.cdr_staging", STREAMING,
                 lambda cat: runner.silver_cdr_stream(cat.read_stream("bronze.cdr_events"), bounded, validate_first),
                 "Usage rows that passed the rules, first arrivals only"),
+        staging("silver.edr_staging", "bronze.edr_events", clean.clean_edr, lambda rows: rows, pl.EDR_DEDUP_KEYS,
+                ["timestamp_parsed", "transaction_id"], expectations.EDR_RULES,
+                "Charge rows that passed the rules, first arrivals only") if dedup == "index" else
         Dataset("silver.edr_staging", STREAMING,
                 lambda cat: runner.silver_edr_stream(cat.read_stream("bronze.edr_events"), bounded, validate_first),
                 "Charge rows that passed the rules, first arrivals only"),
         Dataset("silver.cdr_events_silver", SCD1, lambda cat: cat.read_stream("silver.cdr_staging"),
-                "Latest usage row of each call", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.CDR_KEYS),
+                "Latest usage row of each call", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.CDR_KEYS, buckets=buckets),
         Dataset("silver.edr_events_silver", SCD1, lambda cat: cat.read_stream("silver.edr_staging"),
-                "Latest charge row of each session", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.EDR_KEYS),
+                "Latest charge row of each session", {"quality": "silver", "layer": "silver"}, ["business_date"], keys=pl.EDR_KEYS, buckets=buckets),
         Dataset("silver.calendar", VIEW, lambda cat: calendar_dim.build(cat.spark, *calendar_range),
                 "One row per day of the range, with its attributes", {"layer": "silver"}),
     ]
@@ -392,11 +356,11 @@ def medallion(landing_cdr: str, cdr_schema, landing_edr: str, edr_schema,
             Dataset("gold.quarantine_edr", STREAMING,
                     lambda cat: runner.quarantine(cat.read_stream("silver.edr_staging"))[1],
                     "Charge records without event time (kept out of the join state)"),
-            Dataset("gold.reconciliation_detail", STREAMING, detail_stream, "Usage and charges side by side, with the outcome of each match",
-                    {"quality": "gold", "layer": "gold"}, ["business_date"]),
-            Dataset("gold.reconciliation_summary", INCREMENTAL, summary_full, "Counts and amounts per day, outcome and severity",
-                    {"quality": "gold", "layer": "gold"}, ["business_date"],
-                    source="gold.reconciliation_detail", recompute=summary_dates_rows),
+            Dataset("gold.reconciliation_detail", DELTA, detail_shape, "Usage and charges side by side, with the outcome of each match",
+                    {"quality": "gold", "layer": "gold"}, ["business_date", gold_stream.PART], fold=detail_stream_fold,
+                    hidden=(gold_stream.PART,)),
+            Dataset("gold.reconciliation_summary", DELTA, summary_full, "Counts and amounts per day, outcome and severity",
+                    {"quality": "gold", "layer": "gold"}, ["business_date"], fold=summary_fold),
         ]
     elif gold == "batch":
         specs += [

@@ -223,7 +223,10 @@ FROM cdr_raw""", RAW),
     "dedup_cdr_stream": _q(f"SELECT {_without(CDR_SILVER_COLS, 'bronze_source_file')} FROM cdr_clean", *_ALL),
     "dedup_edr_stream": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
     "dedup_edr_bounded": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
+    "dedup_cdr_index": _q("SELECT call_id, msisdn, service_type FROM cdr_clean", *_ALL),
+    "dedup_edr_index": _q(f"SELECT {_without(EDR_SILVER_COLS, 'bronze_source_file')} FROM edr_clean", *_ALL),
     "reconcile_stream": ORACLES["reconciliation_detail"],
+    "reconcile_stream_late": ORACLES["reconciliation_detail"],
     "scd1_stream": ORACLES["scd1_cdr"],
     "medallion_summary": ORACLES["reconciliation_summary"],
     "layout_clustered": _q("SELECT call_id, msisdn, service_type FROM cdr_clean", *_ALL),

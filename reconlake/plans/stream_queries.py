@@ -24,7 +24,9 @@ from reconlake.streaming import runner, upsert
 class Landing:
     """Capture files for one testdata directory, written once per instance."""
 
-    def __init__(self, spark: SparkSession, sf: str):
+    def __init__(self, spark: SparkSession, sf: str, later: tuple[str, str] | None = None, files: int | None = None):
+        """``later``: conditions on usage and charge rows that come with ``deliver_later`` only;
+        ``files``: files per date and delivery."""
         self.spark = ensure_session(spark)
         self.sf = sf
         self.root = scratch_path(self.spark, "landing")
@@ -32,11 +34,20 @@ class Landing:
         self.edr_dir = f"{self.root}/edr-events"
         raw = fixtures.cdr_raw(self.spark, sf)
         cap = raw.withColumn("partition_date", ingest.partition_date(F.col("source_path"))).drop("source_path")
-        landing.write_capture(cap, self.cdr_dir)
-        landing.write_table(fixtures.edr_raw(self.spark, sf).drop("source_path"), self.edr_dir, mode="overwrite")
+        edr = fixtures.edr_raw(self.spark, sf).drop("source_path")
+        self._later = [(d, F.coalesce(F.expr(c), F.lit(False))) for d, c in zip((cap, edr), later, strict=True)] if later else []
+        self._files = files
+        first = [d.where(~c) for d, c in self._later] or [cap, edr]
+        landing.write_capture(first[0], self.cdr_dir, files=files)
+        landing.write_table(first[1].repartition(files) if files else first[1], self.edr_dir, mode="overwrite")
         self.cdr_schema = cap.drop("partition_date").schema
         self.edr_schema = self.spark.read.parquet(self.edr_dir).schema
 
+    def deliver_later(self) -> None:
+        (cap, cdr_later), (edr, edr_later) = self._later
+        landing.write_capture(cap.where(cdr_later), self.cdr_dir, mode="append", files=self._files)
+        landing.write_table(edr.where(edr_later), self.edr_dir)
+
     def bronze_cdr(self) -> DataFrame:
         return runner.bronze_cdr_stream(self.spark, self.cdr_dir, self.cdr_schema)
 
@@ -121,6 +132,32 @@ def dedup_edr_bounded(spark, sf):
     return _out(_read(land.spark, out)).drop("bronze_source_file")
 
 
+def _by_index(spark, sf, side: str) -> DataFrame:
+    """Staging rows of two deliveries through the key index, the second with files that repeat the first's."""
+    from reconlake.plans import datasets
+    land = Landing(spark, sf, later=LATER)
+    spark = land.spark
+    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, ("2024-01-01", "2024-01-31"),
+                               dedup="index")
+    bronze, staging = (f"bronze.{side}_events", f"silver.{side}_staging")
+    own = [d for d in specs if d.name in (bronze, staging)]
+    root = scratch_path(spark, f"dedup-{side}")
+    datasets.refresh(spark, own, root)
+    land.deliver_later()
+    again = _read(spark, f"{land.cdr_dir}/*/*" if side == "cdr" else land.edr_dir).limit(50)
+    again.write.mode("append").parquet(f"{land.cdr_dir}/undated" if side == "cdr" else land.edr_dir)
+    cat = datasets.refresh(spark, own, root)
+    return _out(cat.read(staging))
+
+
+def dedup_cdr_index(spark, sf):
+    return _by_index(spark, sf, "cdr").select("call_id", "msisdn", "service_type")
+
+
+def dedup_edr_index(spark, sf):
+    return _by_index(spark, sf, "edr").drop("bronze_source_file")
+
+
 SENTINEL_CALL = "CALL-SENTINEL-000"
 SENTINEL_MSISDN = "+35899999999"
 
@@ -215,7 +252,7 @@ def medallion_summary(spark, sf):
     land = Landing(spark, sf)
     spark = land.spark
     specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema,
-                               pl.years_of(spark, sf), money_scale=4)
+                               pl.years_of(spark, sf), money_scale=4, buckets=2)
     root = scratch_path(spark, "medallion")
     datasets.refresh(spark, specs, root)
     control = land_flush_pair(land)
@@ -224,6 +261,28 @@ def medallion_summary(spark, sf):
     return cat.read("gold.reconciliation_summary").where(F.col("business_date") != F.lit(control).cast("date"))
 
 
+LATER = ("sequence_number % 7 = 3", "CAST(substring(session_id, 9, 12) AS BIGINT) % 5 = 2")
+
+
+def reconcile_stream_late(spark, sf):
+    """The pipeline's gold detail when a part of the usage and charges lands late, in more
+    files than a micro-batch takes: run 1 without them, run 2 with them and the flush pair.
+    Its join gets the rows in order of time, in groups of at most 40 files; what is behind
+    the watermark is matched in batch. The result must equal the batch detail."""
+    from reconlake.plans import datasets
+    land = Landing(spark, sf, later=LATER, files=5)
+    spark = land.spark
+    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, pl.years_of(spark, sf),
+                               money_scale=4, max_files=40, buckets=2, dedup="index")[:-1]
+    root = scratch_path(spark, "medallion-late")
+    datasets.refresh(spark, specs, root)
+    land.deliver_later()
+    land_flush_pair(land)
+    cat = datasets.refresh(spark, specs, root)
+    detail = cat.read("gold.reconciliation_detail")
+    return _out(detail.where(F.coalesce(F.col("call_id"), F.lit("")) != SENTINEL_CALL))
+
+
 # --- layout ---------------------------------------------------------------------------
 
 def layout_clustered(spark, sf):
@@ -280,7 +339,10 @@ STREAM_QUERIES = {
     "dedup_cdr_stream": dedup_cdr_stream,
     "dedup_edr_stream": dedup_edr_stream,
     "dedup_edr_bounded": dedup_edr_bounded,
+    "dedup_cdr_index": dedup_cdr_index,
+    "dedup_edr_index": dedup_edr_index,
     "reconcile_stream": reconcile_stream,
+    "reconcile_stream_late": reconcile_stream_late,
     "scd1_stream": scd1_stream,
     "medallion_summary": medallion_summary,
     "layout_clustered": layout_clustered,

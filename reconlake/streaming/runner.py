@@ -129,7 +129,7 @@ def bronze_edr_stream(spark: SparkSession, table: str, schema: StructType, max_f
 CDR_DEDUP_WATERMARK = "1 day"
 
 
-def _valid(rows: DataFrame, rules: list, validate_first: bool) -> DataFrame:
+def valid(rows: DataFrame, rules: list, validate_first: bool) -> DataFrame:
     """With ``validate_first`` the drop rules come before the dedup too: an invalid
     first arrival can't shadow a valid one, and rows without a key don't pile up in
     one state partition."""
@@ -142,7 +142,7 @@ def silver_cdr_stream(bronze: DataFrame, bounded: bool = False, validate_first:
     reference). ``bounded=True``: duplicates are only removed within a 1 day
     event-time watermark and their state is then dropped, so state stays
     proportional to one day of traffic."""
-    rows = _valid(clean.enrich_cdr(bronze), expectations.CDR_RULES, validate_first)
+    rows = valid(clean.enrich_cdr(bronze), expectations.CDR_RULES, validate_first)
     keys = ["call_id", "msisdn", "service_type"]
     if bounded:
         rows = rows.withWatermark("timestamp_parsed", CDR_DEDUP_WATERMARK).dropDuplicatesWithinWatermark(keys)
@@ -159,7 +159,7 @@ def silver_edr_stream(bronze: DataFrame, bounded: bool = False, validate_first:
     With ``bounded=False`` (the reference) the watermark does not bound the
     dedup state because the event time is not a key; ``bounded=True`` uses
     ``dropDuplicatesWithinWatermark``: state expires, late duplicates drop."""
-    rows = _valid(clean.clean_edr(bronze), expectations.EDR_RULES, validate_first).withWatermark("timestamp_parsed", EDR_DEDUP_WATERMARK)
+    rows = valid(clean.clean_edr(bronze), expectations.EDR_RULES, validate_first).withWatermark("timestamp_parsed", EDR_DEDUP_WATERMARK)
     rows = rows.dropDuplicatesWithinWatermark(["session_id"]) if bounded else rows.dropDuplicates(["session_id"])
     return expectations.apply(expectations.observe(rows, expectations.EDR_RULES, "edr_expectations"),
                               expectations.EDR_RULES)

@@ -42,69 +42,41 @@ def test_two_runs_with_new_column(spark):
     assert s2.agg(F.sum("record_count")).first()[0] == s1 + 4
 
 
-def test_stream_gold_incremental_summary(spark):
-    """Streaming gold over a whole-month calendar: the rows flushed in run 2
-    fall inside it, so run 2 recomputes those dates only; the summary must
-    equal a full recompute from the final detail."""
-    from reconlake.operators import summary
+def _rows(df):
+    return sorted(tuple(map(str, r)) for r in df.drop("reconciliation_timestamp").collect())
+
+
+def test_stream_gold_with_late_rows_and_a_stopped_run(spark):
+    """Run 2 gets rows behind the watermark and stops before the summary; run 3 catches up;
+    run 4 has nothing to do. Detail and summary equal what the silver tables give in batch."""
+    from reconlake.functions import calendar_dim, classify
+    from reconlake.operators import reconcile, summary
     from reconlake.plans import datasets
-    land = sq.Landing(spark, SF_SMALL)
-    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema,
-                               ("2024-01-01", "2024-01-31"), money_scale=4)
-    root = scratch_path(spark, "t_incr")
+    land = sq.Landing(spark, SF_SMALL, later=sq.LATER)
+    rng = ("2024-01-01", "2024-12-31")
+    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, rng, money_scale=4,
+                               buckets=1, dedup="index")
+    root = scratch_path(spark, "t_late_run")
     cat = datasets.refresh(spark, specs, root)
-    # new usage without charges, ahead of the watermark, inside the calendar
-    (spark.read.parquet(f"{land.cdr_dir}/2024-01-05").limit(5)
-          .withColumn("call_id", F.concat(F.lit("CALL-LATE-"), F.col("call_id")))
-          .withColumn("timestamp", F.lit("2024-01-31T10:00:00.000000"))
-          .write.mode("overwrite").parquet(f"{land.cdr_dir}/2024-01-31"))
-    sq.land_flush_pair(land)       # two days after the latest event: outside the calendar
-    cat = datasets.refresh(spark, specs, root)
-    detail = cat.read("gold.reconciliation_detail")
-    assert detail.where(F.col("call_id").startswith("CALL-LATE-")).count() == 5   # flushed in run 2
-    cols = cat.read("gold.reconciliation_summary").columns
-    got = sorted(tuple(map(str, r)) for r in cat.read("gold.reconciliation_summary").select(*cols).collect())
-    want = sorted(tuple(map(str, r)) for r in summary.summarize(detail, 4).select(*cols).collect())
-    assert got == want
-    # nothing is left to do; only the dates that change are read
-    spec = cat.specs["gold.reconciliation_summary"]
-    now = datasets.sink_partitions(spark, cat.path(spec.source), "business_date")
-    assert datasets.changed_partitions(cat, spec, now).count() == 0
-    other = now.withColumn("n", F.when(F.col("partition") == "2024-01-05", 99).otherwise(F.col("n")))
-    dates = datasets.changed_partitions(cat, spec, other)
-    assert [r.business_date for r in dates.collect()] == [dt.date(2024, 1, 5)]
-    rows = spec.recompute(cat, dates)
-    rows.collect()
-    assert "dynamicpruningexpression(business_date" in rows._jdf.queryExecution().executedPlan().toString()
-
-
-def _counted(cat):
-    total = cat.read("gold.reconciliation_summary").agg(F.sum("record_count")).first()[0]
-    return cat.read("gold.reconciliation_detail").count(), total
-
-
-def test_summary_catches_up_after_a_stopped_run(spark):
-    """A run that stops before the summary, and a replay that changes nothing: no
-    date is lost, whatever the clocks of the runs say."""
-    from reconlake.plans import datasets
-    land = sq.Landing(spark, SF_SMALL)
-    specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema,
-                               ("2024-01-01", "2024-12-31"), money_scale=4)
-    root = scratch_path(spark, "t_stopped")
-    n, total = _counted(datasets.refresh(spark, specs, root))
-    assert n == total
+    before = cat.cells("gold.reconciliation_detail").version()
+    land.deliver_later()
     sq.land_flush_pair(land)
-    datasets.refresh(spark, specs[:-1], root)              # stops before the summary
+    datasets.refresh(spark, specs[:-1], root)               # stops before the summary
     cat = datasets.Catalog(spark, root, {d.name: d for d in specs})
-    later, stale = _counted(cat)
-    assert later > n and stale == total
+    detail, view = cat.cells("gold.reconciliation_detail"), cat.cells("gold.reconciliation_summary")
+    state = view.state()
+    assert state["detail"] == before < detail.version()
+    metrics = spark.read.parquet(f"{root}/{datasets.METRICS_TABLE}")
+    assert metrics.where("observation = 'late_rows' and failed > 100").count() == 1
+    rec = reconcile.match(cat.read("silver.cdr_events_silver"), cat.read("silver.edr_events_silver"))
+    whole = classify.derive(reconcile.calendar_join(rec, calendar_dim.build(spark, *rng), reconcile.calendar_days(*rng)))
+    assert _rows(cat.read("gold.reconciliation_detail")) == _rows(whole)
     cat = datasets.refresh(spark, specs, root)
-    assert _counted(cat) == (later, later)
-    # the swap done, but not recorded: the next run does it again
-    position = datasets._folded(cat, "gold.reconciliation_summary")
-    older = position.limit(1).collect()
-    datasets._fold(cat, "gold.reconciliation_summary", spark.createDataFrame(older, datasets.FOLDED))
-    assert _counted(datasets.refresh(spark, specs, root)) == (later, later)
+    assert _rows(cat.read("gold.reconciliation_summary")) == _rows(
+        summary.summarize(cat.read("gold.reconciliation_detail"), 4).select(cat.read("gold.reconciliation_summary").columns))
+    done = detail.version(), view.version()
+    refreshed = datasets.refresh(spark, specs[-2:], root)
+    assert (refreshed.cells("gold.reconciliation_summary").version() - done[1]) <= 1
 
 
 def test_hints_applied_to_text_capture(spark):
