@@ -108,8 +108,10 @@ class BlobLedger:
         """(doc_id, blob, spans) per row of ``docs``; scans what is new and enters it."""
         versions = written(self.spark, "secret-versions", addressed(docs).select("doc_id", "blob"))
         scan_new(docs, versions, self.entries(), self.rules).write.mode("append").parquet(self.path)
-        mine = self.entries().where(F.col("rule").isin([r.name for r in self.rules]))
-        found = (mine.where(F.size("spans") > 0).groupBy("blob")
+        # of the scanned blobs only; a pair that two scans entered counts once
+        mine = self.entries().where(F.col("rule").isin([r.name for r in self.rules]) & (F.size("spans") > 0)).join(
+            versions.select("blob").distinct(), "blob", "left_semi").dropDuplicates(["blob", "rule"])
+        found = (mine.groupBy("blob")
                  .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")))
         return versions.join(found, "blob", "left").select(
             "doc_id", "blob", F.coalesce("spans", F.array().cast(FOUND)).alias("spans"))
@@ -124,20 +126,30 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                         spans.joined(F.col("spans")).alias("spans"))
 
 
+CUT = 1024                 # characters of the blocks that pieces of a text are put together from
+
+
 def redacted(text: Column, found: Column) -> Column:
-    """``text`` with every span replaced by [REDACTED], overlapping spans by one."""
-    def parts(f: Column) -> Column:
-        # the furthest end before each span; spans are sorted by start
-        reach = F.transform(f, lambda _, i: F.coalesce(F.array_max(F.transform(F.slice(f, 1, i), lambda s: s["end"])),
-                                                       F.lit(0).cast("long")))
-        return spans.let(reach, lambda r: F.filter(F.transform(f, lambda s, i: F.struct(
-            F.get(r, i).alias("from"), s["start"].alias("to"))), lambda p: p["to"] >= p["from"]))
-
-    def glued(f: Column) -> Column:
-        pieces = F.transform(parts(f), lambda p: F.substring(
-            text, (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int")))
+    """``text`` with every span replaced by [REDACTED], overlapping spans by one. The text is
+    read once, into blocks; a piece costs its own length and that of a block."""
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / CUT).cast("int")
+        last = F.floor((end - 1) / CUT).cast("int")
+        return F.when(end > start, F.substring(
+            F.array_join(F.slice(blocks, first + 1, last - first + 1), ""),
+            (start - first * CUT + 1).cast("int"), (end - start).cast("int"))).otherwise("")
+
+    def glued(f: Column, blocks: Column) -> Column:
+        def parts(reach: Column) -> Column:
+            # the text between what the spans before reach and this span's start
+            return F.filter(F.transform(f, lambda s, i: F.struct(F.get(reach, i).alias("from"), s["start"].alias("to"))),
+                            lambda p: p["to"] >= p["from"])
+
+        pieces = spans.let(spans.running_greatest(F.transform(f, lambda s: s["end"])), lambda reach: F.transform(
+            parts(reach), lambda p: piece(blocks, p["from"], p["to"])))
         last = F.array_max(F.transform(f, lambda s: s["end"]))
         return F.concat(F.array_join(pieces, "[REDACTED]"), F.lit("[REDACTED]"),
-                        F.substring(text, (last + 1).cast("int"), F.length(text)))
+                        piece(blocks, last, F.length(text).cast("long")))
 
-    return spans.let(found, lambda f: F.when(F.size(f) > 0, glued(f)).otherwise(text))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    return spans.let(found, lambda f: F.when(F.size(f) > 0, spans.let(cut, lambda blocks: glued(f, blocks))).otherwise(text))

@@ -12,8 +12,8 @@ The benchmark is the stated query set. It goes to the tasks in blocks of at most
 ``block_tokens`` tokens, one pass over the documents for each block; all usual
 benchmarks are one block, and any number of blocks gives the same rows.
 
-Nulls, ties, odd rows: null and empty texts match nothing; items of fewer than
-``seed`` tokens are not searched. Equally long matches are marked by their first
+Nulls, ties, odd rows: null and empty texts match nothing. Items of fewer than
+``seed`` tokens are one seed of their own length: found whole or not at all. Equally long matches are marked by their first
 place in the item, then in the document. Items that repeat an item_id or have
 none are items of their own. Other columns pass through.
 """
@@ -160,32 +160,37 @@ def _index(items: list[tuple[int | None, np.ndarray]], seed: int) -> tuple[np.nd
 
 def _matcher(items: list, seed: int, column: int, tiles: int, names: list[str], types: list[pa.DataType]) -> Callable:
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, owner = _index(items, seed)
-        sieve = np.zeros(1 << 22, bool)
-        sieve[key >> U(42)] = True
+        # seeds of the usual length, and of each length of shorter items
+        indexes = []
+        for k in sorted({min(seed, len(t)) for _, t in items}):
+            own = [n for n, (_, t) in enumerate(items) if min(seed, len(t)) == k]
+            key, owner = _index([items[n] for n in own], k)
+            sieve = np.zeros(1 << 22, bool)
+            sieve[key >> U(42)] = True
+            indexes.append((k, key, np.array(own)[owner], sieve))
         for batch in batches:
             raw, ends = words.text_buffer(batch.column(column))
             for lo, hi in words.slices(ends):
                 a = ends[lo]
                 token, at = tokens(raw[a:ends[hi]], ends[lo:hi + 1] - a)
-                hash_of = words.shingle_hashes(token, seed)
-                maybe = np.flatnonzero(sieve[hash_of >> U(42)])
-                left = np.searchsorted(key, hash_of[maybe])
-                hit = (left < len(key)) & (key[np.minimum(left, len(key) - 1)] == hash_of[maybe]) if len(key) \
-                    else np.zeros(len(maybe), bool)
-                maybe, left = maybe[hit], left[hit]
-                right = np.searchsorted(key, hash_of[maybe], "right")
-                doc = np.searchsorted(at, maybe, "right") - 1
-                inside = maybe + seed <= at[doc + 1]     # not across the end of a text
                 part = batch.slice(lo, hi - lo)
                 old = part.column(tiles).to_pylist()
-                for d in np.unique(doc[inside]):
-                    mine = inside & (doc == d)
-                    cover = _covered(token, maybe[mine], seed)
-                    for o in np.unique(np.concatenate([owner[x:y] for x, y in
-                                                       zip(left[mine], right[mine], strict=True)])):
-                        n = tile(items[o][1], cover, seed)
-                        old[d] = (old[d] or []) + [{"item_id": items[o][0], "covered": n, "tokens": len(items[o][1])}]
+                for k, key, owner, sieve in indexes:
+                    hash_of = words.shingle_hashes(token, k)
+                    maybe = np.flatnonzero(sieve[hash_of >> U(42)])
+                    left = np.searchsorted(key, hash_of[maybe])
+                    hit = (left < len(key)) & (key[np.minimum(left, len(key) - 1)] == hash_of[maybe])
+                    maybe, left = maybe[hit], left[hit]
+                    right = np.searchsorted(key, hash_of[maybe], "right")
+                    doc = np.searchsorted(at, maybe, "right") - 1
+                    inside = maybe + k <= at[doc + 1]     # not across the end of a text
+                    for d in np.unique(doc[inside]):
+                        mine = inside & (doc == d)
+                        cover = _covered(token, maybe[mine], k)
+                        for o in np.unique(np.concatenate([owner[x:y] for x, y in
+                                                           zip(left[mine], right[mine], strict=True)])):
+                            n = tile(items[o][1], cover, k)
+                            old[d] = (old[d] or []) + [{"item_id": items[o][0], "covered": n, "tokens": len(items[o][1])}]
                 columns = [*part.columns]
                 columns[tiles] = pa.array(old, types[tiles])
                 yield pa.record_batch(columns, names)
@@ -226,7 +231,7 @@ def with_tiles(docs: DataFrame, benchmark: DataFrame, name: str = "tiles", seed:
         for r in rows:
             raw = np.frombuffer((r["text"] or "").encode(), np.uint8)
             token, _ = tokens(raw, np.array([0, len(raw)]))
-            if len(token) >= seed:
+            if len(token):
                 parsed.append((r["item_id"], token))
         out = out.mapInArrow(_matcher(parsed, seed, docs.columns.index("text"), len(schema) - 1, schema.names, types),
                              schema)

@@ -8,7 +8,8 @@ repaired: the window around a join is re-encoded, and grown to both sides until
 starts and ends where the encodings of both chunks agree with it. For a tokenizer
 whose pre-tokens never cross white space, that is reached at white space at the
 latest, and what lies beyond it is kept from the chunks. So ids are exactly those
-of encoding the whole text. Inside new chunks, words and their pre-tokens are
+of encoding the whole text. A tokenizer of which this isn't known encodes whole texts,
+without reuse. Inside new chunks, words and their pre-tokens are
 encoded once per task in the same way.
 
 Nulls, ties, odd rows: a null text is encoded as the empty text (no ids, empty
@@ -161,8 +162,15 @@ class Codec:
             return [flat, None, ""]
         return [flat[:first], [w for w in flat[first:last].split(" ") if w], flat[last + 1:]]
 
+    def _whole(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
+        """Without chunks: for tokenizers of which it is not known that white space parts their tokens."""
+        rows = self.loaded.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [(np.array(r.ids, "<u4").tobytes(), self.loaded.tokenizer.decode(r.ids, skip_special_tokens=False)) for r in rows]
+
     def encode(self, texts: list[tuple[bytes, list[int]]]) -> list[tuple[bytes, str]]:
         """(ids as little-endian words, decoded text) of each text, cut at the given places."""
+        if self.loaded.ends is None:
+            return self._whole([raw for raw, _ in texts])
         own: dict[bytes, list | tuple] = {}            # chunks of these texts
         keys, wanted = [], set()
         for raw, ends in texts:

@@ -40,6 +40,27 @@ def running_totals(lengths: Column) -> Column:
     return let(lengths, lambda v: F.when(F.size(v) > 0, of(v)))
 
 
+def running_greatest(values: Column) -> Column:
+    """For each entry of an array of longs, the greatest of those before it, 0 at least."""
+    def most(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("long"), lambda acc, x: F.greatest(acc, x))
+
+    def with_tops(v: Column, tops: Column) -> Column:
+        return spread(v, F.transform(tops, lambda _, i: most(F.slice(tops, 1, i))))
+
+    def spread(v: Column, base: Column) -> Column:
+        return let(base, lambda b: F.transform(v, lambda _, i: F.greatest(
+            F.get(b, F.floor(i / BLOCK).cast("int")),
+            most(F.slice(v, (F.floor(i / BLOCK) * BLOCK + 1).cast("int"), F.pmod(i, F.lit(BLOCK)))))))
+
+    def of(v: Column) -> Column:
+        n = F.ceil(F.size(v) / BLOCK).cast("int")
+        tops = F.transform(F.sequence(F.lit(0), n - 1), lambda b: most(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
+        return let(tops, lambda t: with_tops(v, t))
+
+    return let(values, lambda v: F.when(F.size(v) > 0, of(v)))
+
+
 def matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 

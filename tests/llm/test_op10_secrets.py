@@ -76,3 +76,43 @@ def test_redaction(spark):
     df = spark.createDataFrame(rows, f"text string, found {op10_secrets.FOUND}")
     got = [r[0] for r in df.select(op10_secrets.redacted(F.col("text"), F.col("found"))).collect()]
     assert got == ["a[REDACTED][REDACTED]ghi[REDACTED]", "abc", "[REDACTED]", "[REDACTED]"]
+
+
+def test_redaction_against_plain_text_and_its_time(spark):
+    from time import time
+
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    rows = []
+    for _ in range(40):
+        text = "".join(rng.choice("ab\né😀 ") for _ in range(rng.randint(0, 4000)))
+        cuts = sorted((rng.randint(0, len(text)), rng.randint(1, 300)) for _ in range(rng.choice([0, 3, 300])))
+        rows.append((text, [(a, 0, min(len(text), a + n), "k") for a, n in cuts if a < len(text)]))
+
+    def plain(text, found):
+        out, at = "", 0
+        for start, _, end, _ in found:
+            if start >= at:
+                out += text[at:start] + "[REDACTED]"
+            at = max(at, end)
+        return out + text[at:]
+
+    df = spark.createDataFrame(rows, f"text string, found {op10_secrets.FOUND}")
+    got = [r[0] for r in df.select(op10_secrets.redacted(F.col("text"), F.col("found"))).collect()]
+    assert got == [plain(t, f) for t, f in rows]
+    spent = []
+    for n in (100_000, 200_000):
+        big = spark.createDataFrame([("x" * n, [(i, 0, i + 9, "k") for i in range(0, n, 30)])], df.schema)
+        start = time()
+        big.select(F.length(op10_secrets.redacted(F.col("text"), F.col("found")))).collect()
+        spent.append(time() - start)
+    assert spent[1] < 3.5 * spent[0] + 1, spent
+
+
+def test_a_pair_entered_twice_counts_once(spark):
+    book = ledger(spark)
+    docs = spark.createDataFrame([(1, "token=abcdef")], DOC)
+    book.scan(docs).collect()
+    book.entries().write.mode("append").parquet(book.path + "-copy")
+    spark.read.parquet(book.path + "-copy").write.mode("append").parquet(book.path)
+    assert [len(r.spans) for r in book.scan(docs).collect()] == [1]

@@ -123,3 +123,11 @@ def test_unspaced_scripts_and_unicode_gaps(spark):
     bench = spark.createDataFrame([(1, "世界で一番高い山は何ですか")], ITEM)
     docs = spark.createDataFrame([(1, "問題：世界で一番高い山は何ですか？答え"), (2, "世界は広い")], DOC)
     assert {(r.doc_id, r.contaminated) for r in op7_tiling.coverage(docs, bench).collect()} == {(1, True), (2, False)}
+
+
+def test_short_items_are_searched_whole(spark):
+    items = spark.createDataFrame([(1, "Quick brown fox"), (2, "fox quick"), (3, "漢字"), (4, ""), (5, None), (6, "one two three four five")], ITEM)
+    docs = spark.createDataFrame([(1, "the quick, brown FOX jumps"), (2, "quick fox brown"), (3, "x漢字y"), (4, "one two three four"),
+                                  (5, None), (6, "quick brown"), (7, "brown fox")], DOC)
+    got = {r.doc_id: (r.items, r.best_coverage) for r in op7_tiling.coverage(docs, items).collect()}
+    assert got == {1: ([1], 1.0), 2: ([], 0.0), 3: ([3], 1.0), 4: ([], 0.0), 5: ([], 0.0), 6: ([], 0.0), 7: ([], 0.0)}

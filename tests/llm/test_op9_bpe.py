@@ -83,3 +83,12 @@ def test_odd_rows(spark, tokenizer):
         assert list(r.ids) == tokenizer.encode(r.text or "", add_special_tokens=False).ids
         assert r.decoded == tokenizer.decode(r.ids, skip_special_tokens=False)
     assert op9_bpe.encoding_digests(df.limit(0), PATH).count() == 0
+
+
+def test_another_tokenizer_gives_the_library_ids(spark):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, None), (2, " two  words\n\nand don't "), (3, "<|endoftext|> é漢字 " * 200)]
+    t = Tokenizer.from_file(other)
+    for r in op9_bpe.encoded(spark.createDataFrame(rows, DOC), other).collect():
+        want = t.encode(r.text or "", add_special_tokens=False).ids
+        assert list(r.ids) == want and r.decoded == t.decode(want, skip_special_tokens=False)
