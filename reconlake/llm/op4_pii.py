@@ -8,11 +8,12 @@ Spark functions only.
 3. The pattern-instance graph is scored in rounds. A pattern's score for a kind is
    the smoothed share of that kind among its distinct instances, weighted by how
    sure each instance is; an instance that a trusted pattern precedes is as sure as
-   its best such pattern, and counts in the next round.
+   its best such pattern, and counts in the next round. So it induces patterns of its
+   own: one that precedes no seed at all is trusted once enough found instances follow it.
 4. Unseen identifiers after trusted patterns become spans of the pattern's kind.
 
-A pattern is trusted from ``trust`` on with at least ``support`` distinct seeds
-behind it. Base spans are never changed; added spans don't overlap them.
+A pattern is trusted from ``trust`` on with at least ``support`` distinct instances
+(seeds, or found in an earlier round) behind it. Base spans are never changed; added spans don't overlap them.
 
 Nulls, ties, odd rows: a null text is empty. Rows that repeat a doc_id, or have
 none, are rows of their own. A token after trusted patterns of two kinds takes the
@@ -120,17 +121,24 @@ def trusted_patterns(seeds: DataFrame, unseen: DataFrame, rounds: int, trust: fl
     spark = seeds.sparkSession
     size = seeds.select("pattern", "instance").unionByName(unseen.select("pattern", "instance")).groupBy(
         "pattern").agg(F.count_distinct("instance").alias("n"))
-    known = written(spark, "pii-patterns", seeds.groupBy("pattern", "rank").agg(
-        F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= support).join(size, "pattern"))
-    # only what a pattern with enough seeds precedes can ever be found
-    near = written(spark, "pii-edges", unseen.join(known.select("pattern").distinct(), "pattern", "left_semi"))
-    scored = known.withColumn("score", F.col("seeds") / (F.col("n") + 1))
+    size = written(spark, "pii-sizes", size)
+    known = written(spark, "pii-patterns", seeds.groupBy("pattern", "rank").agg(F.count(F.lit(1)).alias("seeds")))
+
+    def scores(found: DataFrame | None) -> DataFrame:
+        """Patterns with enough instances; ``found``: (pattern, rank, more, n_more)."""
+        rows = known.withColumns({"more": F.lit(0.0), "n_more": F.lit(0)}) if found is None else known.join(
+            found, ["pattern", "rank"], "full_outer")
+        rows = rows.select("pattern", "rank", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("seeds", "more", "n_more")])
+        return rows.where(F.col("seeds") + F.col("n_more") >= support).join(size, "pattern").withColumn(
+            "score", (F.col("seeds") + F.col("more")) / (F.col("n") + 1))
+
+    scored = scores(None)
     for _ in range(rounds - 1):
-        sure = near.join(scored.where(F.col("score") >= trust), "pattern").groupBy("instance", "rank").agg(
+        sure = unseen.join(scored.where(F.col("score") >= trust), "pattern").groupBy("instance", "rank").agg(
             F.max("score").alias("sure"))
-        more = near.join(sure, "instance").groupBy("pattern", "rank").agg(F.round(F.sum("sure"), 6).alias("more"))
-        scored = written(spark, "pii-scores", known.join(more, ["pattern", "rank"], "left").withColumn(
-            "score", (F.col("seeds") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + 1)).drop("more"))
+        found = unseen.join(sure, "instance").groupBy("pattern", "rank").agg(
+            F.round(F.sum("sure"), 6).alias("more"), F.count(F.lit(1)).alias("n_more"))
+        scored = written(spark, "pii-scores", scores(found))
     return scored.where(F.col("score") >= trust).select("pattern", "rank", "score")
 
 
@@ -142,7 +150,8 @@ def personal_data(docs: DataFrame, rounds: int = 3, trust: float = 0.8, support:
         F.explode("b.patterns").alias("pattern"), F.col("b.value").alias("instance"), F.col("b.rank").alias("rank"))
     loose = rows.select("rid", F.explode("unseen").alias("u")).select(
         "rid", "u.start", "u.end", F.lower("u.value").alias("instance"), F.explode("u.patterns").alias("pattern"))
-    trusted = trusted_patterns(seed.distinct(), loose.select("pattern", "instance").distinct(), rounds, trust, support)
+    edges = written(spark, "pii-edges", loose.select("pattern", "instance").distinct())
+    trusted = trusted_patterns(seed.distinct(), edges, rounds, trust, support)
     best = loose.join(trusted, "pattern").groupBy("rid", "start", "end").agg(
         F.max(F.struct("score", (-F.col("rank")).alias("r"))).alias("m"))
     kinds = F.array(*[F.lit(k) for k in RANK])

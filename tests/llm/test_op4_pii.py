@@ -62,5 +62,28 @@ def test_rounds_spread_confidence(spark):
     assert one == {"p"} and three == {"p", "q"}
 
 
+def test_found_instances_induce_patterns(spark):
+    """'s' precedes no seed: the instances that 'p' finds make it trusted, and it finds one more."""
+    seeds = [("p", f"i{n}", 2) for n in range(20)]
+    unseen = [(p, f"new{n}") for n in range(4) for p in ("p", "s")] + [("s", "last"), ("t", "new0"), ("t", "other")]
+    args = (spark.createDataFrame(seeds, "pattern string, instance string, rank int"),
+            spark.createDataFrame(unseen, "pattern string, instance string"))
+    trusted = [{r.pattern for r in op4_pii.trusted_patterns(*args, rounds=n, trust=0.5, support=4).collect()} for n in (1, 2, 3)]
+    assert trusted == [{"p"}, {"p", "s"}, {"p", "s"}]
+
+
+def test_bootstrapping_in_texts(spark):
+    """Phones follow 'call'; a code that follows 'call' in some texts follows 'desk' in others."""
+    rng = random.Random(6)
+    rows = [(i, f"please call +49 30 {rng.randint(1000000, 9999999)} now") for i in range(40)]
+    codes = [f"030/{rng.randint(10000, 99999)}-{n}" for n in range(6)]
+    rows += [(100 + n, f"please call {c} now") for n, c in enumerate(codes)]
+    rows += [(200 + n, f"at the desk {c} today") for n, c in enumerate(codes)]
+    rows += [(300, "at the desk 030/99999-77 today"), (301, "at the zoo 030/99999-78 today")]
+    got = {r.doc_id: r.spans for r in op4_pii.digest(op4_pii.personal_data(
+        spark.createDataFrame(rows, DOC), trust=0.6)).collect()}
+    assert got[300].startswith("phone:") and got[200].startswith("phone:") and got[301] == ""
+
+
 def test_empty_table(spark):
     assert op4_pii.digest(op4_pii.personal_data(spark.createDataFrame([], DOC))).count() == 0
