@@ -209,8 +209,10 @@ def _refresh_all(cat: Catalog, datasets: list[Dataset], listener: metrics.Expect
 
 
 def fold_detail(table: CellTable, usage: KeyedTable, charges: KeyedTable,
-                finish: Callable[[DataFrame], DataFrame], calendar: list[str]) -> int:
-    """Bring the detail up to the upsert targets' versions; what is folded in is kept with its version."""
+                finish: Callable[[DataFrame], DataFrame], calendar: list[str],
+                log: Callable[[DataFrame, DataFrame], object] | None = None) -> int:
+    """Bring the detail up to the upsert targets' versions; what is folded in is kept with its version.
+    ``log`` gets the detail rows that went and came (not of a first build)."""
     now, done = {"usage": usage.version(), "charges": charges.version(), "calendar": calendar}, table.state()
     if table.version() < 0 or done["calendar"] != calendar:
         return table.commit(incremental.rematched(usage.snapshot(now["usage"]), charges.snapshot(now["charges"]), finish),
@@ -224,7 +226,7 @@ def fold_detail(table: CellTable, usage: KeyedTable, charges: KeyedTable,
         return incremental.rematched(usage.matching(keys, own, now["usage"]),
                                      charges.matching(keys, incremental.CHARGE_KEY, now["charges"]), finish)
 
-    number = incremental.replace_keys(table, keys, build, now)
+    number = incremental.replace_keys(table, keys, build, now, log)
     usage.forget_changes(done["usage"])
     charges.forget_changes(done["charges"])
     return number

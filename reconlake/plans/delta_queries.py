@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reconlake.functions import classify
 from reconlake.operators import incremental, reconcile, summary
+from reconlake.operators.counts import CountTable
 from reconlake.plans import pipeline as pl
 from reconlake.plans.datasets import fold_detail
 from reconlake.plans.queries import MONEY, _out
@@ -57,9 +58,9 @@ class Deliveries:
             "charge_amount_decimal": (F.col("charge_amount_decimal") + F.lit(0.5)).cast("decimal(10,4)"),
             "billing_status": F.lit("ADJUSTED")}, "billing_status")
         root = scratch_path(self.spark, "deliveries")
-        self.usage = KeyedTable(self.spark, f"{root}/usage", self.usage_batches[0].schema, pl.CDR_KEYS, pl.SEQUENCE,
+        self.usage = KeyedTable(self.spark, f"{root}/usage", self.usage_batches[0].schema, pl.CDR_KEYS, pl.SEQUENCE, buckets=2,
                                 deletes=f"status = '{GONE}'")
-        self.charges = KeyedTable(self.spark, f"{root}/charges", self.charge_batches[0].schema, pl.EDR_KEYS, pl.SEQUENCE,
+        self.charges = KeyedTable(self.spark, f"{root}/charges", self.charge_batches[0].schema, pl.EDR_KEYS, pl.SEQUENCE, buckets=2,
                                   deletes=f"billing_status = '{GONE}'")
         self.root = root
 
@@ -73,15 +74,18 @@ class Deliveries:
     def finish(self, rec: DataFrame) -> DataFrame:
         return classify.derive(reconcile.calendar_join(rec, self.p.calendar(), self.p.calendar_days()))
 
-    def detail(self) -> CellTable:
-        """The detail after the first delivery, then brought up to date by the delta join."""
+    def detail(self, counts: CountTable | None = None) -> CellTable:
+        """The detail after the first delivery, then brought up to date by the delta join; ``counts``
+        follows it."""
         calendar = [str(d) for d in self.p._range()]
         shape = self.finish(reconcile.match(self.usage_batches[0], self.charge_batches[0]))
         table = CellTable(self.spark, f"{self.root}/detail", shape.schema, ["business_date"])
         self.deliver(0)
         fold_detail(table, self.usage, self.charges, self.finish, calendar)
+        if counts:
+            counts.rebuild(table.read())
         self.deliver(1, 2)
-        fold_detail(table, self.usage, self.charges, self.finish, calendar)
+        fold_detail(table, self.usage, self.charges, self.finish, calendar, counts.apply if counts else None)
         return table
 
 
@@ -133,10 +137,19 @@ def _fold_summary(table: CellTable, detail: CellTable, version: int) -> None:
         incremental.refresh_summary(table, detail, lambda rows: summary.summarize(rows, MONEY))
 
 
+def summary_by_counts(spark, sf):
+    """The summary from the count table, which took the detail's changes as rows that went and came."""
+    d = Deliveries(spark, sf)
+    counts = CountTable(d.spark, f"{d.root}/counts", buckets=2)
+    d.detail(counts)
+    return counts.summary()
+
+
 DELTA_QUERIES = {
     "scd1_in_cells": scd1_in_cells,
     "scd1_change_log": scd1_change_log,
     "silver_date_pruned": silver_date_pruned,
     "detail_incremental": detail_incremental,
     "summary_by_delta": summary_by_delta,
+    "summary_by_counts": summary_by_counts,
 }

@@ -277,3 +277,4 @@ WHERE business_date - (SELECT min(business_date) FROM cdr_final) IN (2, 9, 16)""
     "detail_incremental": _q("SELECT * FROM scored", *_FINAL),
     "summary_by_delta": _q(SUMMARY_SELECT, *_FINAL),
 })
+ORACLES["summary_by_counts"] = ORACLES["summary_by_delta"]

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reconlake.functions import calendar_dim, clean, rating
-from reconlake.operators import dedup, expectations, reconcile, scd, summary
+from reconlake.operators import dedup, expectations, incremental, reconcile, scd, summary
 from reconlake.plans import pipeline as pl
 from reconlake.session import ensure_session
 from reconlake.sources import envelope, fixtures, ingest
+from reconlake.streaming.cells import rows_of
 
 NOW_COLS = ("bronze_ingestion_time", "silver_processing_time", "reconciliation_timestamp",
             "silver_processed_timestamp")
@@ -346,26 +347,28 @@ def reconciliation_summary_sql(spark, sf):
     return summary.summarize_sql(spark, _pipe(spark, sf).detail(), "reconciliation_detail", money=True)
 
 
-def _detail_versions(spark, sf):
-    """Version 1 = detail as if the charges of the last third of the data's time
-    span had not arrived yet; version 2 = the full detail. Both derive from the
-    same silver snapshots, so those are checkpointed once."""
+def summary_incremental(spark, sf):
+    """Version 1 is the detail as if the charges of the last third of the data's time span had
+    not arrived yet. They arrive: their match keys are re-matched (delta join), and the summary
+    recomputes the dates which detail rows of these keys leave or enter."""
     p = pl.Pipeline(ensure_session(spark), sf, materialize=True)
     ts = F.col("timestamp_parsed")
     span = p.edr().agg(F.min(F.unix_micros(ts)).alias("a"), F.max(F.unix_micros(ts)).alias("b")).first()
     known = ts.isNull()
     if span["a"] is not None:
         known = known | (F.unix_micros(ts) < F.lit(span["a"] + (span["b"] - span["a"]) * 2 // 3))
-    v1 = pl.detail(p.cdr(), p.edr().where(known), p.calendar(), p.calendar_days(), with_timestamp=False)
-    late = p.edr().where(~known).select("session_id")
-    return v1, p.detail(with_timestamp=False), late
-
 
-def summary_incremental(spark, sf):
-    """The dates to recompute are those of the rows that late charges entered: a
-    charge changes the rows of its own match only."""
-    v1, v2, late = _detail_versions(spark, sf)
-    dates = v2.join(late, "session_id", "left_semi").select("business_date").distinct()
+    def detail(cdr: DataFrame, edr: DataFrame) -> DataFrame:
+        return pl.detail(cdr, edr, p.calendar(), p.calendar_days(), with_timestamp=False).select(
+            "business_date", "call_id", "edr_reference_to_cdr", "msisdn_normalized", "mismatch_type", "severity",
+            "revenue_impact").checkpoint(eager=True)
+
+    v1 = detail(p.cdr(), p.edr().where(known))
+    keys = incremental.touched_keys(None, p.edr().where(~known))
+    fresh = detail(rows_of(p.cdr(), keys, incremental.MATCH_KEY), rows_of(p.edr(), keys, incremental.CHARGE_KEY))
+    stale = incremental.rows_with_keys(v1, keys)
+    dates = stale.select("business_date").unionByName(fresh.select("business_date")).distinct()
+    v2 = incremental.rows_with_keys(v1, keys, "left_anti").unionByName(fresh)
     return summary.refresh(summary.summarize(v1, MONEY), v2, dates, MONEY)
 
 

@@ -27,8 +27,12 @@ SQL_CONF = {
 }
 
 
+# In one process, listing folders by tasks gains nothing: each folder would be a task.
+LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
+
+
 def ensure_session(spark: SparkSession) -> SparkSession:
-    for k, v in SQL_CONF.items():
+    for k, v in (SQL_CONF | (LOCAL_CONF if is_local(spark.sparkContext.master) else {})).items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark
