@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from reconlake.llm import words
 
 BLOCK, WIDTH, DIM, FILTERS, HIDDEN = 128, 8, 8, 24, 24
+STREAMED = 8192                    # blocks that are embedded at once: a megabyte of text
 Model = dict[str, np.ndarray]
 
 
@@ -60,9 +61,13 @@ def chunk_maxima(blocks: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _convolve(model: Model, flat: np.ndarray) -> np.ndarray:
-    """Largest response of each filter in each block."""
-    embedded = model["embed"][flat]
+    """Largest response of each filter in each block, ``STREAMED`` blocks at a time: a text's
+    bytes are never embedded all at once, however long it is."""
     n = (len(flat) - WIDTH) // BLOCK
+    if n > STREAMED:
+        return np.concatenate([_convolve(model, flat[lo * BLOCK:min(n, lo + STREAMED) * BLOCK + WIDTH])
+                               for lo in range(0, n, STREAMED)])
+    embedded = model["embed"][flat]
     best = None
     for shift in range(WIDTH):                         # windows that start at shift, shift + WIDTH, ...
         rows = embedded[shift:shift + n * BLOCK].reshape(-1, WIDTH * DIM)

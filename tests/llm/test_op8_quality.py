@@ -52,6 +52,23 @@ def test_scores_equal_the_plain_network(model):
     np.testing.assert_allclose(op8_quality.scores(model, texts), [plain_score(model, t) for t in texts], atol=1e-4)
 
 
+def test_blocks_are_streamed(model, monkeypatch):
+    """Any number of blocks at a time gives the same scores; a long text needs little more than its bytes."""
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 256, n).astype(np.uint8) for n in (0, 5, 700, 5000)]
+    want = op8_quality.scores(model, texts)
+    monkeypatch.setattr(op8_quality, "STREAMED", 3)
+    np.testing.assert_allclose(op8_quality.scores(model, texts), want, atol=1e-6)
+    monkeypatch.setattr(op8_quality, "STREAMED", 8192)
+    text = rng.integers(0, 256, 16 << 20).astype(np.uint8)
+    tracemalloc.start()
+    op8_quality.scores(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(text)
+
+
 def test_gradients_equal_differences(model):
     rng = np.random.default_rng(5)
     texts = [rng.integers(97, 120, n).astype(np.uint8) for n in (50, 300, 600)]
