@@ -76,9 +76,10 @@ def cdr_schema(spark: SparkSession, cdr_landing: str, root: str) -> tuple[Struct
     return schema, any(ingest.conflicts(schema, one) for one in physical)
 
 
-def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
-        calendar_range: tuple[str, str] | None = None, gold: str = "stream", **options) -> datasets.Catalog:
-    """``options`` go to ``datasets.medallion`` (bounded, validate_first, mixed, rescue_extra)."""
+def plan(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
+         calendar_range: tuple[str, str] | None = None, gold: str = "stream", **options) -> list[datasets.Dataset]:
+    """The datasets for what has landed; ``options`` go to ``datasets.medallion`` (bounded, validate_first, mixed,
+    rescue_extra, dedup, ...)."""
     ensure_session(spark)
     root = root.rstrip("/")
     start = calendar_range[0] if calendar_range else spark.conf.get("start_date")
@@ -90,9 +91,14 @@ def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
         raise ValueError("usage files differ in a column's type, and bronze.cdr_events was begun as a plain stream")
     options["mixed"] = not plain and options.get("mixed", True)
     e_schema = spark.read.option("mergeSchema", "true").parquet(edr_table).schema
-    specs = datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold,
-                               cdr_hints=ingest.CDR_HINTS, **options)
-    return datasets.refresh(spark, specs, root)
+    return datasets.medallion(cdr_landing, c_schema, edr_table, e_schema, (start, end), gold=gold,
+                              cdr_hints=ingest.CDR_HINTS, **options)
+
+
+def run(spark: SparkSession, cdr_landing: str, edr_table: str, root: str,
+        calendar_range: tuple[str, str] | None = None, gold: str = "stream", **options) -> datasets.Catalog:
+    """Refresh the datasets of ``plan``."""
+    return datasets.refresh(spark, plan(spark, cdr_landing, edr_table, root, calendar_range, gold, **options), root)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from reconlake.plans import datasets
 from reconlake.plans import run as runner_mod
 from reconlake.plans import stream_queries as sq
 from reconlake.session import scratch_path
@@ -17,7 +18,12 @@ def test_two_runs_with_new_column(spark):
     root = scratch_path(spark, "t_run")
     rng = ("2024-01-01", "2024-01-31")
     # batch gold: the new files carry old event times, which a stream's watermark would drop as late
-    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, rng, gold="batch")
+    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, rng, gold="batch", buckets=1)
+    m = spark.read.parquet(f"{root}/{datasets.METRICS_TABLE}")
+    got = {(r.dataset, r.rule): (r.passed, r.failed) for r in m.collect()}
+    p, f = got[("silver.cdr_staging", "good_data_quality")]
+    assert f > 0 and p > 0 and ("silver.edr_staging", "successful_billing") in got
+    assert m.select("run_started").distinct().count() == 1 and cat.run_started is not None
     n1 = cat.read("bronze.cdr_events").count()
     s1 = cat.read("gold.reconciliation_summary").agg(F.sum("record_count")).first()[0]
     assert n1 > 0 and s1 > 0
@@ -26,7 +32,7 @@ def test_two_runs_with_new_column(spark):
              .withColumn("call_id", F.concat(F.lit("CALL-NEW-"), F.col("call_id")))
              .withColumn("rating_plan", F.lit("PLAN-A")))
     extra.write.mode("overwrite").parquet(f"{land.cdr_dir}/2024-01-31")
-    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, rng, gold="batch")
+    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, rng, gold="batch", buckets=1)
 
     bronze = cat.read("bronze.cdr_events")
     assert bronze.count() == n1 + 4
@@ -51,7 +57,6 @@ def test_stream_gold_with_late_rows_and_a_stopped_run(spark):
     run 4 has nothing to do. Detail and summary equal what the silver tables give in batch."""
     from reconlake.functions import calendar_dim, classify
     from reconlake.operators import reconcile, summary
-    from reconlake.plans import datasets
     land = sq.Landing(spark, SF_SMALL, later=sq.LATER)
     rng = ("2024-01-01", "2024-12-31")
     specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, rng, money_scale=4,
@@ -88,8 +93,8 @@ def test_hints_applied_to_text_capture(spark):
             .withColumn("volume", F.when(F.col("call_id").endswith("3"), F.lit("n/a"))
                         .otherwise(F.col("volume").cast("string"))))
     text.write.parquet(f"{base}/cdr/2024-01-05")
-    cat = runner_mod.run(spark, f"{base}/cdr", land.edr_dir, f"{base}/root", ("2024-01-01", "2024-01-31"),
-                         gold="batch")
+    specs = runner_mod.plan(spark, f"{base}/cdr", land.edr_dir, f"{base}/root", ("2024-01-01", "2024-01-31"), mixed=False)
+    cat = datasets.refresh(spark, specs[:1], f"{base}/root")
     bronze = cat.read("bronze.cdr_events")
     assert dict(bronze.dtypes)["volume"] == "double"
     bad = bronze.where(F.col("_rescued_data").isNotNull())
@@ -103,26 +108,12 @@ def test_mixed_landing_through_the_pipeline(spark):
     land, root = sq.mixed_landing(spark, SF_SMALL)
     base = scratch_path(spark, "t_mixed")
     args = (spark, root, land.edr_dir, base, ("2024-01-01", "2024-12-31"))
-    cat = runner_mod.run(*args, gold="batch", mixed=True)
+    cat = datasets.refresh(spark, runner_mod.plan(*args)[:1], base)
     bronze = cat.read("bronze.cdr_events")
     n = spark.read.parquet(f"{land.cdr_dir}/*/*").count()
     assert bronze.count() == n and dict(bronze.dtypes)["volume"] == "double" and "vendor_flag" in bronze.columns
     assert bronze.where("_rescued_data is not null").count() == spark.read.parquet(f"{root}/2024-01-02").where(
         "volume = 'n/a'").count() > 0
     spark.read.parquet(f"{root}/2024-01-01").limit(3).write.parquet(f"{root}/2024-01-09")
-    cat = runner_mod.run(*args, gold="batch", mixed=True)
+    cat = datasets.refresh(spark, runner_mod.plan(*args)[:1], base)
     assert cat.read("bronze.cdr_events").count() == n + 3
-
-
-def test_expectation_metrics_recorded_per_run(spark):
-    from reconlake.plans import datasets
-    land = sq.Landing(spark, SF_SMALL)
-    root = scratch_path(spark, "t_metrics")
-    cat = runner_mod.run(spark, land.cdr_dir, land.edr_dir, root, ("2024-01-01", "2024-01-31"), gold="batch")
-    m = spark.read.parquet(f"{root}/{datasets.METRICS_TABLE}")
-    got = {(r.dataset, r.rule): (r.passed, r.failed) for r in m.collect()}
-    p, f = got[("silver.cdr_staging", "good_data_quality")]
-    assert f > 0 and p > 0
-    assert ("silver.edr_staging", "successful_billing") in got
-    assert m.select("run_started").distinct().count() == 1
-    assert cat.run_started is not None
