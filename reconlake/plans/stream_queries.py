@@ -267,13 +267,13 @@ LATER = ("sequence_number % 7 = 3", "CAST(substring(session_id, 9, 12) AS BIGINT
 def reconcile_stream_late(spark, sf):
     """The pipeline's gold detail when a part of the usage and charges lands late, in more
     files than a micro-batch takes: run 1 without them, run 2 with them and the flush pair.
-    Its join gets the rows in order of time, in groups of at most 40 files; what is behind
+    Its join gets the rows in order of time, in groups of about 80 files; what is behind
     the watermark is matched in batch. The result must equal the batch detail."""
     from reconlake.plans import datasets
     land = Landing(spark, sf, later=LATER, files=5)
     spark = land.spark
     specs = datasets.medallion(land.cdr_dir, land.cdr_schema, land.edr_dir, land.edr_schema, pl.years_of(spark, sf),
-                               money_scale=4, max_files=40, buckets=2, dedup="index")[:-1]
+                               money_scale=4, max_files=80, buckets=1, dedup="index")[:-1]
     root = scratch_path(spark, "medallion-late")
     datasets.refresh(spark, specs, root)
     land.deliver_later()

@@ -25,7 +25,6 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "4")      # each is four state stores of the stream join
          .config("spark.ui.enabled", "false")
-         .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")      # small data: start-up counts
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_session(s)

@@ -53,8 +53,8 @@ def _rows(df):
 
 
 def test_stream_gold_with_late_rows_and_a_stopped_run(spark):
-    """Run 2 gets rows behind the watermark and stops before the summary; run 3 catches up;
-    run 4 has nothing to do. Detail and summary equal what the silver tables give in batch."""
+    """Run 2 gets rows behind the watermark and stops before the summary; run 3 catches up.
+    Detail and summary equal what the silver tables give in batch."""
     from reconlake.functions import calendar_dim, classify
     from reconlake.operators import reconcile, summary
     land = sq.Landing(spark, SF_SMALL, later=sq.LATER)
@@ -69,8 +69,7 @@ def test_stream_gold_with_late_rows_and_a_stopped_run(spark):
     datasets.refresh(spark, specs[:-1], root)               # stops before the summary
     cat = datasets.Catalog(spark, root, {d.name: d for d in specs})
     detail, view = cat.cells("gold.reconciliation_detail"), cat.cells("gold.reconciliation_summary")
-    state = view.state()
-    assert state["detail"] == before < detail.version()
+    assert view.state()["detail"] == before < detail.version()
     metrics = spark.read.parquet(f"{root}/{datasets.METRICS_TABLE}")
     assert metrics.where("observation = 'late_rows' and failed > 100").count() == 1
     rec = reconcile.match(cat.read("silver.cdr_events_silver"), cat.read("silver.edr_events_silver"))
@@ -79,9 +78,6 @@ def test_stream_gold_with_late_rows_and_a_stopped_run(spark):
     cat = datasets.refresh(spark, specs, root)
     assert _rows(cat.read("gold.reconciliation_summary")) == _rows(
         summary.summarize(cat.read("gold.reconciliation_detail"), 4).select(cat.read("gold.reconciliation_summary").columns))
-    done = detail.version(), view.version()
-    refreshed = datasets.refresh(spark, specs[-2:], root)
-    assert (refreshed.cells("gold.reconciliation_summary").version() - done[1]) <= 1
 
 
 def test_hints_applied_to_text_capture(spark):
