@@ -9,6 +9,8 @@ delivery, must equal a rebuild.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,23 +48,36 @@ class Deliveries:
     def __init__(self, spark: SparkSession, sf: str):
         self.p = pl.Pipeline(ensure_session(spark), sf, materialize=True)
         self.spark = self.p.spark
+        self.root = scratch_path(self.spark, "deliveries")
+
+    # each side is built when it is first asked for
+
+    @cached_property
+    def usage_batches(self) -> list[DataFrame]:
         usage = self.p.cdr().withColumn("__n", F.col("sequence_number"))
-        charges = self.p.edr().withColumn("__n", F.substring("session_id", 9, 12).cast("bigint"))
-        self.usage_batches = _deliveries(usage, "__n", {
+        return _deliveries(usage, "__n", {
             "expected_charge": F.col("expected_charge") + F.lit(1.0),
             "expected_charge_decimal": (F.col("expected_charge_decimal") + F.lit(1)).cast("decimal(10,4)"),
             "business_date": F.when(F.col("__n") % 20 == 0, F.date_add("business_date", 1)).otherwise(F.col("business_date")),
             "status": F.lit("CORRECTED")}, "status")
-        self.charge_batches = _deliveries(charges, "__n", {
+
+    @cached_property
+    def charge_batches(self) -> list[DataFrame]:
+        charges = self.p.edr().withColumn("__n", F.substring("session_id", 9, 12).cast("bigint"))
+        return _deliveries(charges, "__n", {
             "charge_amount": F.col("charge_amount") + F.lit(0.5),
             "charge_amount_decimal": (F.col("charge_amount_decimal") + F.lit(0.5)).cast("decimal(10,4)"),
             "billing_status": F.lit("ADJUSTED")}, "billing_status")
-        root = scratch_path(self.spark, "deliveries")
-        self.usage = KeyedTable(self.spark, f"{root}/usage", self.usage_batches[0].schema, pl.CDR_KEYS, pl.SEQUENCE, buckets=2,
-                                deletes=f"status = '{GONE}'")
-        self.charges = KeyedTable(self.spark, f"{root}/charges", self.charge_batches[0].schema, pl.EDR_KEYS, pl.SEQUENCE, buckets=2,
-                                  deletes=f"billing_status = '{GONE}'")
-        self.root = root
+
+    @cached_property
+    def usage(self) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/usage", self.usage_batches[0].schema, pl.CDR_KEYS, pl.SEQUENCE, buckets=2,
+                          deletes=f"status = '{GONE}'")
+
+    @cached_property
+    def charges(self) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/charges", self.charge_batches[0].schema, pl.EDR_KEYS, pl.SEQUENCE, buckets=2,
+                          deletes=f"billing_status = '{GONE}'")
 
     def deliver(self, *numbers: int, usage: bool = True, charges: bool = True) -> None:
         for n in numbers:

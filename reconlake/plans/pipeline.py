@@ -4,7 +4,7 @@ bronze (drop, path date, lineage) -> silver (enrich, dedup, finish,
 expectations, SCD1 snapshot) -> gold (match, calendar, classify) -> summary.
 
 Each function returns a lazy DataFrame; nothing is collected or cached. With
-``materialize``, the silver snapshots are checkpointed in the shared folder.
+``materialize``, the silver snapshots are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reconlake.functions import calendar_dim, classify, clean
 from reconlake.operators import dedup, expectations, reconcile, scd, summary
-from reconlake.session import _checkpoint_root, ensure_session
+from reconlake.session import _checkpoint_root, ensure_session, scratch_path
 from reconlake.sources import fixtures, ingest
 
 # Dedup and upsert keys of both flows.
@@ -124,10 +124,14 @@ class Pipeline:
         return self._get("edr_staging", lambda: silver_edr_staging(self.bronze_edr()))
 
     def _silver(self, df: DataFrame) -> DataFrame:
-        """With ``materialize``, a reliable checkpoint (files under the shared
-        checkpoint folder) so several gold frames reuse one silver computation
-        and a lost executor does not replay the bronze-to-silver chain."""
-        return df.checkpoint(eager=True) if self.materialize else df
+        """With ``materialize``, Parquet files under the shared checkpoint folder, so
+        several gold frames reuse one silver computation (each reads the columns it
+        needs) and a lost executor does not replay the bronze-to-silver chain."""
+        if not self.materialize:
+            return df
+        path = scratch_path(self.spark, "silver")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def cdr(self):
         return self._get("cdr", lambda: self._silver(silver_cdr(self.cdr_staging())))
