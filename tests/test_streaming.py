@@ -196,3 +196,28 @@ def test_failed_stream_stops_its_siblings(spark):
     with pytest.raises(Exception, match="no_future_dates"):
         runner.wait(q_bad, q_ok)
     assert not q_bad.isActive and not q_ok.isActive
+
+
+def test_flows_without_state_take_all_new_files_in_one_batch(spark):
+    """A merge copies the cells that it touches: by hundreds of files it would copy them again and again."""
+    from pyspark.sql.types import StructType
+
+    from reconlake.plans import datasets
+    frame, asked = spark.createDataFrame([], "timestamp_parsed timestamp"), []
+
+    class Streams:
+        def read_stream(self, name, max_files=datasets.MAX_FILES):
+            asked.append(max_files)
+            return frame
+
+    specs = datasets.medallion("c", StructType([]), "e", StructType([]), ("2024-01-01", "2024-01-31"))
+    flows = [d for d in specs if d.kind == datasets.SCD1 or d.name.startswith("gold.quarantine")]
+    for d in flows:
+        d.build(Streams())
+    assert len(flows) == 4 and asked == [None] * 4
+
+
+def test_state_is_written_without_a_lookup_to_count_it(spark):
+    from reconlake.session import ensure_session
+    conf = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    assert ensure_session(spark).conf.get(conf) == "false"
