@@ -221,3 +221,45 @@ def test_state_is_written_without_a_lookup_to_count_it(spark):
     from reconlake.session import ensure_session
     conf = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
     assert ensure_session(spark).conf.get(conf) == "false"
+
+
+def _progress(spark, rows, name):
+    out = scratch_path(spark, name)
+    return runner.sink(rows, out, f"{out}.__checkpoint").recentProgress[-1]["stateOperators"][0]
+
+
+def test_state_lies_in_a_few_partitions_for_each_core(spark):
+    """Each micro-batch opens the store of every partition: their number follows the cores, not the shuffles."""
+    from reconlake.session import PARTITIONS
+    src, before = scratch_path(spark, "t_state_src"), spark.conf.get(PARTITIONS)
+    spark.range(20).write.parquet(src)
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for asked, got in ((2 * cores + 3, 2 * cores), (1, 1)):
+            spark.conf.set(PARTITIONS, str(asked))
+            rows = spark.readStream.schema("id long").parquet(src).dropDuplicates(["id"])
+            assert _progress(spark, rows, "t_state")["numShufflePartitions"] == got
+            assert spark.conf.get(PARTITIONS) == str(asked)
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
+def test_a_join_keeps_one_store_per_partition(spark):
+    base = scratch_path(spark, "t_stores")
+    sides = []
+    for name, frame in zip("ce", frames(spark, [cdr_row()], [edr_row()]), strict=True):
+        frame.write.parquet(f"{base}/{name}")
+        sides.append(spark.readStream.schema(frame.schema).parquet(f"{base}/{name}"))
+    state = _progress(spark, runner.reconcile_stream(*sides, calendar_dim.build(spark, "2024-01-01", "2024-01-31"), 31), "t_stores")
+    assert state["numStateStoreInstances"] == state["numShufflePartitions"]
+
+
+def test_settings_of_streams_are_taken_back_when_a_start_fails(spark):
+    import pytest
+    from reconlake.plans.gold_stream import JOIN_STATE
+    from reconlake.session import PARTITIONS, stream_state
+    before = {k: spark.conf.get(k) for k in (PARTITIONS, *JOIN_STATE)}
+    with pytest.raises(RuntimeError), stream_state(spark, JOIN_STATE):
+        assert {k: spark.conf.get(k) for k in JOIN_STATE} == JOIN_STATE
+        raise RuntimeError
+    assert {k: spark.conf.get(k) for k in before} == before
