@@ -263,3 +263,34 @@ def test_settings_of_streams_are_taken_back_when_a_start_fails(spark):
         assert {k: spark.conf.get(k) for k in JOIN_STATE} == JOIN_STATE
         raise RuntimeError
     assert {k: spark.conf.get(k) for k in before} == before
+
+
+def test_the_join_is_admitted_the_columns_that_it_reads(spark, monkeypatch):
+    """The rest of the silver columns are not written again for the join; the match needs no other."""
+    from types import SimpleNamespace
+
+    from pyspark.sql.types import StructType
+
+    from reconlake.operators import reconcile
+    from reconlake.plans import datasets, gold_stream
+    cdr, edr = frames(spark, [cdr_row(), cdr_row(call_id=None)], [edr_row(), edr_row(session_id="S", msisdn=None)])
+    silver, got = {"silver.cdr_staging": cdr, "silver.edr_staging": edr}, {}
+
+    class Flow:
+        def __init__(self, table, source, *rest):
+            got["schemas"] = source.sides
+
+        def refresh(self, usage, charges):
+            got["rows"] = usage, charges
+            return 0
+
+    monkeypatch.setattr(gold_stream, "GoldStream", Flow)
+    specs = datasets.medallion("c", StructType([]), "e", StructType([]), ("2024-01-01", "2024-01-31"))
+    cat = SimpleNamespace(spark=spark, root="r", keyed=lambda name: None, schema=lambda name: silver[name].schema,
+                          read_stream=lambda name, max_files: silver[name])
+    next(d for d in specs if d.name == "gold.reconciliation_detail").fold(cat, SimpleNamespace(version=lambda: 0))
+    assert [d.columns for d in got["rows"]] == [reconcile.CDR_IN, reconcile.EDR_IN]
+    assert [s.names for s in got["schemas"].values()] == [reconcile.CDR_IN, reconcile.EDR_IN]
+    assert len(reconcile.CDR_IN) < len(cdr.columns) and len(reconcile.EDR_IN) < len(edr.columns)
+    same = [sorted(map(str, reconcile.match(*pair).collect())) for pair in ((cdr, edr), got["rows"])]
+    assert same[0] == same[1]
